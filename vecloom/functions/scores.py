@@ -7,7 +7,7 @@ try, their order, and what they do with a shape they do not expect.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FIELDS = "map<string,string>"
@@ -22,21 +22,26 @@ def is_list(json: Column) -> Column:
     return F.coalesce(F.ltrim(json).startswith("["), F.lit(False))
 
 
-def test_scores(body: Column) -> Column:
-    return F.get_json_object(body, "$.scores.test")
+def with_found(df: DataFrame, body: str, lists_only: bool = False) -> DataFrame:
+    """Add `_test`, the text under scores.test, and `_found`, the members of its score dict.
 
-
-def first_of_list(body: Column) -> Column:
-    return F.get_json_object(body, "$.scores.test[0]")
-
-
-def subset_scores(body: Column) -> Column:
-    """List: its first entry. Dict: `default`, else its first member. Else null."""
-    parts = fields(test_scores(body))
+    List: its first entry. Dict: `default`, else its first member, unless only lists
+    count. The steps are columns of their own so that each text is parsed once.
+    """
+    df = df.withColumn("_test", F.get_json_object(body, "$.scores.test"))
+    entry = F.when(is_list(F.col("_test")), F.get_json_object("_test", "$[0]"))
+    if lists_only:
+        return df.withColumn("_found", fields(entry))
+    parts = F.col("_parts")
     of_dict = F.when(F.map_contains_key(parts, "default"), parts["default"]).otherwise(
         F.get(F.map_values(parts), F.lit(0))
     )
-    return F.when(is_list(test_scores(body)), first_of_list(body)).otherwise(of_dict)
+    return (
+        df.withColumn("_parts", fields(F.col("_test")))
+        .withColumn("_entry", entry.otherwise(of_dict))
+        .withColumn("_found", fields(F.col("_entry")))
+        .drop("_parts", "_entry")
+    )
 
 
 def has(found: Column, key: str) -> Column:
@@ -59,45 +64,45 @@ def first_key(found: Column, keys: tuple[str, ...]) -> Column:
     return F.coalesce(score, F.lit(0.0))
 
 
-def compare_score(body: Column) -> Column:
-    found = fields(subset_scores(body))
-    return first_key(found, ("main_score", "accuracy", "ndcg_at_10", "cos_sim", "ap")) * 100
+def compare_score(df: DataFrame, body: str = "body", name: str = "score") -> DataFrame:
+    keys = ("main_score", "accuracy", "ndcg_at_10", "cos_sim", "ap")
+    score = first_key(F.col("_found"), keys) * 100
+    return with_found(df, body).withColumn(name, score).drop("_test", "_found")
 
 
-def summary_score(body: Column) -> Column:
-    found = fields(subset_scores(body))
-    return first_key(found, ("main_score", "accuracy", "ndcg_at_10", "cos_sim")) * 100
-
-
-def summary_metric(body: Column) -> Column:
-    """The name of the metric the summary score stands for."""
-    found = fields(subset_scores(body))
-    cos_sim = has(fields(found["cos_sim"]), "spearman")
+def summary_score(df: DataFrame, body: str = "body", name: str = "score") -> DataFrame:
+    """The score, and in `metric` the name of what it stands for."""
+    found = F.col("_found")
     main = has(found, "main_score")
-    return (
+    metric = (
         F.when(has(found, "accuracy"), "Accuracy")
         .when(has(found, "ndcg_at_10"), "NDCG@10")
         .when(main & has(found, "spearman"), "Spearman")
         .when(main & has(found, "ap"), "AP")
-        .when(~main & cos_sim, "Spearman")
+        .when(~main & has(fields(found["cos_sim"]), "spearman"), "Spearman")
         .otherwise("N/A")
     )
+    score = first_key(found, ("main_score", "accuracy", "ndcg_at_10", "cos_sim")) * 100
+    return with_found(df, body).withColumns({name: score, "metric": metric}).drop("_test", "_found")
 
 
-def parse_score(body: Column) -> Column:
-    """As given, not times 100; null for a file that cannot be read this way.
+def parse_score(df: DataFrame, body: str = "body", name: str = "score") -> DataFrame:
+    """As given, not times 100; files that cannot be read this way are left out.
 
     Only lists are read: a filled dict of subsets counts as unreadable, an empty one,
     an empty list and a missing entry give 0.
     """
-    found = fields(first_of_list(body))
-    score = first_key(found, ("main_score", "map", "accuracy", "spearman", "cos_sim"))
-    filled_dict = F.coalesce(F.size(fields(test_scores(body))) > 0, F.lit(False))
-    readable = fields(body).isNotNull() & ~filled_dict
-    return F.when(readable, score)
+    filled = F.size(fields(F.col("_test"))) > 0
+    score = first_key(F.col("_found"), ("main_score", "map", "accuracy", "spearman", "cos_sim"))
+    return (
+        with_found(df, body, lists_only=True)
+        .where(F.try_parse_json(F.col(body)).isNotNull() & ~F.coalesce(filled, F.lit(False)))
+        .withColumn(name, score)
+        .drop("_test", "_found")
+    )
 
 
-def live_score(body: Column) -> Column:
+def live_score(df: DataFrame, body: str = "body", name: str = "score") -> DataFrame:
     """As given; only lists are read, anything else gives 0."""
-    found = fields(first_of_list(body))
-    return first_key(found, ("main_score", "cos_sim", "accuracy"))
+    score = first_key(F.col("_found"), ("main_score", "cos_sim", "accuracy"))
+    return with_found(df, body, lists_only=True).withColumn(name, score).drop("_test", "_found")

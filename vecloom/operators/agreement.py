@@ -53,9 +53,10 @@ def pearson(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
 
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """Pearson of average ranks. `df` is read more than once: stage it if it is costly."""
-    ranked = df.select(*by, x, y)
+    ranked = df.select(*by, x, y).na.drop(subset=[x, y])
+    both = ranked
     for side in (x, y):
-        ranked = ranked.join(average_ranks(df, side, by, f"_rank_{side}"), [*by, side])
+        ranked = ranked.join(average_ranks(both, side, by, f"_rank_{side}"), [*by, side])
     return ranked.groupBy(*by).agg(F.corr(f"_rank_{x}", f"_rank_{y}").alias("spearman"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vecloom.functions.text import is_truthy, pair_prompt
 from vecloom.operators.ordered import CELL, numbered, running, split_points, with_cells
-from vecloom.sources.staging import small_table
+from vecloom.sources.staging import small_table, stage
 
 SEED = 42
 
@@ -167,13 +167,14 @@ def capped_sample(
 
     A group at or under its cap keeps all rows in key order, unless `shuffle_always`.
     `caps` is a configuration table (by, max_samples); without cap a group stays whole.
-    `position` numbers the rows kept. The digest is spread evenly, so its leading
+    `position` numbers the rows kept. `df` is read a few times: pass the keys only, or
+    a written table. The digest is spread evenly, so its leading
     digits give the cells, and only cells below the cap go on to be sorted.
     """
     digest = seeded_digest(F.col(key), seed)
     sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
     if caps is not None:
-        sizes = sizes.join(F.broadcast(caps), by, "left").withColumn("_cap", effective_cap(override, F.col("max_samples")))
+        sizes = sizes.join(caps, by, "left").withColumn("_cap", effective_cap(override, F.col("max_samples")))
     else:
         sizes = sizes.withColumn("_cap", effective_cap(override, F.lit(None)))
     sizes = sizes.withColumn("_over", F.coalesce(F.col("_n") > F.col("_cap"), F.lit(False)) | F.lit(shuffle_always))
@@ -198,6 +199,22 @@ def capped_sample(
     return placed.where(F.col("_cap").isNull() | (F.col("position") <= F.col("_cap"))).drop("_cap", "_over", "_digest")
 
 
+def curate(
+    df: DataFrame, key: str, by: str, columns: Sequence[str], caps: DataFrame | None = None, override: int | None = None
+) -> DataFrame:
+    """Filter, then cap: the rows with text in all `columns`, at most the cap per group.
+
+    The sample is drawn on a written table of the keys, so the texts are read twice
+    (filter, result) however many passes the sample takes.
+    """
+    kept = keep_truthy(df, columns)
+    if kept is None:
+        return df.limit(0).withColumn("position", F.lit(None).cast("long"))
+    keys = stage(kept.select(key, by), "keys")
+    sample = capped_sample(keys, key, by, caps, override)
+    return df.join(sample.select(key, "position"), key)
+
+
 def with_batches(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     """Contiguous batches of `size` rows in the given order; the last one may be partial."""
     rows = numbered(df, order)
@@ -231,8 +248,8 @@ def retrieval_task(pairs: DataFrame, order: Sequence[str], query: str, doc: str)
     Ids follow the place of the pair in the given order; a pair with an empty side is left
     out, and its number stays unused.
     """
-    placed = numbered(pairs, order).withColumn("idx", F.col("rn") - 1)
-    placed = placed.where(is_truthy(F.col(query)) & is_truthy(F.col(doc)))
+    placed = numbered(stage(pairs.select(*order, query, doc), "pairs"), order).withColumn("idx", F.col("rn") - 1)
+    placed = stage(placed.where(is_truthy(F.col(query)) & is_truthy(F.col(doc))), "placed")
     qid, did = F.concat(F.lit("q"), F.col("idx")), F.concat(F.lit("d"), F.col("idx"))
     return (
         placed.select(qid.alias("qid"), F.col(query).alias("text")),

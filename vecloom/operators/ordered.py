@@ -64,7 +64,7 @@ def running(
 ) -> DataFrame:
     """Running sum, min or max over `order` (a total order) in each `by` group.
 
-    `df` carries cells that follow the order. What came before a cell enters the
+    `df` carries cells that follow the order, and is read twice. What came before a cell enters the
     cell's window as one extra row, so the rows shuffle once and need no join.
     """
     part = [*by, CELL]

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from vecloom.functions.text import tokens
 from vecloom.functions.vectors import mean_vector
 from vecloom.operators.ordered import count_key, first_n, running, with_cells
+from vecloom.sources.staging import stage
 
 TOP_TOKENS = 64_000
 
 
 def token_frequency(df: DataFrame, text: str = "text", by: tuple[str, ...] = ()) -> DataFrame:
-    """(by, token, n): counted per text file part first, so frequent tokens do not pile up."""
+    """(by, token, n): counted before the shuffle too, so a frequent token does not pile up."""
     return (
         df.select(*by, F.explode(tokens(F.col(text))).alias("token"))
         .groupBy(*by, "token")
@@ -62,10 +63,11 @@ def match_vocabulary(
     """
     target = target.select("token", F.col("id").alias("token_id"))
     source = source.select("token", F.col("id").alias("source_id"))
-    direct = target.join(source, "token").select(
+    looked_up = stage(target.join(source, "token", "left"), "looked-up")
+    direct = looked_up.where("source_id IS NOT NULL").select(
         "token_id", "token", F.lit("direct").alias("kind"), F.array("source_id").alias("source_ids")
     )
-    rest = target.join(source, "token", "left_anti")
+    rest = looked_up.where("source_id IS NULL").drop("source_id")
     parts = rest.select("token_id", F.posexplode(pieces(F.col("token"))).alias("pos", "token"))
     found = (
         parts.join(source, "token")
@@ -73,13 +75,13 @@ def match_vocabulary(
         .agg(F.array_sort(F.collect_list(F.struct("pos", "source_id"))).alias("found"))
         .select("token_id", F.col("found.source_id").alias("source_ids"))
     )
-    looked_up = rest.join(found, "token_id", "left").select(
+    cut = rest.join(found, "token_id", "left").select(
         "token_id",
         "token",
         F.when(F.col("source_ids").isNull(), "unmapped").otherwise("tokenized").alias("kind"),
         F.coalesce("source_ids", F.array().cast("array<bigint>")).alias("source_ids"),
     )
-    return direct.unionByName(looked_up)
+    return direct.unionByName(cut)
 
 
 def remap_vectors(
@@ -92,7 +94,7 @@ def remap_vectors(
     """
     ids = F.col("source_ids")
     trimmed = F.when(F.get(ids, F.lit(0)) == bos_id, F.slice(ids, 2, F.size(ids))).otherwise(ids)
-    mapped = matched.select("token_id", trimmed.alias("ids"))
+    mapped = stage(matched.select("token_id", trimmed.alias("ids")), "mapped")
     means = (
         mapped.select("token_id", F.explode("ids").alias("id"))
         .join(vectors, "id")

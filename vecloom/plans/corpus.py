@@ -136,7 +136,7 @@ def probe_sql() -> str:
         missing = (name, column) in PROBED_MISSING
         return f"""SELECT '{name}' AS table_name, '{column}' AS column_name, {not missing} AS present,
             {column in PROBED[name]} AS required, count(*) AS n_rows,
-            {'CAST(NULL AS BIGINT)' if missing else f'count({column})'} AS n_values FROM {name}"""
+            {f'count({column})' if column in PROBED[name] and not missing else 'CAST(NULL AS BIGINT)'} AS n_values FROM {name}"""
 
     return " UNION ALL ".join(one(n, c) for n, columns in PROBED_COLUMNS.items() for c in columns)
 
@@ -342,12 +342,13 @@ def eval_subsample(spark, folder):
 
 @query(
     "curate_sets",
-    CAPPED_SQL.replace("WITH m(", f"WITH base AS (SELECT * FROM documents WHERE ({GAPPY_TEXT}) <> ''), m("),
+    CAPPED_SQL.replace("WITH m(", f"WITH base AS (SELECT * FROM documents WHERE ({GAPPY_TEXT}) <> ''), m(")
+    .replace("SELECT doc_id, source, position FROM r", "SELECT doc_id, source, position, md5(text) AS digest FROM r JOIN documents USING (doc_id, source)"),
 )
 def curate_sets(spark, folder):
     rows = documents(spark, folder).withColumn("text", F.expr(GAPPY_TEXT))
-    kept = K.keep_truthy(rows, ["text"]).select("doc_id", "source")
-    return K.capped_sample(kept, "doc_id", "source", cap_table(spark)).select("doc_id", "source", "position")
+    curated = K.curate(rows.select("doc_id", "source", "text"), "doc_id", "source", ["text"], cap_table(spark))
+    return curated.select("doc_id", "source", "position", F.md5("text").alias("digest"))
 
 
 @query(

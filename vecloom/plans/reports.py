@@ -10,7 +10,7 @@ from vecloom.operators import leaderboard as B
 from vecloom.plans import query
 from vecloom.sources import results as R
 from vecloom.sources import tables as S
-from vecloom.sources.staging import new_path
+from vecloom.sources.staging import new_path, stage
 
 # Result files of every shape, made from events in SQL that both engines read.
 NUM = "'0.' || lpad(cast(event_id % 1000 AS varchar(9)), 3, '0')"
@@ -47,6 +47,10 @@ def bodies(spark, folder):
     return S.table(spark, folder, "events").select("event_id", F.expr(BODY).alias("body"))
 
 
+def rounded(rows, *columns):
+    return rows.select(*columns, F.round("score", 6).alias("score"))
+
+
 COMPARE = pick_sql("d", ["main_score", "accuracy", "ndcg_at_10", "cos_sim.spearman", "ap"])
 SUMMARY = pick_sql("d", ["main_score", "accuracy", "ndcg_at_10", "cos_sim.spearman"])
 PARSE = pick_sql("f", ["main_score", "map", "accuracy", "spearman", "cos_sim.spearman"])
@@ -55,7 +59,7 @@ LIVE = pick_sql("f", ["main_score", "cos_sim.spearman", "accuracy"])
 
 @query("score_compare", f"WITH {DICT_SQL} SELECT event_id, round({COMPARE} * 100, 6) AS score FROM d")
 def score_compare(spark, folder):
-    return bodies(spark, folder).select("event_id", F.round(scores.compare_score(F.col("body")), 6).alias("score"))
+    return rounded(scores.compare_score(bodies(spark, folder)), "event_id")
 
 
 @query(
@@ -68,10 +72,7 @@ def score_compare(spark, folder):
             ELSE 'N/A' END AS metric FROM d""",
 )
 def score_summary(spark, folder):
-    body = F.col("body")
-    return bodies(spark, folder).select(
-        "event_id", F.round(scores.summary_score(body), 6).alias("score"), scores.summary_metric(body).alias("metric")
-    )
+    return rounded(scores.summary_score(bodies(spark, folder)), "event_id", "metric")
 
 
 @query(
@@ -80,13 +81,12 @@ def score_summary(spark, folder):
     WHERE j IS NOT NULL AND NOT coalesce(json_type(t) = 'OBJECT' AND len(json_keys(t)) > 0, FALSE)""",
 )
 def score_parse(spark, folder):
-    rows = bodies(spark, folder).select("event_id", F.round(scores.parse_score(F.col("body")), 6).alias("score"))
-    return rows.where("score IS NOT NULL")
+    return rounded(scores.parse_score(bodies(spark, folder)), "event_id")
 
 
 @query("score_live", f"WITH {DICT_SQL} SELECT event_id, round({LIVE}, 6) AS score FROM d")
 def score_live(spark, folder):
-    return bodies(spark, folder).select("event_id", F.round(scores.live_score(F.col("body")), 6).alias("score"))
+    return rounded(scores.live_score(bodies(spark, folder)), "event_id")
 
 
 ENTRY = """'{"timestamp":"t' || event_id || '","dataset":"d","results":[{"model":"m' || user_id || '","pearson":0.25,
@@ -213,7 +213,7 @@ def leaderboard_rank(spark, folder):
     results = docs.join(S.table(spark, folder, "labels"), "doc_id").groupBy("model").agg(
         F.round(F.avg("quality"), 6).alias("spearman")
     )
-    return B.ranked(results).select("model", "spearman", "place", "shown")
+    return B.ranked(stage(results, "results")).select("model", "spearman", "place", "shown")
 
 
 @query(

@@ -23,7 +23,7 @@ CHUNKS_SQL = f"""WITH t AS (SELECT doc_id, lang, text, {TOKENS} AS tk FROM docum
 
 
 def documents(spark, folder):
-    return S.table(spark, folder, "documents")
+    return S.spread(S.table(spark, folder, "documents").select("doc_id", "lang", "text"))
 
 
 @query("token_count", f"SELECT doc_id, CAST(len({TOKENS}) AS INTEGER) AS n_tokens FROM documents")
@@ -33,7 +33,7 @@ def token_count(spark, folder):
 
 @query("chunk_text", f"{CHUNKS_SQL} SELECT doc_id, lang, chunk_no, text FROM c")
 def chunk_text(spark, folder):
-    return chunking.token_chunks(documents(spark, folder).select("doc_id", "lang", "text"), max_tokens=MAX_TOKENS)
+    return chunking.token_chunks(documents(spark, folder), max_tokens=MAX_TOKENS)
 
 
 @query("chunk_text_plugged", f"{CHUNKS_SQL} SELECT doc_id, lang, chunk_no, md5(text) AS digest FROM c")
@@ -45,7 +45,7 @@ def chunk_text_plugged(spark, folder):
         return cut.findall, " ".join
 
     rows = chunking.token_chunks_with(
-        documents(spark, folder).select("doc_id", "lang", "text"), tokenizer, max_tokens=MAX_TOKENS
+        documents(spark, folder), tokenizer, max_tokens=MAX_TOKENS
     )
     return rows.select("doc_id", "lang", "chunk_no", F.md5("text").alias("digest"))
 
@@ -53,7 +53,7 @@ def chunk_text_plugged(spark, folder):
 @query("chunk_cache", f"{CHUNKS_SQL} SELECT lang, count(*) AS n_chunks, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM c GROUP BY lang")
 def chunk_cache(spark, folder):
     path = new_path(spark, "chunks")
-    docs = documents(spark, folder).select("doc_id", "lang", "text")
+    docs = documents(spark, folder)
     chunking.cached_chunks(docs, path, max_tokens=MAX_TOKENS)
     again = chunking.cached_chunks(docs, path, max_tokens=MAX_TOKENS)
     return again.groupBy("lang").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum(F.length("text")).alias("n_chars"))
@@ -61,14 +61,14 @@ def chunk_cache(spark, folder):
 
 @query("embed_batch")
 def embed_batch(spark, folder):
-    chunks = chunking.token_chunks(documents(spark, folder).select("doc_id", "lang", "text"))
+    chunks = chunking.token_chunks(documents(spark, folder))
     vectors = embedding.keep_embedded(embedding.embed_batches(chunks, embedding.hashing_embedder()))
     return vectors.select("doc_id", "chunk_no", "lang", "embedding")
 
 
 @query("embed_hashed")
 def embed_hashed(spark, folder):
-    chunks = chunking.token_chunks(documents(spark, folder).select("doc_id", "lang", "text"))
+    chunks = chunking.token_chunks(documents(spark, folder))
     return embedding.hashed_embedding(chunks).select("doc_id", "chunk_no", "lang", "embedding")
 
 
@@ -77,7 +77,7 @@ def embed_hashed(spark, folder):
     "SELECT lang, count(*) AS n_rows, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY lang",
 )
 def checkpoint_sink(spark, folder):
-    schema = documents(spark, folder).schema
+    schema = S.table(spark, folder, "documents").schema
     target = new_path(spark, "sink")
     for _ in range(2):  # the second run finds nothing new
         rows = checkpoints.file_stream(spark, folder, schema, "documents*.parquet")

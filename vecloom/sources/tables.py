@@ -13,11 +13,27 @@ from vecloom.sources.staging import small_table
 CURATION_SPLITS = ("train", "test")
 RETRIEVAL_SPLITS = ("test", "validation", "train")
 
+SMALL_INPUT = 16 * 1024 * 1024
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, small: int = SMALL_INPUT) -> DataFrame:
+    """Deal out the rows of a small table before heavy work on each row.
+
+    A file of one row group is one task, however many cores there are. Only inputs of
+    at most `small` bytes per core move; a large table has row groups enough.
+    """
+    spark, files = df.sparkSession, df.inputFiles()
+    cores = spark.sparkContext.defaultParallelism
+    if not 0 < len(files) < cores:
+        return df
+    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+    return df.repartition(cores) if size <= small * cores else df
+
+
 def load_split(df: DataFrame, split: str) -> DataFrame:
     return df.where(F.col("split") == split)
 
@@ -45,14 +61,17 @@ def with_test_split(df: DataFrame, by: str) -> DataFrame:
 
 
 def probe_schema(df: DataFrame, name: str, required: Sequence[str]) -> DataFrame:
-    """One row per required or present column: is it there, and how many values has it.
+    """One row per required or present column: is it there, and how many values it has if required.
 
     A missing column is reported, not raised.
     """
     columns = list(dict.fromkeys([*required, *df.columns]))
     counts = df.agg(
         F.count(F.lit(1)).alias("_n"),
-        *[(F.count(c) if c in df.columns else F.lit(None).cast("long")).alias(f"v_{c}") for c in columns],
+        *[
+            (F.count(c) if c in df.columns and c in required else F.lit(None).cast("long")).alias(f"v_{c}")
+            for c in columns
+        ],
     )
     entries = [
         F.struct(
