@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
-LOG_ENTRY = (
-    "struct<timestamp:string, dataset:string, results:array<struct<model:string, pearson:double, "
-    "spearman:double, num_samples:bigint, split:string, processing_time_seconds:double>>>"
+LOG_COLUMNS = (
+    "timestamp string, dataset string, results array<struct<model:string, pearson:double, "
+    "spearman:double, num_samples:bigint, split:string, processing_time_seconds:double>>"
 )
 
 
@@ -16,17 +17,21 @@ def log_entries(body: Column) -> Column:
     body = F.trim(body)
     whole = F.try_parse_json(body).isNotNull()
     wrapped = F.when(body.startswith("["), body).otherwise(F.concat(F.lit("["), body, F.lit("]")))
-    return F.when(whole, F.from_json(wrapped, f"array<{LOG_ENTRY}>"))
+    return F.when(whole, F.from_json(wrapped, ArrayType(StructType.fromDDL(LOG_COLUMNS))))
 
 
-def flat_log(files: DataFrame, body: str) -> DataFrame:
-    """One row per result of every entry of every log file."""
-    entry = files.select(F.explode(log_entries(F.col(body))).alias("e"))
-    return entry.select("e.timestamp", "e.dataset", F.explode("e.results").alias("r")).select(
+def results_of(entries: DataFrame) -> DataFrame:
+    """One row per result of every entry."""
+    return entries.select("timestamp", "dataset", F.explode("results").alias("r")).select(
         "timestamp", "dataset", "r.*"
     )
 
 
+def flat_log(files: DataFrame, body: str) -> DataFrame:
+    """One row per result of every entry of every log file, given as text."""
+    return results_of(files.select(F.explode(log_entries(F.col(body))).alias("e")).select("e.*"))
+
+
 def append_log(results: DataFrame, path: str, dataset: str) -> None:
     """Add one entry per result row to a folder of log files."""
     result = F.struct("model", "pearson", "spearman", "num_samples", "split", "processing_time_seconds")
@@ -37,14 +42,13 @@ def append_log(results: DataFrame, path: str, dataset: str) -> None:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """All results of a log folder or file; JSON lines and whole JSON files both count."""
-    files = spark.read.option("wholetext", True).text(path)
-    lines = F.split("value", "\n")
-    is_lines = (F.size(F.filter(lines, lambda x: F.trim(x) != "")) > 1) & F.try_parse_json(
-        F.get(lines, F.lit(0))
-    ).isNotNull()
-    bodies = files.select(F.explode(F.when(is_lines, lines).otherwise(F.array("value"))).alias("body"))
-    return flat_log(bodies, "body")
+    """All results of a log folder that `append_log` writes; broken lines are passed over."""
+    return results_of(spark.read.schema(LOG_COLUMNS).json(path))
+
+
+def read_log_files(spark: SparkSession, path: str) -> DataFrame:
+    """All results of files that hold one JSON document each."""
+    return flat_log(spark.read.text(path, wholetext=True), "value")
 
 
 def tree_records(files: DataFrame, path: str, body: str) -> DataFrame:
@@ -72,5 +76,5 @@ def tree_records(files: DataFrame, path: str, body: str) -> DataFrame:
 
 
 def read_tree(spark: SparkSession, root: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).text(f"{root}/*/*/*.json")
+    files = spark.read.text(f"{root}/*/*/*.json", wholetext=True)
     return tree_records(files.select(F.col("_metadata.file_path").alias("path"), "value"), "path", "value")
