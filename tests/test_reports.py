@@ -69,6 +69,20 @@ def test_report_lines(records):
     assert "| Retrieval | Apps-Retrieval-TR | nan | 6.07 |" in lines
 
 
+def test_summary_lines(spark):
+    rows = [("News-Cat", "Classification", "Accuracy", 90.625), ("X", "Other", "N/A", 0.0)]
+    records = spark.createDataFrame(rows, "Task string, Type string, Metric string, Score double")
+    lines = [r["line"] for r in B.summary_lines(records).orderBy("section", "part", "sort_key").collect()]
+    assert "| Classification | News-Cat | Accuracy | 90.62 |" in lines
+    assert "| Other | 0.00 |" in lines
+
+
+def test_unfinished_tasks(spark):
+    tasks = spark.createDataFrame([("a", "m"), ("b", "m")], "Task string, Model string")
+    done = spark.createDataFrame([("a", "m", 1.0), ("a", "m", 2.0)], "Task string, Model string, Score double")
+    assert [tuple(r) for r in B.unfinished(tasks, done).collect()] == [("b", "m")]
+
+
 def test_unknown_task_is_other_and_average_is_over_records(spark):
     rows = spark.createDataFrame([("New", "m", 1.0), ("STSb-TR", "m", 3.0), ("STSb-TR", "n", 5.0)], "Task string, Model string, Score double")
     typed = B.with_task_type(rows)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from vecloom.functions import vectors as X
 from vecloom.operators import agreement as A
+from vecloom.operators import models as M
 from vecloom.operators import retrieval as R
 from vecloom.operators import training_log as L
 
@@ -114,6 +115,16 @@ def test_v_measure(spark, rows, want):
     assert tuple(r) == pytest.approx(want, abs=1e-12)
 
 
+def test_models_on_separate_groups(spark):
+    rng = np.random.default_rng(0)
+    labels = np.arange(90) % 3
+    points = np.eye(3)[labels] * 10 + rng.normal(scale=0.1, size=(90, 3))
+    rows = [([float(x) for x in p], int(label)) for p, label in zip(points, labels)]
+    df = spark.createDataFrame(rows, "embedding array<float>, label int")
+    assert M.linear_probe(df.limit(60), df).first()["accuracy"] == 1.0
+    assert M.cluster_score(df, 3).first()["v_measure"] == pytest.approx(1.0)
+
+
 def fired(n, batch, every):
     """The loop itself: counts at which a checkpoint is written, then the final one."""
     marks, done, last = [], 0, 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,11 @@ def with_task_type(records: DataFrame) -> DataFrame:
     return records.join(types, "Task", "left").withColumn("Type", F.coalesce("Type", F.lit(OTHER)))
 
 
+def unfinished(tasks: DataFrame, records: DataFrame) -> DataFrame:
+    """(Task, Model) still to run: those without a record."""
+    return tasks.join(records.select("Task", "Model").distinct(), ["Task", "Model"], "left_anti")
+
+
 def model_names(records: DataFrame) -> list[str]:
     """The models, which become columns; refused if there are too many for that."""
     names = [r[0] for r in records.select("Model").distinct().orderBy("Model").limit(MAX_MODELS + 1).collect()]
@@ -46,9 +52,9 @@ def model_names(records: DataFrame) -> list[str]:
 
 
 def score_pivot(records: DataFrame, index: Sequence[str], models: Sequence[str] | None = None) -> DataFrame:
-    """One row per index, one column per model; repeats are averaged, gaps stay null."""
+    """One row per index, sorted, one column per model; repeats are averaged, gaps stay null."""
     models = model_names(records) if models is None else models
-    return records.groupBy(*index).pivot("Model", list(models)).agg(F.avg("Score"))
+    return records.groupBy(*index).pivot("Model", list(models)).agg(F.avg("Score")).orderBy(*index)
 
 
 def mean_by_type(records: DataFrame) -> DataFrame:
@@ -75,22 +81,26 @@ def score_delta(base: DataFrame, final: DataFrame, on: Sequence[str]) -> DataFra
     return before.join(after, list(on)).withColumn("delta", F.col("final") - F.col("baseline"))
 
 
-def markdown_lines(pivot: DataFrame, index: Sequence[str], title: str) -> DataFrame:
+def markdown_lines(table: DataFrame, index: Sequence[str], title: str) -> DataFrame:
     """(section, part, sort_key, line) of a markdown table, two decimals, gaps as nan.
 
     The lines are in order when sorted by the first three columns.
     """
-    models = [c for c in pivot.columns if c not in index]
-    cells = [F.col(c) for c in index] + [
-        F.when(F.col(f"`{m}`").isNull(), "nan").otherwise(F.format_string("%.2f", F.col(f"`{m}`"))) for m in models
-    ]
+    models = [c for c in table.columns if c not in index]
+
+    # Python's own formatting: exact halves go to even, where the JVM rounds them up.
+    @F.pandas_udf("string")
+    def two_digits(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: f"{x:.2f}")
+
+    cells = [F.col(c) for c in index] + [F.coalesce(two_digits(F.col(f"`{m}`")), F.lit("nan")) for m in models]
     row = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
-    body = pivot.select(
+    body = table.select(
         F.lit(title).alias("section"), F.lit(2).alias("part"), F.concat_ws("/", *index).alias("sort_key"), row.alias("line")
     )
     head = "| " + " | ".join([*index, *models]) + " |"
     rule = "| " + " | ".join([":---"] * len(index) + ["---:"] * len(models)) + " |"
-    top = pivot.sparkSession.createDataFrame(
+    top = table.sparkSession.createDataFrame(
         [(title, 0, "", head), (title, 1, "", rule)], "section string, part int, sort_key string, line string"
     )
     return top.unionByName(body)
@@ -102,3 +112,12 @@ def report_lines(records: DataFrame) -> DataFrame:
     detail = markdown_lines(score_pivot(records, ["Type", "Task"], models), ["Type", "Task"], "Detailed Results")
     means = markdown_lines(score_pivot(records, ["Type"], models), ["Type"], "Average Scores by Type")
     return detail.unionByName(means)
+
+
+def summary_lines(records: DataFrame) -> DataFrame:
+    """The report on one model: every task with its metric and score, then the mean of each type."""
+    detail = records.select("Type", "Task", "Metric", "Score")
+    means = mean_by_type(records)
+    return markdown_lines(detail, ["Type", "Task", "Metric"], "Evaluation Results").unionByName(
+        markdown_lines(means, ["Type"], "Averages by Type")
+    )

@@ -20,7 +20,7 @@ from pyspark.sql.types import DataType, IntegralType
 from vecloom.sources.staging import small_table
 
 CELL = "_cell"
-MAX_CELLS = 4096
+MAX_CELLS = 16_384
 # Rows that decide where the cells begin. Results do not depend on it, only balance.
 SPLIT_SAMPLE_ROWS = 2_000_000
 
@@ -35,7 +35,7 @@ def split_points(df: DataFrame, key: Column) -> list[float]:
     if total > SPLIT_SAMPLE_ROWS:
         keys = keys.sample(SPLIT_SAMPLE_ROWS / total, seed=42)
     shares = [i / cells for i in range(1, cells)]
-    row = keys.agg(F.percentile_approx("k", shares, 10 * cells)).first()
+    row = keys.agg(F.percentile_approx("k", shares, 4 * cells)).first()
     return sorted({p for p in row[0] or [] if not math.isnan(p)})
 
 

@@ -261,3 +261,42 @@ RULE = " | ".join(["---:"] * len(MODELS))
 )
 def report(spark, folder):
     return B.report_lines(records(spark, folder))
+
+
+# One model's result files, one per task: the mean quality under a key that depends on the number of rows.
+TASK_BODY = """'{"scores":{"test":[{"' || CASE n % 3 WHEN 0 THEN 'main_score' WHEN 1 THEN 'accuracy' ELSE 'ap' END || '":0.'
+    || lpad(cast(permille AS varchar(9)), 4, '0') || '}]}}'"""
+
+
+@query(
+    "summary_report",
+    f"""WITH {RECORDS_SQL}, t AS (SELECT "Task", "Type", count(*) AS n,
+        least(9999, CAST(floor(sum("Score") * 100 / count(*)) AS BIGINT)) AS permille FROM r GROUP BY "Task", "Type"),
+    s AS (SELECT "Task", "Type", CASE n % 3 WHEN 1 THEN 'Accuracy' ELSE 'N/A' END AS "Metric",
+        CASE WHEN n % 3 < 2 THEN CAST('0.' || lpad(permille::VARCHAR, 4, '0') AS DOUBLE) * 100 ELSE 0.0 END AS "Score" FROM t)
+    SELECT 'Evaluation Results' AS section, CAST(2 AS INTEGER) AS part, "Type" || '/' || "Task" || '/' || "Metric" AS sort_key,
+        '| ' || "Type" || ' | ' || "Task" || ' | ' || "Metric" || ' | ' || printf('%.2f', "Score") || ' |' AS line FROM s
+    UNION ALL SELECT 'Averages by Type', 2, "Type", '| ' || "Type" || ' | ' || printf('%.2f', round(avg("Score"), 6)) || ' |'
+        FROM s GROUP BY "Type"
+    UNION ALL VALUES ('Evaluation Results', 0, '', '| Type | Task | Metric | Score |'),
+        ('Evaluation Results', 1, '', '| :--- | :--- | :--- | ---: |'),
+        ('Averages by Type', 0, '', '| Type | mean_score |'), ('Averages by Type', 1, '', '| :--- | ---: |')""",
+)
+def summary_report(spark, folder):
+    total, n = F.sum("Score"), F.count(F.lit(1))
+    tasks = records(spark, folder).groupBy("Task").agg(
+        n.alias("n"), F.least(F.lit(9999).cast("long"), F.floor(total * 100 / n)).alias("permille")
+    )
+    scored = scores.summary_score(tasks.withColumn("body", F.expr(TASK_BODY)), name="Score")
+    return B.summary_lines(B.with_task_type(scored.withColumnRenamed("metric", "Metric")))
+
+
+@query(
+    "skip_finished",
+    f"""WITH {RECORDS_SQL}, c AS (SELECT "Task", "Model" FROM (SELECT DISTINCT "Task" FROM r), (SELECT unnest(['de', 'en', 'es', 'fr', 'tr']) AS "Model"))
+    SELECT "Task", "Model" FROM c WHERE ("Task", "Model") NOT IN (SELECT "Task", "Model" FROM r)""",
+)
+def skip_finished(spark, folder):
+    done = records(spark, folder)
+    models = F.explode(F.array(*[F.lit(m) for m in (*MODELS, "tr")])).alias("Model")
+    return B.unfinished(done.select("Task").distinct().select("Task", models), done)

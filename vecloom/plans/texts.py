@@ -66,6 +66,24 @@ def embed_batch(spark, folder):
     return vectors.select("doc_id", "chunk_no", "lang", "embedding")
 
 
+@query(
+    "embed_zip",
+    f"""{CHUNKS_SQL} SELECT doc_id, chunk_no, lang, length(text)::DOUBLE AS n_chars,
+        (length(text) - length(replace(text, ' ', '')))::DOUBLE AS n_spaces,
+        (length(text) - length(replace(text, 'e', '')))::DOUBLE AS n_e FROM c""",
+)
+def embed_zip(spark, folder):
+    """A model that counts characters shows that each vector meets its own row."""
+
+    def counter():
+        return lambda texts: [[len(t), t.count(" "), t.count("e")] for t in texts]
+
+    chunks = chunking.token_chunks(documents(spark, folder), max_tokens=MAX_TOKENS)
+    vectors = embedding.keep_embedded(embedding.embed_batches(chunks, counter))
+    names = ("n_chars", "n_spaces", "n_e")
+    return vectors.select("doc_id", "chunk_no", "lang", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+
+
 @query("embed_hashed")
 def embed_hashed(spark, folder):
     chunks = chunking.token_chunks(documents(spark, folder))
