@@ -55,7 +55,10 @@ def sampled(rows, cap, seed=42):
     return {k: i + 1 for i, k in enumerate(shuffled[:cap])}
 
 
-def test_capped_sample_with_a_hot_group(spark):
+@pytest.mark.parametrize("margin", [6.0, -20.0])
+def test_capped_sample_with_a_hot_group(spark, monkeypatch, margin):
+    # A margin that is too narrow must not change the result.
+    monkeypatch.setattr(K, "SAMPLE_MARGIN", margin)
     groups = {"hot": range(0, 4000), "exact": range(5000, 5100), "over": range(6000, 6101), "free": range(7000, 7400)}
     caps = {"hot": 1500, "exact": 100, "over": 100, "free": None}
     df = spark.createDataFrame([(k, g) for g, keys in groups.items() for k in keys], "id long, g string")

@@ -85,7 +85,7 @@ def test_hashed_embeddings_are_unit_length(spark):
 
 def test_top_tokens_break_ties_by_token(spark):
     df = spark.createDataFrame([("b a c a b d",), ("eé a",)], "text string")
-    got = V.top_tokens(V.token_frequency(df), 3).orderBy("rank").collect()
+    got = V.top_tokens(V.frequency_table(V.token_frequency(df)), 3).orderBy("rank").collect()
     assert [(r["token"], r["n"]) for r in got] == [("a", 3), ("b", 2), ("c", 1)]
 
 

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.functions.text import is_truthy, pair_prompt
-from vecloom.operators.ordered import CELL, numbered, running, split_points, with_cells
+from vecloom.operators.ordered import CELL, numbered, running, with_cells
 from vecloom.sources.staging import small_table, stage
 
 SEED = 42
+# Standard deviations by which candidates of a sample exceed its size.
+SAMPLE_MARGIN = 6.0
+PAST_DIGESTS = "g"
 
 # Data sets by task type, with row caps and weights where they have one.
 _PAIR = ["anchor", "positive"]
@@ -167,36 +170,41 @@ def capped_sample(
 
     A group at or under its cap keeps all rows in key order, unless `shuffle_always`.
     `caps` is a configuration table (by, max_samples); without cap a group stays whole.
-    `position` numbers the rows kept. `df` is read a few times: pass the keys only, or
-    a written table. The digest is spread evenly, so its leading
-    digits give the cells, and only cells below the cap go on to be sorted.
+    `position` numbers the rows kept. `df` is read a few times and its candidates are
+    written out, so pass the keys only.
+
+    Digests are spread evenly, so the cap's share of a group, and a margin, tell below
+    which digest its sample lies. Only rows below go on. Should the margin ever be too
+    narrow, the rows are taken again without a bound.
     """
-    digest = seeded_digest(F.col(key), seed)
     sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
     if caps is not None:
         sizes = sizes.join(caps, by, "left").withColumn("_cap", effective_cap(override, F.col("max_samples")))
     else:
         sizes = sizes.withColumn("_cap", effective_cap(override, F.lit(None)))
-    sizes = sizes.withColumn("_over", F.coalesce(F.col("_n") > F.col("_cap"), F.lit(False)) | F.lit(shuffle_always))
-    sizes, _ = small_table(sizes.select(by, "_cap", "_over"))
-
-    hashed = F.conv(F.substring("_digest", 1, 3), 16, 10).cast("double")
-    rows = with_cells(df.join(sizes, by), F.col(key), split_points(df, F.col(key)))
-    rows = rows.withColumn("_digest", F.when(F.col("_over"), digest)).withColumn(
-        CELL, F.when(F.col("_over"), hashed).otherwise(F.col(CELL))
-    )
-    counts = rows.where("_over").groupBy(by, CELL).agg(F.count(F.lit(1)).alias("n"), F.max("_cap").alias("_cap"))
-    earlier = Window.partitionBy(by).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
-    last = (
-        counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .where(F.col("_cap").isNull() | (F.col("before") < F.col("_cap")))
-        .groupBy(by)
-        .agg(F.max(CELL).alias("_last"))
+    over = F.coalesce(F.col("_n") > F.col("_cap"), F.lit(False))
+    share = F.col("_cap") / F.col("_n")
+    bound = share + SAMPLE_MARGIN * F.sqrt(share / F.col("_n"))
+    hex_bound = F.lower(F.lpad(F.hex(F.floor(bound * 2.0**32)), 8, "0"))
+    # A sort key past every digest where no bound applies.
+    bound = F.when(over & (bound < 1), hex_bound).otherwise(PAST_DIGESTS)
+    sizes = sizes.withColumns({"_over": over | F.lit(shuffle_always), "_bound": bound})
+    sizes, _ = small_table(sizes.select(by, "_cap", "_over", "_bound"))
+
+    digest = F.when(F.col("_over"), seeded_digest(F.col(key), seed))
+    rows = df.join(sizes, by).withColumn("_digest", digest)
+    kept = stage(rows.where(~F.col("_over") | (F.col("_digest") < F.col("_bound"))), "candidates")
+    found = kept.where(F.col("_bound") != PAST_DIGESTS).groupBy(by).agg(
+        F.count(F.lit(1)).alias("_found"), F.max("_cap").alias("_cap")
     )
-    last, _ = small_table(last)
-    kept = rows.join(last, by, "left").where(F.col("_last").isNull() | (F.col(CELL) <= F.col("_last"))).drop("_last")
-    placed = running(kept, [F.col("_digest"), F.col(key)], {"position": ("sum", F.lit(1).cast("long"))}, [by])
-    return placed.where(F.col("_cap").isNull() | (F.col("position") <= F.col("_cap"))).drop("_cap", "_over", "_digest")
+    if not found.where("_found < _cap").isEmpty():
+        kept = stage(rows, "candidates")
+
+    leading = F.conv(F.substring("_digest", 1, 4), 16, 10).cast("double")
+    cells = with_cells(kept, F.col(key)).withColumn(CELL, F.when(F.col("_over"), leading).otherwise(F.col(CELL)))
+    placed = running(cells, [F.col("_digest"), F.col(key)], {"position": ("sum", F.lit(1).cast("long"))}, [by])
+    within = F.col("_cap").isNull() | (F.col("position") <= F.col("_cap"))
+    return placed.where(within).drop("_cap", "_over", "_bound", "_digest")
 
 
 def curate(

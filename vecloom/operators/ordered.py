@@ -50,11 +50,6 @@ def with_cells(df: DataFrame, key: Column, points: Sequence[float] | None = None
     return cut.transform(df.withColumn("_key", key.cast("double"))).drop("_key")
 
 
-def with_hash_cells(df: DataFrame, hex_digest: Column) -> DataFrame:
-    """Cells for an order by a hex digest: its leading digits are spread evenly already."""
-    return df.withColumn(CELL, F.conv(F.substring(hex_digest, 1, 3), 16, 10).cast("double"))
-
-
 def running(
     df: DataFrame,
     order: Sequence[Column],

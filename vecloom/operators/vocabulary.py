@@ -24,16 +24,21 @@ def token_frequency(df: DataFrame, text: str = "text", by: tuple[str, ...] = ())
     )
 
 
+def frequency_table(counts: DataFrame) -> DataFrame:
+    """Token counts, written out with the number that orders them, as ranking reads them a few times."""
+    return stage(counts.withColumn("order_key", count_key("n", "token")), "tokens")
+
+
 def top_tokens(frequency: DataFrame, k: int = TOP_TOKENS) -> DataFrame:
-    """The k most frequent tokens, ranked; ties go by token."""
+    """The k most frequent tokens of a frequency table, ranked; ties go by token."""
     return top_tokens_by(frequency.withColumn("_all", F.lit(0)), "_all", k).drop("_all")
 
 
 def top_tokens_by(frequency: DataFrame, by: str, k: int) -> DataFrame:
-    """The k most frequent tokens of each group, ranked; ties go by token."""
+    """The k most frequent tokens of each group of a frequency table, ranked; ties go by token."""
     order = [F.desc("n"), F.asc("token")]
-    ranked = first_n(frequency, count_key("n", "token"), order, by, k, "rank")
-    return ranked.drop("row_limit", "available")
+    ranked = first_n(frequency, F.col("order_key"), order, by, k, "rank")
+    return ranked.drop("order_key", "row_limit", "available")
 
 
 def merge_vocabularies(primary: DataFrame, source: DataFrame, added: DataFrame) -> DataFrame:
@@ -112,8 +117,8 @@ def remap_vectors(
 
 
 def with_ids(frequency: DataFrame) -> DataFrame:
-    """(token, id): ids from 0 by falling frequency, ties by token."""
-    rows = with_cells(frequency, count_key("n", "token"))
+    """(token, id) of a frequency table: ids from 0 by falling frequency, ties by token."""
+    rows = with_cells(frequency, F.col("order_key"))
     place = {"rn": ("sum", F.lit(1).cast("long"))}
     ranked = running(rows, [F.desc("n"), F.asc("token")], place)
     return ranked.select("token", (F.col("rn") - 1).alias("id"))

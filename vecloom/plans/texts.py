@@ -113,7 +113,7 @@ FREQUENCY_SQL = f"f AS (SELECT lang, token, count(*) AS n FROM (SELECT lang, unn
     SELECT token, n, rank FROM (SELECT *, row_number() OVER (ORDER BY n DESC, token) AS rank FROM g) WHERE rank <= 64000""",
 )
 def vocab_topk(spark, folder):
-    return V.top_tokens(stage(V.token_frequency(documents(spark, folder)), "tokens"))
+    return V.top_tokens(V.frequency_table(V.token_frequency(documents(spark, folder))))
 
 
 @query(
@@ -122,7 +122,7 @@ def vocab_topk(spark, folder):
         SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, token) AS rank FROM f) WHERE rank <= 500""",
 )
 def vocab_by_lang(spark, folder):
-    counts = stage(V.token_frequency(documents(spark, folder), by=("lang",)), "tokens")
+    counts = V.frequency_table(V.token_frequency(documents(spark, folder), by=("lang",)))
     return V.top_tokens_by(counts, "lang", 500)
 
 
@@ -138,8 +138,8 @@ def vocab_by_lang(spark, folder):
     UNION ALL SELECT token, 'added' FROM a WHERE token NOT IN (SELECT token FROM p) AND token NOT IN (SELECT token FROM s)""",
 )
 def vocab_merge(spark, folder):
-    counts = stage(V.token_frequency(documents(spark, folder), by=("lang",)), "tokens")
-    primary = V.top_tokens(counts.where("lang = 'es'").select("token", "n"), 1000)
+    counts = V.frequency_table(V.token_frequency(documents(spark, folder), by=("lang",)))
+    primary = V.top_tokens(counts.where("lang = 'es'").drop("lang"), 1000)
     return V.merge_vocabularies(primary, counts.where("lang = 'en'"), V.top_tokens_by(counts, "lang", 500))
 
 
@@ -157,10 +157,10 @@ VOCABULARY_SQL = f"""{FREQUENCY_SQL},
 
 
 def vocabularies(spark, folder):
-    counts = stage(V.token_frequency(documents(spark, folder), by=("lang",)), "tokens")
+    counts = V.frequency_table(V.token_frequency(documents(spark, folder), by=("lang",)))
     vectors = S.table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    source = V.with_ids(counts.where("lang = 'en'").select("token", "n")).join(vectors.select("id"), "id", "left_semi")
-    target = V.with_ids(stage(counts.groupBy("token").agg(F.sum("n").alias("n")), "tokens"))
+    source = V.with_ids(counts.where("lang = 'en'")).join(vectors.select("id"), "id", "left_semi")
+    target = V.with_ids(V.frequency_table(counts.groupBy("token").agg(F.sum("n").alias("n"))))
     return stage(target, "target"), stage(source, "source"), vectors
 
 

@@ -26,9 +26,12 @@ def spread(df: DataFrame, small: int = SMALL_INPUT) -> DataFrame:
     A file of one row group is one task, however many cores there are. Only inputs of
     at most `small` bytes per core move; a large table has row groups enough.
     """
-    spark, files = df.sparkSession, df.inputFiles()
+    spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if not 0 < len(files) < cores:
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    files = df.inputFiles()
+    if not files:
         return df
     size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
     return df.repartition(cores) if size <= small * cores else df
