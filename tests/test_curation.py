@@ -95,6 +95,15 @@ def test_null_is_a_label(spark):
     assert K.label_cardinality(df, "missing").first()[0] == 3
 
 
+def test_loss_plan(spark):
+    rows = [("stsb_tr", 1), ("thy_sa", 1), ("thy_sa", None), ("tquad", 1), ("who", 1)]
+    df = spark.createDataFrame(rows, "dataset string, label int")
+    got = {r["name"]: (r["loss"], r["num_labels"]) for r in K.loss_plan(df, "dataset", "label").collect()}
+    assert got == {
+        "stsb_tr": ("CoSENTLoss", None), "thy_sa": ("SoftmaxLoss", 2), "tquad": ("MultipleNegativesRankingLoss", None),
+    }
+
+
 def test_retrieval_ids_keep_the_gap(spark):
     rows = [(0, "q", "d"), (1, "", "d"), (2, "q", None), (3, "q", "d")]
     df = spark.createDataFrame(rows, "k long, q string, d string")

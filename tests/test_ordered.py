@@ -66,6 +66,15 @@ def test_first_n_with_one_limit_and_with_a_table(spark, rows):
     assert out.groupby("g")["available"].max().to_dict() == {"hot": 700, "a": sizes["a"]}
 
 
+def test_first_n_of_more_groups_than_a_broadcast_takes(spark, rows, monkeypatch):
+    small = O.small_table
+    monkeypatch.setattr(O, "small_table", lambda df: small(df, bound=2))
+    got = result(O.first_n(spark.createDataFrame(rows), F.col("k"), [F.col("k")], "g", 40), ["g", "k", "rn"])
+    ranked = rows.assign(rn=rows.groupby("g")["k"].rank().astype("int64"))
+    want = ranked[ranked.rn <= 40][["g", "k", "rn"]].sort_values(["g", "k", "rn"], ignore_index=True)
+    pd.testing.assert_frame_equal(got, want)
+
+
 def test_running_sum_and_min(spark, rows):
     cells = O.with_cells(spark.createDataFrame(rows), F.col("k"))
     got = O.running(cells, [F.col("k")], {"s": ("sum", F.col("v")), "m": ("min", F.col("v"))}, ["g"])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from vecloom.functions.text import is_blank, tokens
 from vecloom.operators import chunking, embedding
 from vecloom.operators import vocabulary as V
-from vecloom.sources.staging import small_table
+from vecloom.sources.staging import shared_dir, small_table
 from vecloom.streaming import checkpoints
 
 
@@ -147,6 +147,24 @@ def test_small_table_leaves_large_sides_to_spark(spark):
     assert rows is None and many.count() == 6
 
 
+class Remote:
+    """As much of a session on a cluster as the folder choice looks at."""
+
+    def __init__(self, setting=None):
+        self.conf = {"spark.checkpoint.dir": setting}
+        self.sparkContext = self
+        self.master = "yarn"
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_needs_a_shared_folder():
+    assert shared_dir(Remote("hdfs:///tmp/x")) == "hdfs:///tmp/x"
+    with pytest.raises(RuntimeError):
+        shared_dir(Remote())
+
+
 def test_tokens_split_on_plain_white_space(spark):
     df = spark.createDataFrame([(" a\tb\r\nc d ",)], "t string")
     assert df.select(tokens(F.col("t"))).first()[0] == ["a", "b", "c d"]

@@ -61,12 +61,20 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
 
 
 def sts_result(scored: DataFrame, by: Sequence[str]) -> DataFrame:
-    """One result per `by` (model, split) from columns similarity and score, to 4 digits."""
-    scored = stage(scored.select(*by, "similarity", "score"), "scored")
+    """One result per `by` (model, split) from columns similarity and score, to 4 digits.
+
+    A column `seconds`, the time spent on each pair, is added up, to 2 digits.
+    """
+    timed = ["seconds"] if "seconds" in scored.columns else []
+    scored = stage(scored.select(*by, "similarity", "score", *timed), "scored")
     both = pearson(scored, "similarity", "score", by).join(spearman(scored, "similarity", "score", by), list(by))
-    return both.select(
+    result = both.select(
         *by, F.round("pearson", 4).alias("pearson"), F.round("spearman", 4).alias("spearman"), "num_samples"
     )
+    if not timed:
+        return result
+    spent = scored.groupBy(*by).agg(F.round(F.sum("seconds"), 2).alias("processing_time_seconds"))
+    return result.join(spent, list(by))
 
 
 def distill_losses(pairs: DataFrame, student: str, teacher: str, by: str) -> DataFrame:

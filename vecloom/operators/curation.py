@@ -59,6 +59,9 @@ PRESETS = {
         "scidocs_tr", "arguana_tr", "cqadupstack_gaming_tr",
     ],
 }
+# The loss of each task type; any other type gets the one for pairs.
+LOSS_BY_TYPE = {"CoSENTLoss": ["sts"], "SoftmaxLoss": ["classification", "pair_classification"]}
+LOSS_OF_PAIRS = "MultipleNegativesRankingLoss"
 # Column names that stand for the two sentences and the score of a scored pair.
 SCORED_PAIR_ALIASES = {
     "sentence1": ("sentence1", "sent1", "text1", "anchor"),
@@ -250,6 +253,28 @@ def label_cardinality(df: DataFrame, column: str, default: int = 3) -> DataFrame
     return df.agg((F.countDistinct(column) + F.coalesce(has_null, F.lit(0))).alias("num_labels"))
 
 
+def label_cardinality_by(df: DataFrame, by: str, column: str) -> DataFrame:
+    """(by, num_labels) with null as a label."""
+    has_null = F.max(F.col(column).isNull().cast("long"))
+    return df.groupBy(by).agg((F.countDistinct(column) + has_null).alias("num_labels"))
+
+
+def loss_plan(df: DataFrame, by: str, label: str) -> DataFrame:
+    """(name, task_type, loss, num_labels) of each data set in `df` that is registered.
+
+    Pairs are ranked, scored pairs compared, labelled texts classified; only the last
+    need a number of labels.
+    """
+    labels = label_cardinality_by(df, by, label).withColumnRenamed(by, "name")
+    kind = F.col("task_type")
+    loss = F.lit(LOSS_OF_PAIRS)
+    for name, types in LOSS_BY_TYPE.items():
+        loss = F.when(kind.isin(types), name).otherwise(loss)
+    plan = registry_table(df.sparkSession).join(labels, "name").withColumn("loss", loss)
+    needed = F.when(kind.isin(LOSS_BY_TYPE["SoftmaxLoss"]), F.col("num_labels"))
+    return plan.select("name", "task_type", "loss", needed.alias("num_labels"))
+
+
 def retrieval_task(pairs: DataFrame, order: Sequence[str], query: str, doc: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Queries, corpus and relevance of a pair table.
 

@@ -121,3 +121,10 @@ def summary_lines(records: DataFrame) -> DataFrame:
     return markdown_lines(detail, ["Type", "Task", "Metric"], "Evaluation Results").unionByName(
         markdown_lines(means, ["Type"], "Averages by Type")
     )
+
+
+def log_keys(scores: DataFrame, prefix: str) -> DataFrame:
+    """(key, value) as a run logs them: one per task and the mean, under baseline/ or final/."""
+    means = overall_mean(scores)
+    name = F.when(F.col("Task") == "AVERAGE", "mean_score").otherwise(F.col("Task"))
+    return means.select(F.concat(F.lit(f"{prefix}/mteb/"), name).alias("key"), F.col("Score").alias("value"))

@@ -419,3 +419,19 @@ def concat_sets(spark, folder):
 def label_count(spark, folder):
     labelled = documents(spark, folder).select("doc_id").join(S.table(spark, folder, "labels"), "doc_id", "left")
     return K.label_cardinality(labelled, "quality")
+
+
+LOSS_SQL = "CASE task_type WHEN 'sts' THEN 'CoSENTLoss' WHEN 'classification' THEN 'SoftmaxLoss' WHEN 'pair_classification' THEN 'SoftmaxLoss' ELSE 'MultipleNegativesRankingLoss' END"
+
+
+@query(
+    "loss_plan",
+    f"""WITH r(name, task_type) AS (VALUES {", ".join(f"('{n}', '{t}')" for t, names in K.DATASETS_BY_TYPE.items() for n in names)}),
+    m(source, name) AS (VALUES {SETS_SQL}),
+    c AS (SELECT name, count(DISTINCT quality) + max(CASE WHEN quality IS NULL THEN 1 ELSE 0 END) AS n
+        FROM documents JOIN m USING (source) LEFT JOIN labels USING (doc_id) GROUP BY name)
+    SELECT name, task_type, {LOSS_SQL} AS loss, CASE WHEN {LOSS_SQL} = 'SoftmaxLoss' THEN n END AS num_labels FROM r JOIN c USING (name)""",
+)
+def loss_plan(spark, folder):
+    labelled = documents(spark, folder).select("doc_id", "source").join(S.table(spark, folder, "labels"), "doc_id", "left")
+    return K.loss_plan(as_sets(spark, labelled), "dataset", "quality")

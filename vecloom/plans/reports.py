@@ -300,3 +300,17 @@ def skip_finished(spark, folder):
     done = records(spark, folder)
     models = F.explode(F.array(*[F.lit(m) for m in (*MODELS, "tr")])).alias("Model")
     return B.unfinished(done.select("Task").distinct().select("Task", models), done)
+
+
+@query(
+    "log_keys",
+    f"""WITH {RECORDS_SQL}, t AS (SELECT "Task", "Model", avg("Score") AS s FROM r GROUP BY ALL),
+    k AS (SELECT CASE "Model" WHEN 'en' THEN 'baseline' ELSE 'final' END AS p, "Task", s FROM t WHERE "Model" IN ('en', 'fr'))
+    SELECT p || '/mteb/' || "Task" AS key, round(s, 6) AS value FROM k
+    UNION ALL SELECT p || '/mteb/mean_score', round(avg(s), 6) FROM k GROUP BY p""",
+)
+def log_keys(spark, folder):
+    means = records(spark, folder).groupBy("Task", "Model").agg(F.avg("Score").alias("Score"))
+    before = B.log_keys(means.where("Model = 'en'"), "baseline")
+    after = B.log_keys(means.where("Model = 'fr'"), "final")
+    return before.unionByName(after).withColumn("value", F.round("value", 6))
