@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vecloom.functions.text import is_truthy, pair_prompt
 from vecloom.operators.ordered import CELL, numbered, running, with_cells
-from vecloom.sources.staging import small_table, stage
+from vecloom.sources.staging import small_table, stage, with_group_figures
 
 SEED = 42
 # Standard deviations by which candidates of a sample exceed its size.
@@ -163,13 +163,13 @@ def effective_cap(override: int | None, configured: Column) -> Column:
 def capped_sample(
     df: DataFrame,
     key: str,
-    by: str,
+    by: str | None,
     caps: DataFrame | None = None,
     override: int | None = None,
     shuffle_always: bool = False,
     seed: int = SEED,
 ) -> DataFrame:
-    """At most `cap` rows per group; a group over its cap is shuffled and cut.
+    """At most `cap` rows per group, or of the table without `by`; more are shuffled and cut.
 
     A group at or under its cap keeps all rows in key order, unless `shuffle_always`.
     `caps` is a configuration table (by, max_samples); without cap a group stays whole.
@@ -180,24 +180,25 @@ def capped_sample(
     which digest its sample lies. Only rows below go on. Should the margin ever be too
     narrow, the rows are taken again without a bound.
     """
-    sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    keys = [by] if by else []
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     if caps is not None:
         sizes = sizes.join(caps, by, "left").withColumn("_cap", effective_cap(override, F.col("max_samples")))
     else:
         sizes = sizes.withColumn("_cap", effective_cap(override, F.lit(None)))
     over = F.coalesce(F.col("_n") > F.col("_cap"), F.lit(False))
-    share = F.col("_cap") / F.col("_n")
-    bound = share + SAMPLE_MARGIN * F.sqrt(share / F.col("_n"))
+    share = F.col("_cap") / F.greatest("_n", F.lit(1))
+    bound = share + SAMPLE_MARGIN * F.sqrt(share / F.greatest("_n", F.lit(1)))
     hex_bound = F.lower(F.lpad(F.hex(F.floor(bound * 2.0**32)), 8, "0"))
     # A sort key past every digest where no bound applies.
     bound = F.when(over & (bound < 1), hex_bound).otherwise(PAST_DIGESTS)
     sizes = sizes.withColumns({"_over": over | F.lit(shuffle_always), "_bound": bound})
-    sizes, _ = small_table(sizes.select(by, "_cap", "_over", "_bound"))
+    sizes, _ = small_table(sizes.select(*keys, "_cap", "_over", "_bound"))
 
     digest = F.when(F.col("_over"), seeded_digest(F.col(key), seed))
-    rows = df.join(sizes, by).withColumn("_digest", digest)
+    rows = with_group_figures(df, sizes, by).withColumn("_digest", digest)
     kept = stage(rows.where(~F.col("_over") | (F.col("_digest") < F.col("_bound"))), "candidates")
-    found = kept.where(F.col("_bound") != PAST_DIGESTS).groupBy(by).agg(
+    found = kept.where(F.col("_bound") != PAST_DIGESTS).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_found"), F.max("_cap").alias("_cap")
     )
     if not found.where("_found < _cap").isEmpty():
@@ -205,7 +206,7 @@ def capped_sample(
 
     leading = F.conv(F.substring("_digest", 1, 4), 16, 10).cast("double")
     cells = with_cells(kept, F.col(key)).withColumn(CELL, F.when(F.col("_over"), leading).otherwise(F.col(CELL)))
-    placed = running(cells, [F.col("_digest"), F.col(key)], {"position": ("sum", F.lit(1).cast("long"))}, [by])
+    placed = running(cells, [F.col("_digest"), F.col(key)], {"position": ("sum", F.lit(1).cast("long"))}, keys)
     within = F.col("_cap").isNull() | (F.col("position") <= F.col("_cap"))
     return placed.where(within).drop("_cap", "_over", "_bound", "_digest")
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegralType
 
-from vecloom.sources.staging import small_table
+from vecloom.sources.staging import small_table, with_group_figures
 
 CELL = "_cell"
 MAX_CELLS = 16_384
@@ -87,20 +87,21 @@ def numbered(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name:
 
 
 def first_n(
-    df: DataFrame, key: Column, order: Sequence[Column], by: str, limits: DataFrame | int, name: str = "rn"
+    df: DataFrame, key: Column, order: Sequence[Column], by: str | None, limits: DataFrame | int, name: str = "rn"
 ) -> DataFrame:
-    """The first rows of each group, numbered from 1.
+    """The first rows of each group, or of the table without `by`, numbered from 1.
 
     `order` is a total order and `key` a number that never falls along it. `limits` is
     one number, or a configuration table (by, row_limit). A first pass over the keys
     finds the cell in which each group reaches its limit, so the second pass moves only
     rows that can be kept. `available` is what the group could offer, up to its limit.
     """
+    keys = [by] if by else []
     points = split_points(df, key)
     celled = with_cells(df, key, points)
-    earlier = Window.partitionBy(by).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
     counts = (
-        celled.groupBy(by, CELL)
+        celled.groupBy(*keys, CELL)
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     )
@@ -110,21 +111,21 @@ def first_n(
         counts = counts.join(limits, by)
     need = (
         counts.where("before < row_limit")
-        .groupBy(by)
+        .groupBy(*keys)
         .agg(
             F.max(CELL).alias("_last"),
             F.max("row_limit").alias("row_limit"),
             F.least(F.sum("n"), F.max("row_limit")).alias("available"),
         )
     )
+    # Nothing past the furthest cell is needed; the bound can reach the scan.
     need, rows = small_table(need)
-    if rows is not None:
-        # Nothing past the furthest cell is needed; the bound can reach the scan.
-        last = int(max((r["_last"] for r in rows), default=0))
-        if last < len(points):
-            celled = celled.where(key <= at_least(points[last], celled.select(key).schema[0].dataType))
-    kept = celled.join(need, by).where(F.col(CELL) <= F.col("_last")).drop("_last")
-    ranked = running(kept, order, {name: ("sum", F.lit(1).cast("long"))}, [by])
+    last = max((r["_last"] for r in rows), default=0) if rows is not None else need.agg(F.max("_last")).first()[0]
+    last = int(last or 0)
+    if last < len(points):
+        celled = celled.where(key <= at_least(points[last], celled.select(key).schema[0].dataType))
+    kept = with_group_figures(celled, need, by).where(F.col(CELL) <= F.col("_last")).drop("_last")
+    ranked = running(kept, order, {name: ("sum", F.lit(1).cast("long"))}, keys)
     return ranked.where(F.col(name) <= F.col("row_limit"))
 
 

@@ -31,10 +31,10 @@ def frequency_table(counts: DataFrame) -> DataFrame:
 
 def top_tokens(frequency: DataFrame, k: int = TOP_TOKENS) -> DataFrame:
     """The k most frequent tokens of a frequency table, ranked; ties go by token."""
-    return top_tokens_by(frequency.withColumn("_all", F.lit(0)), "_all", k).drop("_all")
+    return top_tokens_by(frequency, None, k)
 
 
-def top_tokens_by(frequency: DataFrame, by: str, k: int) -> DataFrame:
+def top_tokens_by(frequency: DataFrame, by: str | None, k: int) -> DataFrame:
     """The k most frequent tokens of each group of a frequency table, ranked; ties go by token."""
     order = [F.desc("n"), F.asc("token")]
     ranked = first_n(frequency, F.col("order_key"), order, by, k, "rank")

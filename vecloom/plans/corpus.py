@@ -335,8 +335,8 @@ def capped_override(spark, folder):
     WHERE position <= 1000""",
 )
 def eval_subsample(spark, folder):
-    rows = documents(spark, folder).select("doc_id", F.lit("eval").alias("set_name"))
-    sample = K.capped_sample(rows, "doc_id", "set_name", override=1000, shuffle_always=True)
+    rows = documents(spark, folder).select("doc_id")
+    sample = K.capped_sample(rows, "doc_id", None, override=1000, shuffle_always=True)
     return sample.select("doc_id", "position")
 
 

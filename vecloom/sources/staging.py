@@ -51,3 +51,11 @@ def small_table(df: DataFrame, bound: int = SMALL_ROWS) -> tuple[DataFrame, list
     if len(rows) > bound:
         return stage(df, "large-side"), None
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), rows
+
+
+def with_group_figures(df: DataFrame, side: DataFrame, by: str | None) -> DataFrame:
+    """Add to each row the figures of its group, or the one row of figures of the whole table."""
+    if by is not None:
+        return df.join(side, by)
+    whole = side.first()
+    return df.withColumns({f.name: F.lit(whole[f.name]).cast(f.dataType) for f in side.schema.fields})
