@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from vecloom.functions.text import pair_prompt, shorten, unit_score
 from vecloom.operators import curation as K
+from vecloom.operators import ordered as O
 
 
 def test_registry_and_presets(spark):
@@ -118,3 +119,22 @@ def test_text_expressions(spark):
     rows = df.select(pair_prompt(F.col("a"), F.col("b")), unit_score(F.col("s")), shorten(F.col("n"))).collect()
     assert tuple(rows[0]) == ("Premise: a Hypothesis: None", pytest.approx(0.84), "n" * 50)
     assert tuple(rows[1]) == ("Premise: b Hypothesis: c", 1.0, "n" * 48 + "..")
+
+
+def test_curated_rows_are_whole(spark):
+    rows = [(i, "hot" if i % 3 else "cold", "" if i % 10 == 0 else f"t{i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, g string, text string")
+    caps = spark.createDataFrame([("hot", 50), ("cold", 1000)], "g string, max_samples long")
+    got = K.curate(df, "id", "g", ["text"], caps).collect()
+    full = {g: [i for i, name, text in rows if name == g and text] for g in ("hot", "cold")}
+    want = {"hot": sampled(full["hot"], 50), "cold": sampled(full["cold"], 1000)}
+    assert {g: {r["id"]: r["position"] for r in got if r["g"] == g} for g in want} == want
+    assert all(r["text"] == f"t{r['id']}" for r in got)
+
+
+def test_rows_without_a_group_are_kept(spark):
+    df = spark.createDataFrame([(i, None if i < 30 else "a") for i in range(60)], "id long, g string")
+    assert K.capped_sample(df, "id", "g", override=10).groupBy("g").count().where("count = 10").count() == 2
+    assert K.capped_sample(df, "id", "g").count() == 60
+    assert O.first_n(df, F.col("id"), [F.col("id")], "g", 7).count() == 14
+    assert O.numbered(df, ["id"], ["g"]).groupBy("g").agg(F.max("rn")).where("`max(rn)` = 30").count() == 2

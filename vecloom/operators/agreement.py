@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.vectors import cosine, mean_vector, squared_error
@@ -107,24 +107,24 @@ def v_measure(df: DataFrame, label: str, cluster: str) -> DataFrame:
     by_label = cells.groupBy(label).agg(F.sum("n").alias("n_label"))
     by_cluster = cells.groupBy(cluster).agg(F.sum("n").alias("n_cluster"))
     n = cells.agg(F.sum("n")).first()[0]
+    joint = cells.join(by_label, label).join(by_cluster, cluster)
 
-    def entropy(counts: DataFrame, column: str, name: str) -> DataFrame:
-        share = F.col(column) / n
-        return counts.agg((-F.sum(share * F.log(share))).alias(name))
+    def entropy(part: Column) -> Column:
+        """Summed over the cells of the table, each with its share of all rows."""
+        return -F.sum(F.col("n") / n * F.log(part))
 
-    joint = cells.join(by_label, label).join(by_cluster, cluster)
-    share = F.col("n") / n
-    given = joint.agg(
-        (-F.sum(share * F.log(F.col("n") / F.col("n_cluster")))).alias("h_label_given"),
-        (-F.sum(share * F.log(F.col("n") / F.col("n_label")))).alias("h_cluster_given"),
+    def explained(left: str, whole: str) -> Column:
+        return F.when(F.col(whole) == 0, 1.0).otherwise(1 - F.col(left) / F.col(whole))
+
+    entropies = joint.agg(
+        entropy(F.col("n_label") / n).alias("h_label"),
+        entropy(F.col("n_cluster") / n).alias("h_cluster"),
+        entropy(F.col("n") / F.col("n_cluster")).alias("h_label_left"),
+        entropy(F.col("n") / F.col("n_label")).alias("h_cluster_left"),
     )
-    one_row = given.withColumn("_k", F.lit(0))
-    for part in (entropy(by_label, "n_label", "h_label"), entropy(by_cluster, "n_cluster", "h_cluster")):
-        one_row = one_row.join(part.withColumn("_k", F.lit(0)), "_k")
-    part_of = lambda rest, whole: F.when(F.col(whole) == 0, 1.0).otherwise(1 - F.col(rest) / F.col(whole))
-    scores = one_row.select(
-        part_of("h_label_given", "h_label").alias("homogeneity"),
-        part_of("h_cluster_given", "h_cluster").alias("completeness"),
+    scores = entropies.select(
+        explained("h_label_left", "h_label").alias("homogeneity"),
+        explained("h_cluster_left", "h_cluster").alias("completeness"),
     )
     both = F.col("homogeneity") + F.col("completeness")
     return scores.withColumn(

@@ -160,25 +160,13 @@ def effective_cap(override: int | None, configured: Column) -> Column:
     return F.lit(int(override)).cast("long") if override else own
 
 
-def capped_sample(
-    df: DataFrame,
-    key: str,
-    by: str | None,
-    caps: DataFrame | None = None,
-    override: int | None = None,
-    shuffle_always: bool = False,
-    seed: int = SEED,
+def sample_bounds(
+    df: DataFrame, by: str | None, caps: DataFrame | None, override: int | None, shuffle_always: bool = False
 ) -> DataFrame:
-    """At most `cap` rows per group, or of the table without `by`; more are shuffled and cut.
-
-    A group at or under its cap keeps all rows in key order, unless `shuffle_always`.
-    `caps` is a configuration table (by, max_samples); without cap a group stays whole.
-    `position` numbers the rows kept. `df` is read a few times and its candidates are
-    written out, so pass the keys only.
+    """(by, _cap, _over, _bound): the cap of each group, if it is shuffled, and a digest bound.
 
     Digests are spread evenly, so the cap's share of a group, and a margin, tell below
-    which digest its sample lies. Only rows below go on. Should the margin ever be too
-    narrow, the rows are taken again without a bound.
+    which digest its sample lies.
     """
     keys = [by] if by else []
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -187,28 +175,63 @@ def capped_sample(
     else:
         sizes = sizes.withColumn("_cap", effective_cap(override, F.lit(None)))
     over = F.coalesce(F.col("_n") > F.col("_cap"), F.lit(False))
-    share = F.col("_cap") / F.greatest("_n", F.lit(1))
-    bound = share + SAMPLE_MARGIN * F.sqrt(share / F.greatest("_n", F.lit(1)))
+    n = F.greatest("_n", F.lit(1))
+    share = F.col("_cap") / n
+    bound = share + SAMPLE_MARGIN * F.sqrt(share / n)
     hex_bound = F.lower(F.lpad(F.hex(F.floor(bound * 2.0**32)), 8, "0"))
     # A sort key past every digest where no bound applies.
     bound = F.when(over & (bound < 1), hex_bound).otherwise(PAST_DIGESTS)
     sizes = sizes.withColumns({"_over": over | F.lit(shuffle_always), "_bound": bound})
-    sizes, _ = small_table(sizes.select(*keys, "_cap", "_over", "_bound"))
+    return sizes.select(*keys, "_cap", "_over", "_bound")
 
+
+def candidates(df: DataFrame, key: str, by: str | None, bounds: DataFrame, seed: int) -> DataFrame:
+    """The rows that can be in the sample, found without a shuffle if the groups are few."""
     digest = F.when(F.col("_over"), seeded_digest(F.col(key), seed))
-    rows = with_group_figures(df, sizes, by).withColumn("_digest", digest)
-    kept = stage(rows.where(~F.col("_over") | (F.col("_digest") < F.col("_bound"))), "candidates")
-    found = kept.where(F.col("_bound") != PAST_DIGESTS).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_found"), F.max("_cap").alias("_cap")
-    )
+    rows = with_group_figures(df, bounds, by).withColumn("_digest", digest)
+    return rows.where(~F.col("_over") | (F.col("_digest") < F.col("_bound")))
+
+
+def draw(
+    df: DataFrame, key: str, by: str | None, bounds: DataFrame, seed: int = SEED
+) -> tuple[DataFrame, DataFrame]:
+    """The sample with its positions, and the bounds that hold.
+
+    Should the margin ever be too narrow, the rows are taken again without a bound.
+    """
+    keys = [by] if by else []
+    bounds, _ = small_table(bounds)
+    kept = stage(candidates(df, key, by, bounds, seed), "candidates")
+    found = kept.where(F.col("_bound") != PAST_DIGESTS).groupBy(*keys)
+    found = found.agg(F.count(F.lit(1)).alias("_found"), F.max("_cap").alias("_cap"))
     if not found.where("_found < _cap").isEmpty():
-        kept = stage(rows, "candidates")
+        bounds = bounds.withColumn("_bound", F.lit(PAST_DIGESTS))
+        kept = stage(candidates(df, key, by, bounds, seed), "candidates")
 
     leading = F.conv(F.substring("_digest", 1, 4), 16, 10).cast("double")
     cells = with_cells(kept, F.col(key)).withColumn(CELL, F.when(F.col("_over"), leading).otherwise(F.col(CELL)))
     placed = running(cells, [F.col("_digest"), F.col(key)], {"position": ("sum", F.lit(1).cast("long"))}, keys)
     within = F.col("_cap").isNull() | (F.col("position") <= F.col("_cap"))
-    return placed.where(within).drop("_cap", "_over", "_bound", "_digest")
+    return placed.where(within).drop("_cap", "_over", "_bound", "_digest"), bounds
+
+
+def capped_sample(
+    df: DataFrame,
+    key: str,
+    by: str | None,
+    caps: DataFrame | None = None,
+    override: int | None = None,
+    shuffle_always: bool = False,
+    seed: int = SEED,
+) -> DataFrame:
+    """At most `cap` rows per group, or of the table without `by`; more are shuffled and cut.
+
+    A group at or under its cap keeps all rows in key order, unless `shuffle_always`.
+    `caps` is a configuration table (by, max_samples); without cap a group stays whole.
+    `position` numbers the rows kept. Candidates are written out: pass the keys only,
+    and see `curate` for whole rows.
+    """
+    return draw(df, key, by, sample_bounds(df, by, caps, override, shuffle_always), seed)[0]
 
 
 def curate(
@@ -217,14 +240,16 @@ def curate(
     """Filter, then cap: the rows with text in all `columns`, at most the cap per group.
 
     The sample is drawn on a written table of the keys, so the texts are read twice
-    (filter, result) however many passes the sample takes.
+    (filter, result) however many passes the sample takes, and only texts of
+    candidates are shuffled.
     """
     kept = keep_truthy(df, columns)
     if kept is None:
         return df.limit(0).withColumn("position", F.lit(None).cast("long"))
     keys = stage(kept.select(key, by), "keys")
-    sample = capped_sample(keys, key, by, caps, override)
-    return df.join(sample.select(key, "position"), key)
+    sample, bounds = draw(keys, key, by, sample_bounds(keys, by, caps, override))
+    rows = candidates(df, key, by, bounds, SEED).select(*df.columns)
+    return rows.join(sample.select(key, "position"), key)
 
 
 def with_batches(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:

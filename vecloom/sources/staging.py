@@ -54,8 +54,12 @@ def small_table(df: DataFrame, bound: int = SMALL_ROWS) -> tuple[DataFrame, list
 
 
 def with_group_figures(df: DataFrame, side: DataFrame, by: str | None) -> DataFrame:
-    """Add to each row the figures of its group, or the one row of figures of the whole table."""
+    """Add to each row the figures of its group, or the one row of figures of the whole table.
+
+    Rows without a group name form a group too.
+    """
     if by is not None:
-        return df.join(side, by)
+        side = side.withColumnRenamed(by, "_group")
+        return df.join(side, F.col(by).eqNullSafe(F.col("_group"))).drop("_group")
     whole = side.first()
     return df.withColumns({f.name: F.lit(whole[f.name]).cast(f.dataType) for f in side.schema.fields})

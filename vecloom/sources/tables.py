@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.sources.staging import small_table
+from vecloom.sources.staging import small_table, with_group_figures
 
 # Order in which splits are tried.
 CURATION_SPLITS = ("train", "test")
@@ -51,7 +51,7 @@ def first_present_split(df: DataFrame, order: Sequence[str], by: str | None = No
         best = usable.agg(F.min(rank)).first()[0]
         return usable.where(F.col("split") == (order[best] if best is not None else None))
     best, _ = small_table(usable.groupBy(by).agg(F.min(rank).alias("_best")))
-    return usable.join(best, by).where(rank == F.col("_best")).drop("_best")
+    return with_group_figures(usable, best, by).where(rank == F.col("_best")).drop("_best")
 
 
 def with_test_split(df: DataFrame, by: str) -> DataFrame:
@@ -60,7 +60,7 @@ def with_test_split(df: DataFrame, by: str) -> DataFrame:
     names = F.when(
         (F.col("split") == "validation") & ~F.col("_has_test"), F.array(F.lit("validation"), F.lit("test"))
     ).otherwise(F.array("split"))
-    return df.join(has_test, by).withColumn("split", F.explode(names)).drop("_has_test")
+    return with_group_figures(df, has_test, by).withColumn("split", F.explode(names)).drop("_has_test")
 
 
 def probe_schema(df: DataFrame, name: str, required: Sequence[str]) -> DataFrame:
