@@ -21,6 +21,7 @@ from vecloom.sources.staging import small_table, with_group_figures
 
 CELL = "_cell"
 MAX_CELLS = 16_384
+ROWS_PER_CELL = 1_000_000
 # Rows that decide where the cells begin. Results do not depend on it, only balance.
 SPLIT_SAMPLE_ROWS = 2_000_000
 
@@ -29,9 +30,10 @@ FOLDS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 def split_points(df: DataFrame, key: Column) -> list[float]:
     """Ascending cut points that spread the rows evenly by `key` (at most MAX_CELLS)."""
-    cells = min(MAX_CELLS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = df.select(key.cast("double").alias("k"))
     total = keys.count()
+    cells = min(MAX_CELLS, max(4 * partitions, total // ROWS_PER_CELL))
     if total > SPLIT_SAMPLE_ROWS:
         keys = keys.sample(SPLIT_SAMPLE_ROWS / total, seed=42)
     shares = [i / cells for i in range(1, cells)]
