@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import hosts, line_dedup, outliers, packing
+from vecloom.llm import hosts, line_dedup, ngram_join, outliers, packing
 from vecloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,8 @@ FROM p LEFT JOIN fit USING (page_id) LEFT JOIN b USING (host)
 @query("op10_url_filters", HOSTS_SQL)
 def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return hosts.judge_urls(page_outcomes(table(spark, folder, "pages")))
+
+
+@query("op2_ngram_jaccard_join")
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, folder, "documents"), n=3, percent=90)
