@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +49,19 @@ def join_by_key(left: DataFrame, right: DataFrame, how: str = "left") -> DataFra
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+# What a Python worker holds of texts at once.
+SLICE_ROWS = 4_000
+SLICE_BYTES = 24_000_000
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in slices of at most SLICE_ROWS rows and about SLICE_BYTES of text (one text at least)."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size.astype(np.int64)) // SLICE_BYTES
+        cuts = [*range(0, len(part), SLICE_ROWS), *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        cuts = sorted(set(cuts))
+        for begin, end in zip(cuts, cuts[1:]):
+            yield batch.slice(begin, end - begin)

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import partitions
+from vecloom.llm.common import partitions, text_slices
 from vecloom.llm.components import components
 from vecloom.sources.staging import stage
 
@@ -20,7 +20,6 @@ SHARE = 1 / 500_000
 TREE_ROWS = 200
 # Rounds in which each bucket is compared with one leader before its rest is compared pair by pair.
 STAR_ROUNDS = 2
-BATCH_ROWS = 2_000
 
 LIGHT = np.uint64((1 << 62) - 1)
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -73,12 +72,6 @@ def ngram_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     return sets
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, BATCH_ROWS):
-            yield batch.slice(at, BATCH_ROWS)
-
-
 def frequent_ngrams(docs: DataFrame, n: int) -> np.ndarray:
     """N-grams with at least SHARE of all places, the rarest first; every document is read.
 
@@ -87,7 +80,7 @@ def frequent_ngrams(docs: DataFrame, n: int) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in text_slices(batches, 0):
             sets = ngram_sets(batch.column(0), n)
             grams, times = np.unique(np.concatenate(sets), return_counts=True)
             total = int(times.sum())
@@ -121,7 +114,7 @@ def ordered_sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, wh
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in _slices(batches):
+        for batch in text_slices(batches, 1):
             sets = ngram_sets(batch.column(1), n)
             out, keys = [], []
             for grams in sets:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,24 +13,37 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import partitions
+from vecloom.llm.common import partitions, text_slices
 from vecloom.sources.staging import stage
 
 CAPACITY = 2048
 END_ID = 0
-# Words that a worker remembers with their ids; beyond it the memory starts anew.
-REMEMBERED = 400_000
+# Parts of words that a worker remembers with their ids; beyond it the memory starts anew.
+REMEMBERED = 1_000_000
 # Sequences with more room than this are packed once more, with those of other shards.
 SLACK = 64
 # A shard of the second round takes what this many shards of the first left over.
 MERGE = 16
 
 
+# Letters of the Latin blocks, which composition leaves alone, and ASCII marks after them but no apostrophe.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([^0-9A-Za-z\\s'\x7f-\U0010ffff]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary: itself if printable, else the next one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class WordTokens:
     """Ids of whole texts from the ids of their words.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its pieces between white space, one after another.
+    The tokenizer drops white space and never joins across it, nor letters with marks, so a text's
+    ids are those of its parts, one after another. A part is a run of letters, the marks after it, or any
+    other piece between white space. Runs of letters go to the model as they are, all else through
+    the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -37,32 +52,63 @@ class WordTokens:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
-        self.known: dict[str, np.ndarray] = {}
-
-    def of(self, words: list[str]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = words
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, found in zip(part, self.encode(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, dtype="<u4")
-        return [self.known[w] for w in words]
+        whole = Tokenizer.from_file(path)
+        self.encode, self.model = whole.encode_batch_fast, whole.model
+        self.letters = _byte_letters()
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {"": 0}
+        self.sizes, self.ids = array("q", [0]), array("I")
+
+    def add(self, part: str, ids: list[int]) -> int:
+        found = self.known[part] = len(self.sizes)
+        self.sizes.append(len(ids))
+        self.ids.extend(ids)
+        return found
+
+    def letters_ids(self, part: str) -> list[int]:
+        raw = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(raw)]
+
+    def parts(self, words: list[str]) -> np.ndarray:
+        """Two numbers for each word: its parts (0 for none)."""
+        if len(self.known) > REMEMBERED:
+            self.clear()
+        known, out, later = self.known, np.zeros((len(words), 2), np.int64), {}
+        for i, word in enumerate(words):
+            plain = PLAIN.fullmatch(word)
+            if plain:
+                head, tail = plain[1].lower(), plain[2]
+                at = known.get(head)
+                out[i, 0] = self.add(head, self.letters_ids(head)) if at is None else at
+                if tail:
+                    at = known.get(tail)
+                    out[i, 1] = self.add(tail, self.encode([tail], add_special_tokens=False)[0].ids) if at is None else at
+            else:
+                later[i] = "\n" + word  # a key of its own: case counts here
+        new = [w for w in dict.fromkeys(later.values()) if w not in known]
+        for word, found in zip(new, self.encode([w[1:] for w in new], add_special_tokens=False)):
+            self.add(word, found.ids)
+        for i, word in later.items():
+            out[i, 0] = known[word]
+        return out
 
     def texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text closed by end_id, and where each text begins (and the last ends)."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = lists.flatten().dictionary_encode()
-        ids = [*self.of(coded.dictionary.to_pylist()), np.array([end_id], dtype="<u4")]
-        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        word = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype("int64"), ends, len(ids) - 1)
-        size = np.array([len(x) for x in ids])
+        parts = self.parts(coded.dictionary.to_pylist())
+        end = self.known.get("\nend")
+        end = self.add("\nend", [end_id]) if end is None else end
+        ends = 2 * np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        part = np.insert(parts[coded.indices.to_numpy(zero_copy_only=False)].ravel(), ends, end)
+        size = np.frombuffer(self.sizes, np.int64)
         first = np.cumsum(size) - size
-        n = size[word]
+        n = size[part]
         begin = np.cumsum(n) - n
-        flat = np.concatenate(ids)[np.repeat(first[word] - begin, n) + np.arange(n.sum())]
+        ids = np.frombuffer(self.ids, np.uint32)
+        flat = ids[np.repeat(first[part] - begin, n) + np.arange(n.sum())].astype("<u4")
         return flat, np.concatenate([[0], np.cumsum(n)[ends + np.arange(len(ends))]])
 
 
@@ -75,28 +121,26 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokens(tokenizer_path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1_000):
-                part = batch.slice(at, 1_000)
-                flat, bounds = tokens.texts(part.column(1), end_id)
-                total = np.diff(bounds)
-                pieces = -(-total // capacity)
-                doc = np.repeat(np.arange(len(total)), pieces)
-                piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-                start = piece * capacity
-                length = np.minimum(total[doc] - start, capacity)
-                begin = bounds[doc] + start
-                raw = flat.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array(doc)),
-                        pa.array(piece, pa.int32()),
-                        pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()),
-                        pa.array([raw[4 * b : 4 * (b + n)] for b, n in zip(begin.tolist(), length.tolist())], pa.binary()),
-                    ],
-                    names=["doc_id", "piece", "start", "length", "ids"],
-                )
+        for part in text_slices(batches, 1):
+            flat, bounds = tokens.texts(part.column(1), end_id)
+            total = np.diff(bounds)
+            pieces = -(-total // capacity)
+            doc = np.repeat(np.arange(len(total)), pieces)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            length = np.minimum(total[doc] - start, capacity)
+            begin = bounds[doc] + start
+            raw = flat.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0).take(pa.array(doc)),
+                    pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()),
+                    pa.array([raw[4 * b : 4 * (b + n)] for b, n in zip(begin.tolist(), length.tolist())], pa.binary()),
+                ],
+                names=["doc_id", "piece", "start", "length", "ids"],
+            )
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
