@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import hosts, line_dedup, ngram_join, outliers, packing
+from vecloom.llm import hosts, line_dedup, ngram_join, outliers, packing, repeats
 from vecloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,9 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_ngram_jaccard_join")
 def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, folder, "documents"), n=3, percent=90)
+
+
+@query("op7_suffix_array_dedup")
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
