@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import hosts, line_dedup, ngram_join, outliers, packing, repeats
+from vecloom.llm import hosts, line_dedup, ngram_join, outliers, packing, pii, repeats
 from vecloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,11 @@ def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_pii")
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.personal_data(table(spark, folder, "documents"))
+    counts = [(F.size("base") - F.size(F.array_remove("base.kind", k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    base, spans = pii.listed(F.col("base")), pii.listed(F.col("spans"))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
