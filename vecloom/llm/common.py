@@ -65,3 +65,30 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.R
         cuts = sorted(set(cuts))
         for begin, end in zip(cuts, cuts[1:]):
             yield batch.slice(begin, end - begin)
+
+
+def compressed(docs: DataFrame) -> DataFrame:
+    """`text` as the compressed bytes `packed`, for tables of texts that are shuffled; other columns stay."""
+    at = docs.columns.index("text")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=3).compress
+        for part in text_slices(batches, at):
+            packed = [press(x.as_buffer()) if x.is_valid else b"" for x in part.column(at)]
+            columns = [pa.array(packed, pa.binary()) if i == at else c for i, c in enumerate(part.columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=["packed" if n == "text" else n for n in part.schema.names])
+
+    schema = ", ".join(
+        "packed binary" if f.name == "text" else f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields
+    )
+    return docs.mapInArrow(pack, schema)
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    """The texts of a column made by `compressed`, as UTF-8."""
+    import zstandard
+
+    press = zstandard.ZstdDecompressor().decompress
+    return [press(x) if x else b"" for x in column.to_pylist()]

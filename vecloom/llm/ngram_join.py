@@ -1,4 +1,4 @@
-"""Similarity join of documents on their word n-grams, verified by traversing prefix trees."""
+"""Similarity join of documents on their word n-grams, compared by traversing prefix trees."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import partitions, text_slices
+from vecloom.llm.common import compressed, partitions, text_slices, unpacked
 from vecloom.llm.components import components
 from vecloom.sources.staging import stage
 
@@ -18,8 +18,8 @@ from vecloom.sources.staging import stage
 SHARE = 1 / 500_000
 # Documents that a task holds in one tree at once.
 TREE_ROWS = 200
-# Rounds in which each bucket is compared with one leader before its rest is compared pair by pair.
-STAR_ROUNDS = 2
+# Members up to which all pairs of a bucket are candidates at once; larger buckets go the longer way.
+SMALL = 64
 
 LIGHT = np.uint64((1 << 62) - 1)
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -115,7 +115,8 @@ def ordered_sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, wh
         import xxhash
 
         for batch in text_slices(batches, 1):
-            sets = ngram_sets(batch.column(1), n)
+            texts = batch.column(1) if plain else pa.array(unpacked(batch.column(1)), pa.binary()).cast(pa.string())
+            sets = ngram_sets(texts, n)
             out, keys = [], []
             for grams in sets:
                 if len(values):
@@ -139,7 +140,8 @@ def ordered_sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, wh
                 names=["doc_id", "n", "k1", "k2", "grams"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    plain = "text" in docs.columns
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text" if plain else "packed").mapInArrow(
         order, "doc_id long, n long, k1 long, k2 long, grams array<long>"
     )
 
@@ -147,42 +149,43 @@ def ordered_sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, wh
 class PrefixTree:
     """Sets in the global order, as a prefix tree: sorted sequences and what each shares with the one before.
 
-    The path that neighbours share is a common part of the tree; a branch begins where they part.
+    The path that neighbours share is a common part of the tree; a branch begins where they part. The
+    sequences may be prefixes of the sets; `sizes` are those of the whole sets.
     """
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], sizes: list[int]):
         # Big-endian bytes compare as the sequences of numbers do.
         raw = [x.astype(">u8").tobytes() for x in sets]
         self.rows = sorted(range(len(sets)), key=raw.__getitem__)
         self.sets = [sets[i] for i in self.rows]
+        self.sizes = [sizes[i] for i in self.rows]
         self.shared = [0]
         for a, b in zip(self.sets, self.sets[1:]):
             m = min(len(a), len(b))
             differ = np.flatnonzero(a[:m] != b[:m])
             self.shared.append(int(differ[0]) if len(differ) else m)
 
-    def matches(self, probe: np.ndarray, percent: int, step: int = 256) -> list[int]:
-        """Rows whose set links with the probe: 100 * common >= percent * united.
+    def matches(self, probe: np.ndarray, size: int, percent: int, step: int = 256) -> list[int]:
+        """Rows whose set may link with the probe's (and does, if both are whole): 100 * common >= percent * united.
 
         A path's overlap with the probe is counted once for all sets below it. A branch is left
         when its overlap and what can still follow on either side do not reach the number asked.
         """
         found = []
         depth, hits, used = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
-        for row, grams, shared in zip(self.rows, self.sets, self.shared):
-            size = len(grams)
-            need = -(-percent * (len(probe) + size) // (100 + percent))
+        for row, grams, whole, shared in zip(self.rows, self.sets, self.sizes, self.shared):
+            need = -(-percent * (size + whole) // (100 + percent))
             # Points of the path walked so far: depth, overlap, and the place reached in the probe.
             keep = int(np.searchsorted(depth, shared, side="right"))
             depth, hits, used = depth[:keep], hits[:keep], used[:keep]
             at, common, place = int(depth[-1]), int(hits[-1]), int(used[-1])
+            # Beyond the probe's last n-gram nothing is known about a prefix, and nothing follows in a set.
+            end = int(np.searchsorted(grams, probe[-1], side="right"))
             steps = []
-            while at < size and common + min(size - at, len(probe) - place) >= need:
-                part = grams[at : at + step]
+            while at < end and common + min(whole - at, size - place) >= need:
+                part = grams[at : min(end, at + step)]
                 where = np.searchsorted(probe, part, side="left")
-                inside = where < len(probe)
-                same = np.zeros(len(part), bool)
-                same[inside] = probe[where[inside]] == part[inside]
+                same = probe[where] == part
                 at += len(part)
                 common += int(same.sum())
                 place = int(where[-1]) + int(same[-1])
@@ -190,13 +193,19 @@ class PrefixTree:
             if steps:
                 d, h, u = np.array(steps, np.int64).T
                 depth, hits, used = np.append(depth, d), np.append(hits, h), np.append(used, u)
-            if at == size and common >= need and size:
-                found.append(row)
+            if at >= end:
+                rest = whole - at
+                if len(grams) > end:  # the probe ends first
+                    place = len(probe)
+                else:
+                    place = int(np.searchsorted(probe, grams[-1], side="right"))
+                if common + min(rest, size - place) >= need:
+                    found.append(row)
         return found
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets (node, grams) link.
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets (node, n, grams) link, or may link if `grams` are prefixes.
 
     The partners of a are dealt in blocks of about TREE_ROWS; a block becomes a prefix tree, which the set of a
     traverses. A document with any number of partners costs one small tree a task at a time.
@@ -205,106 +214,133 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TREE_ROWS).alias("blocks"))
     dealt = pairs.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")))
     probes = blocks.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    rows = (
-        dealt.select("a", "block", "b")
-        .join(sets.select(F.col("node").alias("b"), "grams"), "b")
-        .select("a", "block", F.lit(1).alias("role"), "b", "grams")
-        .unionByName(
-            probes.join(sets.select(F.col("node").alias("a"), "grams"), "a").select(
-                "a", "block", F.lit(0).alias("role"), F.col("a").alias("b"), "grams"
-            )
-        )
+    members = dealt.select("a", "block", "b").join(sets.withColumnRenamed("node", "b"), "b")
+    heads = probes.join(sets.withColumnRenamed("node", "a"), "a")
+    rows = members.select("a", "block", F.lit(1).alias("role"), "b", "n", "grams").unionByName(
+        heads.select("a", "block", F.lit(0).alias("role"), F.col("a").alias("b"), "n", "grams")
     )
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, probes, nodes, members = None, [], [], []
+        group, probes, nodes, members, sizes = None, [], [], [], []
+        out_a: list[int] = []
+        out_b: list[int] = []
 
-        def close() -> Iterator[pa.RecordBatch]:
+        def close() -> None:
             if members:
-                tree = PrefixTree(members)
-                hit = sorted({nodes[i] for probe in probes for i in tree.matches(probe, percent)})
-                if hit:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([group[0]] * len(hit), pa.int64()), pa.array(hit, pa.int64())], names=["a", "b"]
-                    )
+                tree = PrefixTree(members, sizes)
+                hit = sorted({nodes[i] for probe, size in probes for i in tree.matches(probe, size, percent)})
+                out_a.extend([group[0]] * len(hit))
+                out_b.extend(hit)
 
         for batch in batches:
-            a, block, role, b = (batch.column(i).to_pylist() for i in range(4))
-            lists = batch.column(4)
+            a, block, role, b, n = (batch.column(i).to_pylist() for i in range(5))
+            lists = batch.column(5)
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
             for i in range(batch.num_rows):
                 if (a[i], block[i]) != group:
-                    yield from close()
-                    group, probes, nodes, members = (a[i], block[i]), [], [], []
+                    close()
+                    group, probes, nodes, members, sizes = (a[i], block[i]), [], [], [], []
                 grams = flat[bounds[i] : bounds[i + 1]].copy()
                 if role[i] == 0:
-                    probes.append(grams)
+                    probes.append((grams, n[i]))
                 else:
                     nodes.append(b[i])
                     members.append(grams)
-        yield from close()
+                    sizes.append(n[i])
+            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+            out_a.clear()
+            out_b.clear()
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+
+    dealt_rows = rows.repartition(partitions(spark), "a", "block").sortWithinPartitions("a", "block", "role")
+    return dealt_rows.mapInArrow(check, "a long, b long")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are not in one component yet."""
+    one = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    two = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    known = pairs.join(one, "a", "left").join(two, "b", "left")
+    return known.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
-    sorted_rows = rows.repartition(partitions(spark), "a", "block").sortWithinPartitions("a", "block", "role")
-    return sorted_rows.mapInArrow(check, "a long, b long")
+
+def _fitting(percent: int):
+    """Of two members x and y of a bucket: sizes that allow a link, and the bucket among the first of the smaller one."""
+    x, y = F.col("x.n"), F.col("y.n")
+    near = (x * 100 >= y * percent) & (y * 100 >= x * percent)
+
+    def early(side: str):
+        n, at = F.col(f"{side}.n"), F.col(f"{side}.at")
+        return at <= n - F.ceil(2 * percent * n / (100 + percent))
+
+    return near & (((x >= y) & early("y")) | ((y >= x) & early("x")))
 
 
 def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row: sets of word n-grams that link, and their components.
 
     Two documents link when 100 * common >= percent * united n-grams. Equal sets are one class, and only
-    classes are compared. Every prefix n-gram is a bucket. Each bucket is compared with its smallest
-    member first, and what that left apart with its largest; only members that are still in
-    different components are then compared pair by pair, so a large group of near copies costs
-    a few comparisons a member. No candidate is dropped. Null or empty texts have no n-grams, link with
-    nothing and are their own component; a null id has a null component. Rows that share an id share
-    the component. An empty table gives an empty table; other columns are not looked at.
+    classes are compared. Every n-gram of a set's prefix is a bucket. In buckets of up to SMALL members all
+    pairs of fitting sizes are candidates, in larger ones the pairs with the smallest member, then with the largest
+    of what is still apart, then all that are still in different components: a large group of near copies costs a
+    few comparisons a member, and no candidate is dropped. Candidates are tried on prefixes first and on whole
+    sets next. Null or empty texts have no n-grams, link with nothing and are their own component; a null id has
+    a null component. Rows that share an id share the component. An empty table gives an empty table; other columns
+    are not looked at.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     frequent = frequent_ngrams(docs, n)
     prefixes = stage(ordered_sets(docs, n, percent, frequent, whole=False), "prefixes")
     real = prefixes.where("n > 0 AND doc_id IS NOT NULL")
     classes = stage(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "classes")
-    first = real.join(classes, ["k1", "k2"]).where("doc_id = node").dropDuplicates(["k1", "k2"])
-    grams = stage(first.select("node", "n", F.explode("grams").alias("gram")), "grams")
-    shared = grams.groupBy("gram").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead != last")
-    shared = stage(grams.join(shared.select("gram"), "gram"), "shared")
-
-    nodes = stage(shared.select("node").distinct(), "nodes")
-    texts = docs.join(nodes, docs["doc_id"] == nodes["node"], "left_semi")
+    heads = real.join(classes, ["k1", "k2"]).where("doc_id = node").dropDuplicates(["k1", "k2"])
+    heads = stage(heads.select("node", "n", "grams"), "heads")
+    grams = heads.select("node", "n", F.posexplode("grams").alias("at", "gram"))
+    buckets = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = stage(grams.join(buckets, "gram"), "shared")
+    small, large = shared.where(F.col("members") <= SMALL), stage(shared.where(F.col("members") > SMALL), "large")
+    fitting = _fitting(percent)
+
+    both = small.alias("x").join(small.alias("y"), F.col("x.gram") == F.col("y.gram"))
+    pairs = both.where(fitting & (F.col("x.node") < F.col("y.node"))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    leads = large.groupBy("gram").agg(F.min(F.struct("node", "n", "at")).alias("lead")).select("gram", "lead.*")
+    star = large.alias("x").join(leads.alias("y"), F.col("x.gram") == F.col("y.gram"))
+    star = star.where(fitting & (F.col("x.node") != F.col("y.node"))).select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))
+    pairs = stage(linked(stage(pairs.unionByName(star).distinct(), "pairs"), heads, percent), "candidates")
+
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large.select("node")).distinct()
+    nodes = stage(nodes, "nodes")
+    texts = compressed(docs.where("doc_id IS NOT NULL")).join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
     sets = ordered_sets(texts, n, percent, frequent, whole=True).join(classes, ["k1", "k2"])
-    sets = stage(sets.where("doc_id = node").dropDuplicates(["k1", "k2"]).select("node", "grams"), "sets")
+    sets = stage(sets.where("doc_id = node").dropDuplicates(["k1", "k2"]).select("node", "n", "grams"), "sets")
 
     # A document whose id stands for several texts ties their classes together.
     ids = real.join(classes, ["k1", "k2"]).groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    links = stage(ids.where("a != b").select("a", "b"), "verified")
-    done = None
+    links = ids.where("a != b").select("a", "b")
+    forest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = stage(links.unionByName(linked(forest, sets, percent)), "links")
+    labels = components(links)
+    rest = stage(_apart(pairs, labels), "rest")
+    links = stage(links.unionByName(linked(rest, sets, percent)), "links")
     labels = components(links)
-    rest = shared
-    for round_ in range(STAR_ROUNDS + 1):
+
+    for last in (False, True):
         known = labels.select(F.col("node").alias("_node"), "component")
-        at = rest.select("gram", "node", "n").join(known, F.col("node") == F.col("_node"), "left").select(
-            "gram", "node", "n", F.coalesce("component", "node").alias("component")
+        at = large.join(known, F.col("node") == F.col("_node"), "left").select(
+            "gram", "node", "n", "at", F.coalesce("component", "node").alias("component")
         )
-        apart = at.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-        rest = stage(at.join(apart.select("gram"), "gram"), "apart")
-        near = (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)
-        if round_ < STAR_ROUNDS:
-            end = F.min if round_ % 2 == 0 else F.max
-            lead = rest.groupBy("gram").agg(end(F.struct("component", "node", "n")).alias("lead"))
-            pairs = rest.alias("x").join(lead.select("gram", "lead.*").alias("y"), F.col("x.gram") == F.col("y.gram"))
-            pairs = pairs.where(near & (F.col("x.component") != F.col("y.component")))
-            pairs = pairs.select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))
-        else:
-            pairs = rest.alias("x").join(rest.alias("y"), F.col("x.gram") == F.col("y.gram"))
-            pairs = pairs.where(near & (F.col("x.component") < F.col("y.component")))
-            pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        pairs = pairs.distinct()
-        if done is not None:
-            pairs = pairs.join(done.unionByName(done.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        done = pairs if done is None else stage(done.unionByName(pairs), "compared")
-        links = stage(links.unionByName(verify(pairs, sets, percent)), "verified")
+        mixed = at.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
+        at = stage(at.join(mixed.select("gram"), "gram"), "mixed")
+        other = at
+        if not last:
+            other = at.groupBy("gram").agg(F.max(F.struct("component", "node", "n", "at")).alias("lead")).select("gram", "lead.*")
+        more = at.alias("x").join(other.alias("y"), F.col("x.gram") == F.col("y.gram"))
+        order = F.col("x.component") < F.col("y.component") if last else F.col("x.component") != F.col("y.component")
+        more = more.where(fitting & order).select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
+        more = stage(linked(stage(more, "pairs"), heads, percent), "candidates")
+        links = stage(links.unionByName(linked(more, sets, percent)), "links")
         labels = components(links)
 
     named = prefixes.select("doc_id", "n", "k1", "k2").join(classes, ["k1", "k2"], "left")
