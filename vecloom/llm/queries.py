@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import hosts, line_dedup, ngram_join, outliers, packing, pii, repeats
+from vecloom.llm import crf, hosts, line_dedup, ngram_join, outliers, packing, pii, repeats
 from vecloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,16 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     counts = [(F.size("base") - F.size(F.array_remove("base.kind", k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     base, spans = pii.listed(F.col("base")), pii.listed(F.col("spans"))
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = crf.tag(docs, crf.fit_labelled(docs, table(spark, folder, "labels")))
+    return found.select(
+        "doc_id",
+        crf.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"),
+    )
