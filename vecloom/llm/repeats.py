@@ -18,12 +18,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import join_by_key, keyed, text_slices
+from vecloom.llm.common import compressed, join_by_key, keyed, partitions, text_slices, unpacked
 from vecloom.sources.staging import stage
 
 LENGTH = 200
 SEED = 32  # bytes by which a sample is chosen and named
 CHUNK = 1 << 21  # bytes of text that a worker hashes at once
+MEMBERS = 1_000  # classes of one name that a task compares
 
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 STEP = 0x5851F42D4C957F2D  # multiplier of the rolling hash, odd
@@ -43,7 +44,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Hashes:
-    """64-bit hashes of any substring of up to `size` bytes, from sums of powers."""
+    """64-bit hashes of any substring of a text of up to `size` bytes, from sums of powers."""
 
     def __init__(self, size: int):
         with np.errstate(over="ignore"):
@@ -142,70 +143,109 @@ def samples(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return docs.select("doc_id", "text", "digest").mapInArrow(find, schema)
 
 
-def strings_of(docs: DataFrame, length: int) -> DataFrame:
-    """(string, class, at): the hash of each string of the runs (class, first, number) in the column `runs`."""
+def surroundings(docs: DataFrame, length: int) -> DataFrame:
+    """(name, class, number, members, raw): the bytes of each run in `runs`, cut from the packed texts."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for part in text_slices(batches, 0):
-                for text, runs in zip(part.column(0), part.column(1)):
-                    raw = np.frombuffer(text.as_buffer(), np.uint8)
-                    hashes = Hashes(int(runs.values.field("number").to_numpy().max()) + length)
-                    for kind, first, number in zip(*(runs.values.field(f).to_pylist() for f in ("class", "first", "number"))):
-                        hashes.load(raw[first : first + number + length - 1])
-                        found = hashes.windows(length).view(np.int64)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(found), pa.array(np.full(number, kind)), pa.array(np.arange(number, dtype=np.int16))],
-                            names=["string", "class", "at"],
-                        )
-
-    return docs.select("text", "runs").mapInArrow(_joined(find), "string long, class long, at short")
-
-
-def _joined(find, rows: int = 100_000):
-    """The batches that `find` yields, put together to about so many rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for batch in find(batches):
-            held.append(batch)
-            n += batch.num_rows
-            if n >= rows:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, n = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+        for part in text_slices(batches, 0):
+            rows = []
+            for text, runs in zip(unpacked(part.column(0)), part.column(1).to_pylist()):
+                for run in runs:
+                    rows.append({k: run[k] for k in ("name", "class", "number", "members")} | {"raw": text[run["first"] : run["first"] + run["number"] - 1 + length]})
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=shape)
+
+    shape = pa.schema([("name", pa.int64()), ("class", pa.int64()), ("number", pa.int32()), ("members", pa.int64()), ("raw", pa.binary())])
+    return docs.select("packed", "runs").mapInArrow(find, "name long, class long, number int, members long, raw binary")
+
+
+def strings_in(raw: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, place) of each string of `length` bytes in the rows."""
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    size = np.array([len(x) for x in raw])
+    first = np.cumsum(size) - size
+    hashes = Hashes(len(data))
+    hashes.load(data)
+    found = hashes.windows(length)
+    row = np.repeat(np.arange(len(raw)), size - length + 1)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(size - length + 1) - (size - length + 1), size - length + 1)
+    return found[first[row] + place], row, place
+
+
+def shared_strings(rows: DataFrame, length: int) -> DataFrame:
+    """(class, ats): places in the surroundings of a class at which a string begins that another class holds too.
+
+    Equal strings have equal names. Names of up to MEMBERS classes are compared in the task that gets them;
+    for larger ones the strings themselves are dealt out and counted, whatever their number.
+    """
 
-    return run
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, bytes]] = []
+        size, last = 0, None
+
+        def close() -> pa.RecordBatch:
+            kinds = [k for k, _ in held]
+            with np.errstate(over="ignore"):
+                found, row, place = strings_in([x for _, x in held], length)
+            _, back, times = np.unique(found, return_inverse=True, return_counts=True)
+            again = times[back] > 1
+            row, place = row[again], place[again]
+            of, begin = np.unique(row, return_index=True)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(row)).astype(np.int32)), pa.array(place.astype(np.int32)))
+            return pa.RecordBatch.from_arrays([pa.array([kinds[i] for i in of.tolist()], pa.int64()), lists], names=["class", "ats"])
+
+        for batch in batches:
+            for name, kind, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if name != last and size > CHUNK // 4:
+                    yield close()
+                    held, size = [], 0
+                if held and held[-1][0] == kind:
+                    continue  # equal documents are read once each; one of them is enough
+                held.append((kind, raw))
+                size += len(raw)
+                last = name
+        if held:
+            yield close()
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, raw = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for at in range(0, len(raw), 1_000):
+                with np.errstate(over="ignore"):
+                    found, row, place = strings_in(raw[at : at + 1_000], length)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.view(np.int64)), pa.array(kinds[at + row]), pa.array(place.astype(np.int32))], names=["string", "class", "at"]
+                )
+
+    few, many = rows.where(F.col("members") <= MEMBERS), rows.where(F.col("members") > MEMBERS)
+    dealt = few.select("name", "class", "raw").repartition(partitions(rows.sparkSession), "name").sortWithinPartitions("name", "class")
+    near = dealt.mapInArrow(compare, "class long, ats array<int>")
+    strings = stage(many.select("class", "raw").mapInArrow(deal, "string long, class long, at int"), "strings")
+    twice = strings.groupBy("string").agg((F.min("class") != F.max("class")).alias("twice")).where("twice")
+    far = strings.join(twice.select("string"), "string").groupBy("class").agg(F.collect_set("at").alias("ats"))
+    return near.unionByName(far)
 
 
 def repeated_places(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, digest, runs): places at which a string of `length` bytes begins that also begins elsewhere.
 
-    A run is (first, number, ats): all `number` places from `first` on if ats is null, else those at first + ats.
+    docs: (doc_id, digest, text). A run is (first, number, ats): all `number` places from `first` on if ats is
+    null, else those at first + ats.
     """
-    docs = keyed(docs)
     found = stage(samples(docs, length), "samples")
-    names = found.groupBy("name").agg(F.count(F.lit(1)).alias("n"), (F.min("class") != F.max("class")).alias("several"))
-    found = stage(found.join(names.where("n > 1").select("name", "several"), "name").drop("name"), "repeated")
-    classes = stage(
-        found.groupBy("class", "several", "number").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "digest", "first")).alias("place")
-        ),
-        "classes",
-    )
-    look = classes.where("several").groupBy("place.doc_id", "place.digest").agg(
-        F.collect_list(F.struct("class", "place.first", F.col("number").cast("int").alias("number"))).alias("runs")
-    )
-    read = join_by_key(docs, look, "inner")
-    strings = stage(strings_of(read, length), "strings")
-    twice = strings.groupBy("string").agg((F.min("class") != F.max("class")).alias("twice")).where("twice")
-    ats = strings.join(twice.select("string"), "string").groupBy("class").agg(F.collect_set("at").alias("ats"))
-    known = (
-        classes.join(ats, "class", "left")
-        .where("n > 1 OR ats IS NOT NULL")
-        .select("class", F.when(F.col("n") == 1, F.col("ats")).alias("ats"))
+    names = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
+    found = stage(found.join(names, "name"), "repeated")
+    classes = found.groupBy("name", "class", "number").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "digest", "first")).alias("place")
     )
+    classes = stage(classes, "classes")
+    several = classes.groupBy("name").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    run = F.struct("name", "class", "place.first", F.col("number").cast("int").alias("number"), "members")
+    look = classes.join(several, "name").groupBy("place.doc_id", "place.digest").agg(F.collect_list(run).alias("runs"))
+    read = stage(surroundings(join_by_key(compressed(docs), look, "inner"), length), "surroundings")
+    ats = shared_strings(read, length)
+    known = classes.select("class", "n").join(ats, "class", "left").where("n > 1 OR ats IS NOT NULL")
+    known = known.select("class", F.when(F.col("n") == 1, F.col("ats")).alias("ats"))
     return (
         found.join(known, "class")
         .groupBy("doc_id", "digest")
@@ -222,13 +262,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     empty and texts shorter than `length` stay whole; rows that are equal are documents of their own and
     repeat one another. An empty table gives an empty table; other columns are not looked at.
     """
-    joined = join_by_key(keyed(docs), repeated_places(docs, length)).select("doc_id", "text", "runs")
+    docs = keyed(docs)
+    joined = join_by_key(compressed(docs), repeated_places(docs, length)).select("doc_id", "packed", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, 1):
             out = []
-            for text, runs in zip(part.column(1), part.column(2)):
-                raw = np.frombuffer(text.as_buffer(), np.uint8)
+            for text, runs in zip(unpacked(part.column(1)), part.column(2)):
+                raw = np.frombuffer(text, np.uint8)
                 if not runs.is_valid:
                     out.append((len(raw), 0, 0, raw.tobytes()))
                     continue
