@@ -53,7 +53,7 @@ def partitions(spark: SparkSession) -> int:
 
 # What a Python worker holds of texts at once.
 SLICE_ROWS = 4_000
-SLICE_BYTES = 24_000_000
+SLICE_BYTES = 8_000_000
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
