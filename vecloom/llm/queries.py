@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import crf, hosts, line_dedup, ngram_join, outliers, packing, pii, repeats
+from vecloom.llm import cover_tree, crf, hosts, line_dedup, ngram_join, outliers, packing, pii, repeats
 from vecloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,8 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("spans").alias("n_spans"),
     )
+
+
+@query("op5_embedding_near_dedup")
+def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, folder, "embeddings"))
