@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import cover_tree, crf, hosts, line_dedup, ngram_join, outliers, packing, pii, repeats
+from vecloom.llm import cover_tree, crf, hosts, line_dedup, ngram_join, outliers, packing, pieces, pii, repeats
 from vecloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_embedding_near_dedup")
 def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cover_tree.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op4_sentencepiece_nbest")
+def op4_sentencepiece_nbest(spark: SparkSession, folder: str) -> DataFrame:
+    """The n best segmentations of each text, one row a rank."""
+    found = pieces.encode(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    n_pieces = (F.length("ids") / 4).cast("long")
+    return found.select("doc_id", "rank", "score", n_pieces.alias("n_pieces"), F.crc32("ids").alias("ids_crc32"))
