@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import join_by_key, keyed
+from vecloom.llm.common import digest, join_by_key, keyed
 from vecloom.sources.staging import stage
 
 WINDOW = 3
@@ -36,9 +36,8 @@ def covered_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     runs = stage(line_windows(docs, window), "windows")
     place = F.struct("doc_id", "digest", "at")
-    repeated = (
-        runs.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    )
+    repeated = runs.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = stage(repeated, "repeated")  # on its own, so that the join below can split a frequent window
     later = (
         runs.join(repeated.select("h1", "h2", "first"), ["h1", "h2"])
         .where(~place.eqNullSafe(F.col("first")))
@@ -50,26 +49,28 @@ def covered_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row (doc_id, text, n_lines, n_removed) per document, without the lines of repeated windows.
+    """The rows of docs, all columns, with `text` less the lines of repeated windows, and n_lines and n_removed added.
 
     A window is `window` consecutive lines, compared as they are. All occurrences of a window
     but the first go; what overlapping windows cover is merged, and each covered line goes
     once. Documents with fewer lines than a window stay as they are. A null text is empty
     (one empty line); an empty table gives an empty table; rows that agree in id and text
-    are one document and get the same result; other columns are not looked at.
+    are one document and get the same result. Other columns are not looked at; columns named n_lines or
+    n_removed are replaced.
     """
-    lines = F.split("text", "\n", -1)
-    joined = join_by_key(keyed(docs), covered_lines(docs, window))
-    joined = joined.withColumn("lines", lines).withColumn(
-        "kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("covered", F.array().cast("array<int>")))
-    )
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_removed")]
+    rows = docs.select(
+        "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.struct(*others).alias("others") if others else F.lit(0).alias("others")
+    ).withColumn("digest", digest(F.col("text")))
+    joined = join_by_key(rows, covered_lines(docs, window)).withColumn("lines", F.split("text", "\n", -1))
+    none = F.array().cast("array<int>")
+    joined = joined.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("covered", none)))
     text = F.when(F.col("covered").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
     )
+    made = {c: F.col("others")[c] for c in others} | {"doc_id": F.col("doc_id"), "text": text}
     return joined.select(
-        "doc_id",
-        "digest",
-        text.alias("text"),
+        *[made[c].alias(c) for c in docs.columns if c in made],
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("kept")).cast("long").alias("n_removed"),
     )

@@ -299,6 +299,7 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     heads = stage(heads.select("node", "n", "grams"), "heads")
     grams = heads.select("node", "n", F.posexplode("grams").alias("at", "gram"))
     buckets = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    buckets = stage(buckets, "buckets")  # on its own, so that the join can split a frequent n-gram
     shared = stage(grams.join(buckets, "gram"), "shared")
     small, large = shared.where(F.col("members") <= SMALL), stage(shared.where(F.col("members") > SMALL), "large")
     fitting = _fitting(percent)
@@ -347,3 +348,9 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     named = named.join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "node")).otherwise(F.col("doc_id"))
     return named.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns, whose id is the smallest of its component; rows without an id stay."""
+    gone = similar_documents(docs, n, percent).where("component_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -234,6 +234,7 @@ def repeated_places(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     found = stage(samples(docs, length), "samples")
     names = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
+    names = stage(names, "names")  # on its own, so that the join can split a frequent name
     found = stage(found.join(names, "name"), "repeated")
     classes = found.groupBy("name", "class", "number").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "digest", "first")).alias("place")
