@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import compressed, partitions, text_slices, unpacked
+from vecloom.llm.common import PACKED, compressed, partitions, text_slices, unpacked
 from vecloom.llm.components import components
 from vecloom.sources.staging import stage
 
@@ -114,7 +114,7 @@ def ordered_sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, wh
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in text_slices(batches, 1):
+        for batch in text_slices(batches, 1, 1 if plain else PACKED):
             texts = batch.column(1) if plain else pa.array(unpacked(batch.column(1)), pa.binary()).cast(pa.string())
             sets = ngram_sets(texts, n)
             out, keys = [], []

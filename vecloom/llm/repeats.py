@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import compressed, join_by_key, keyed, partitions, text_slices, unpacked
+from vecloom.llm.common import PACKED, compressed, join_by_key, keyed, partitions, text_slices, unpacked
 from vecloom.sources.staging import stage
 
 LENGTH = 200
@@ -147,7 +147,7 @@ def surroundings(docs: DataFrame, length: int) -> DataFrame:
     """(name, class, number, members, raw): the bytes of each run in `runs`, cut from the packed texts."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, 0):
+        for part in text_slices(batches, 0, PACKED):
             rows = []
             for text, runs in zip(unpacked(part.column(0)), part.column(1).to_pylist()):
                 for run in runs:
@@ -267,7 +267,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     joined = join_by_key(compressed(docs), repeated_places(docs, length)).select("doc_id", "packed", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, 1):
+        for part in text_slices(batches, 1, PACKED):
             out = []
             for text, runs in zip(unpacked(part.column(1)), part.column(2)):
                 raw = np.frombuffer(text, np.uint8)
