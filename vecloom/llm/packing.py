@@ -26,8 +26,8 @@ SLACK = 64
 MERGE = 16
 
 
-# Letters of the Latin blocks, which composition leaves alone, and ASCII marks after them but no apostrophe.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([^0-9A-Za-z\\s'\x7f-\U0010ffff]*)")
+# Letters of the Latin blocks but the dotted capital I (its small form is two characters), and ASCII marks after them but no apostrophe.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([^0-9A-Za-z\\s'\x7f-\U0010ffff]*)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -162,12 +162,12 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
     for i in np.argsort(-sizes, kind="stable").tolist():
         size = int(sizes[i])
         before = counts[size:]
-        change = counts[: capacity + 1 - size] - before  # half of the change, less one
-        change[0] = -before[0] - 1 if size < capacity else 0  # a full bin is no longer open
-        best = int(np.argmin(np.where(before > 0, change, capacity * len(sizes) + 1)))
+        change = 2 * (counts[: capacity + 1 - size] - before) + 2
+        change[0] = 1 - 2 * before[0]  # a full bin is no longer open
+        best = int(np.argmin(np.where(before > 0, change, 4 * len(sizes) + 4)))
         room = best + size
-        opened = counts[capacity - size] if size < capacity else -1
-        if before[best] > 0 and change[best] <= opened:
+        opened = 2 * counts[capacity - size] + 1 if size < capacity else 0
+        if before[best] > 0 and change[best] < opened:
             b = open_bins[room].pop()
             counts[room] -= 1
         else:
