@@ -17,7 +17,7 @@ from vecloom.llm.common import text_slices
 from vecloom.sources.staging import stage
 
 # Labelled documents that the field is fitted on, at most, per label: the smallest by hash.
-SAMPLE = 800
+SAMPLE = 600
 # How a feature must stand out in toxic documents.
 EVIDENCE, REACH = 22.0, 10.0
 ROUNDS = 60
@@ -156,7 +156,8 @@ def toxic_keys(texts: list[list[str]], toxic: np.ndarray) -> set[str]:
 
     A word counts once for each different word before it, so copies of a document count once. A feature is
     taken if it is REACH times as frequent in toxic documents, the likelihood ratio against an equal share is
-    beyond EVIDENCE, and the words that no longer feature covers stand out as much.
+    beyond EVIDENCE, and the words that no longer feature covers stand out as much, or are in no clean document
+    while the longer features cover several words.
     """
     n_bad, n_good = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
     share = n_bad / (n_bad + n_good)
@@ -184,7 +185,8 @@ def toxic_keys(texts: list[list[str]], toxic: np.ndarray) -> set[str]:
     for k in sorted(groups, key=lambda k: (k[0] != "=", -len(k), k)):
         if stands_out(groups[k], EVIDENCE):
             rest = [w for w in groups[k] if w not in covered]
-            if stands_out(rest, 0.0):
+            stem = len(groups[k]) - len(rest) > 1 and not any(counts[w][1] for w in rest)
+            if stem or stands_out(rest, 0.0):
                 found.add(k)
                 covered.update(rest)
     return found
