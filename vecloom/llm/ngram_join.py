@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import PACKED, compressed, partitions, text_slices, unpacked
+from vecloom.llm.common import PACKED, compressed, partitions, release, text_slices, unpacked
 from vecloom.llm.components import components
 from vecloom.sources.staging import stage
 
@@ -18,6 +18,8 @@ from vecloom.sources.staging import stage
 SHARE = 1 / 500_000
 # Documents that a task holds in one tree at once.
 TREE_ROWS = 200
+# Above any number of n-grams of a text.
+AT_MOST = 1 << 31
 # Members up to which all pairs of a bucket are candidates at once; larger buckets go the longer way.
 SMALL = 64
 
@@ -290,6 +292,7 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     a null component. Rows that share an id share the component. An empty table gives an empty table; other columns
     are not looked at.
     """
+    spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     frequent = frequent_ngrams(docs, n)
     prefixes = stage(ordered_sets(docs, n, percent, frequent, whole=False), "prefixes")
@@ -297,10 +300,19 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     classes = stage(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "classes")
     heads = real.join(classes, ["k1", "k2"]).where("doc_id = node").dropDuplicates(["k1", "k2"])
     heads = stage(heads.select("node", "n", "grams"), "heads")
-    grams = heads.select("node", "n", F.posexplode("grams").alias("at", "gram"))
+    ids = stage(prefixes.drop("grams"), "ids")
+    real = ids.where("n > 0 AND doc_id IS NOT NULL")
+    release(spark, prefixes)
+    grams = heads.select("node", F.posexplode("grams").alias("at", "gram"), "n")
+    # The size of the set and the place in it as one number: this is the largest table that is shuffled.
+    grams = grams.select("gram", "node", (F.col("n") * AT_MOST + F.col("at")).alias("spot"))
     buckets = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     buckets = stage(buckets, "buckets")  # on its own, so that the join can split a frequent n-gram
-    shared = stage(grams.join(buckets, "gram"), "shared")
+    shared = grams.join(buckets, "gram").select(
+        "gram", "node", "members", F.floor(F.col("spot") / AT_MOST).alias("n"), (F.col("spot") % AT_MOST).alias("at")
+    )
+    shared = stage(shared, "shared")
+    release(spark)
     small, large = shared.where(F.col("members") <= SMALL), stage(shared.where(F.col("members") > SMALL), "large")
     fitting = _fitting(percent)
 
@@ -316,10 +328,11 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     texts = compressed(docs.where("doc_id IS NOT NULL")).join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
     sets = ordered_sets(texts, n, percent, frequent, whole=True).join(classes, ["k1", "k2"])
     sets = stage(sets.where("doc_id = node").dropDuplicates(["k1", "k2"]).select("node", "n", "grams"), "sets")
+    release(spark)
 
     # A document whose id stands for several texts ties their classes together.
-    ids = real.join(classes, ["k1", "k2"]).groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    links = ids.where("a != b").select("a", "b")
+    tied = real.join(classes, ["k1", "k2"]).groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    links = tied.where("a != b").select("a", "b")
     forest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = stage(links.unionByName(linked(forest, sets, percent)), "links")
     labels = components(links)
@@ -344,7 +357,7 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
         links = stage(links.unionByName(linked(more, sets, percent)), "links")
         labels = components(links)
 
-    named = prefixes.select("doc_id", "n", "k1", "k2").join(classes, ["k1", "k2"], "left")
+    named = ids.join(classes, ["k1", "k2"], "left")
     named = named.join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "node")).otherwise(F.col("doc_id"))
     return named.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
