@@ -136,5 +136,24 @@ def test_rows_without_a_group_are_kept(spark):
     df = spark.createDataFrame([(i, None if i < 30 else "a") for i in range(60)], "id long, g string")
     assert K.capped_sample(df, "id", "g", override=10).groupBy("g").count().where("count = 10").count() == 2
     assert K.capped_sample(df, "id", "g").count() == 60
-    assert O.first_n(df, F.col("id"), [F.col("id")], "g", 7).count() == 14
+    assert O.first_n(df, [F.col("id")], "g", 7).count() == 14
     assert O.numbered(df, ["id"], ["g"]).groupBy("g").agg(F.max("rn")).where("`max(rn)` = 30").count() == 2
+
+
+def test_no_group_is_lost_under_a_small_cap(spark):
+    # No digest of these ids lies below the bound that cap 1 of 1,000 gives.
+    keys = list(range(2_274_000, 2_275_000))
+    df = spark.range(keys[0], keys[-1] + 1)
+    assert [r["id"] for r in K.capped_sample(df, "id", None, override=1).collect()] == list(sampled(keys, 1))
+    grouped = df.selectExpr("id", "'g' AS g").unionByName(spark.range(500).selectExpr("id", "cast(NULL AS string) AS g"))
+    got = {r["g"]: r["id"] for r in K.capped_sample(grouped, "id", "g", override=1).collect()}
+    assert got == {"g": next(iter(sampled(keys, 1))), None: next(iter(sampled(list(range(500)), 1)))}
+
+
+def test_curating_sets_with_equal_ids(spark):
+    df = spark.range(20).selectExpr("id", "explode(array('a', 'b', NULL)) AS g").withColumn("text", F.concat(F.coalesce("g", F.lit("-")), F.col("id")))
+    got = K.curate(df, "id", "g", ["text"]).collect()
+    assert len(got) == 60 and {r["text"] for r in got} == {f"{g or '-'}{k}" for g in ("a", "b", None) for k in range(20)}
+    capped = K.curate(df, "id", "g", ["text"], override=5).collect()
+    best = list(sampled(list(range(20)), 5))
+    assert sorted((r["g"] or "-", r["position"], r["id"]) for r in capped) == sorted((g, i + 1, k) for g in ("a", "b", "-") for i, k in enumerate(best))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from vecloom.functions.text import is_blank, tokens
 from vecloom.operators import chunking, embedding
 from vecloom.operators import vocabulary as V
-from vecloom.sources.staging import shared_dir, small_table
+from vecloom.sources.staging import shared_dir
 from vecloom.streaming import checkpoints
 
 
@@ -140,13 +140,6 @@ def test_checkpointed_append_resumes_and_repeats_without_duplicates(spark, tmp_p
     assert run() == list(range(15))
 
 
-def test_small_table_leaves_large_sides_to_spark(spark):
-    few, rows = small_table(spark.range(5), bound=5)
-    assert len(rows) == 5 and few.count() == 5
-    many, rows = small_table(spark.range(6), bound=5)
-    assert rows is None and many.count() == 6
-
-
 class Remote:
     """As much of a session on a cluster as the folder choice looks at."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def tokens(text: Column) -> Column:
     """Whitespace tokens, the default tokenizer."""
-    return F.filter(F.split(text, r"[ \t\n\r]+"), lambda t: t != "")
+    return F.array_remove(F.split(text, r"[ \t\n\r]+"), "")
 
 
 def is_blank(text: Column) -> Column:

@@ -37,27 +37,46 @@ def mean_vectors(df: DataFrame, by: str, column: str = "embedding") -> DataFrame
     return df.groupBy(by).agg(mean_vector(F.col(column)).alias(column))
 
 
-def average_ranks(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
+def average_ranks(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "rank", weight: str | None = None) -> DataFrame:
     """(by, value, name): the rank of each distinct value, ties sharing their mean rank.
 
-    Equal values are counted before they are ordered, so ties never pile up in a task.
+    Equal values are counted before they are ordered, so ties never pile up in a task. With `weight` a
+    row stands for that many.
     """
-    counts = stage(df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
-    upto = running(with_cells(counts, F.col(value)), [F.col(value)], {"_upto": ("sum", F.col("_n"))}, by)
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.groupBy(*by, value).agg(n.alias("_n"))
+    upto = running(with_cells(counts, [F.col(value)]), [F.col(value)], {"_upto": ("sum", F.col("_n"))}, by)
     return upto.select(*by, value, (F.col("_upto") - (F.col("_n") - 1) / 2.0).alias(name))
 
 
+def scored_rows(df: DataFrame, x: str, y: str) -> DataFrame:
+    """The rows that both correlations use: those with two values; NaN is a value."""
+    return df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+
+
 def pearson(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by).agg(F.corr(x, y).alias("pearson"), F.count(F.lit(1)).alias("num_samples"))
+    """Correlation and the number of rows used; NaN in any of them makes it NaN."""
+    return scored_rows(df, x, y).groupBy(*by).agg(F.corr(x, y).alias("pearson"), F.count(F.lit(1)).alias("num_samples"))
 
 
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    """Pearson of average ranks. `df` is read more than once: stage it if it is costly."""
-    ranked = df.select(*by, x, y).na.drop(subset=[x, y])
-    both = ranked
+    """Pearson of average ranks; NaN in any row used makes it NaN.
+
+    Equal pairs of values are counted before anything is ordered, so a few values that hold most rows
+    are a few rows here. The mean of n ranks is (n + 1) / 2, whatever the ties.
+    """
+    pairs = stage(scored_rows(df, x, y).groupBy(*by, x, y).agg(F.count(F.lit(1)).alias("_w")), "value-pairs")
+    ranked = pairs
     for side in (x, y):
-        ranked = ranked.join(average_ranks(both, side, by, f"_rank_{side}"), [*by, side])
-    return ranked.groupBy(*by).agg(F.corr(f"_rank_{x}", f"_rank_{y}").alias("spearman"))
+        ranked = ranked.join(stage(average_ranks(pairs, side, by, f"_rank_{side}", "_w"), "ranks"), [*by, side])
+    total = pairs.groupBy(*by).agg(F.sum("_w").alias("_total"))
+    ranked = ranked.join(total, list(by)) if by else ranked.crossJoin(F.broadcast(total))  # one row
+    dx, dy = (F.col(f"_rank_{side}") - (F.col("_total") + 1) / 2.0 for side in (x, y))
+    w = F.col("_w")
+    lost = F.max(F.isnan(F.col(x).cast("double")) | F.isnan(F.col(y).cast("double")))
+    spread = F.sqrt(F.sum(w * dx * dx)) * F.sqrt(F.sum(w * dy * dy))
+    value = F.when(lost, F.lit(float("nan"))).otherwise(F.sum(w * dx * dy) / F.nullif(spread, F.lit(0.0)))
+    return ranked.groupBy(*by).agg(value.alias("spearman"))
 
 
 def sts_result(scored: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -93,8 +112,8 @@ def average_precision(df: DataFrame, score: str, positive: str) -> DataFrame:
         "score-levels",
     )
     seen = running(
-        with_cells(levels, -F.col(score)),
-        [F.desc(score)],
+        with_cells(levels, [-F.col(score)]),
+        [-F.col(score)],
         {"n_upto": ("sum", F.col("n")), "pos_upto": ("sum", F.col("pos"))},
     )
     gain = F.col("pos") * F.col("pos_upto") / F.col("n_upto")

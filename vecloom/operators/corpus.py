@@ -38,7 +38,7 @@ def corpus_rows(df: DataFrame, columns: Sequence[str] = ("lang", "title", "text"
 def bounded_scan(df: DataFrame, key: str, n: int, by: str = "lang", groups: Sequence[str] = ()) -> DataFrame:
     """The first n rows of each listed group in source order, numbered in `rn`."""
     limits = df.sparkSession.createDataFrame([(g, n) for g in groups], f"{by} string, row_limit long")
-    rows = first_n(df, F.col(key), [F.col(key)], by, F.broadcast(limits))
+    rows = first_n(df, [F.col(key)], by, F.broadcast(limits))
     return rows.drop("row_limit", "available")
 
 
@@ -56,7 +56,7 @@ def quota_rows(
         table = table.join(failed.select("lang").distinct(), "lang", "left_anti")
     wanted = F.col("train_n") + F.col("val_n") + F.col("test_n")
     limits = table.select("lang", wanted.alias("row_limit"))
-    rows = first_n(df, F.col(key), [F.col(key)], "lang", F.broadcast(limits))
+    rows = first_n(df, [F.col(key)], "lang", F.broadcast(limits))
     short = F.col("available") < F.col("row_limit")
     # Sizes are cut in floating point, as ratio times size, and the test split takes the rest.
     ratio = F.col("available").cast("double") / F.col("row_limit").cast("double")

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.functions.text import is_truthy, pair_prompt
-from vecloom.operators.ordered import CELL, numbered, running, with_cells
-from vecloom.sources.staging import small_table, stage, with_group_figures
+from vecloom.operators.ordered import numbered
+from vecloom.sources.staging import stage, with_group_figures
 
 SEED = 42
-# Standard deviations by which candidates of a sample exceed its size.
+# Standard deviations by which candidates of a sample exceed its size. Results do not depend on it.
 SAMPLE_MARGIN = 6.0
 PAST_DIGESTS = "g"
 
@@ -113,7 +113,10 @@ def registry_summary(counts: DataFrame, registry: DataFrame) -> DataFrame:
 
 def drop_null_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop a row if a configured column that exists is null; empty text stays."""
-    return df.na.drop(subset=[c for c in columns if c in df.columns])
+    for c in columns:
+        if c in df.columns:
+            df = df.where(F.col(c).isNotNull())
+    return df
 
 
 def keep_truthy(df: DataFrame, columns: Sequence[str]) -> DataFrame | None:
@@ -197,24 +200,34 @@ def draw(
 ) -> tuple[DataFrame, DataFrame]:
     """The sample with its positions, and the bounds that hold.
 
-    Should the margin ever be too narrow, the rows are taken again without a bound.
+    A group in which fewer rows than its cap lie below the bound, or none at all, is taken again without
+    a bound, so the sample is the same whatever the margin.
     """
     keys = [by] if by else []
-    bounds, _ = small_table(bounds)
+    bounds = stage(bounds, "bounds")
     kept = stage(candidates(df, key, by, bounds, seed), "candidates")
-    found = kept.where(F.col("_bound") != PAST_DIGESTS).groupBy(*keys)
-    found = found.agg(F.count(F.lit(1)).alias("_found"), F.max("_cap").alias("_cap"))
-    if not found.where("_found < _cap").isEmpty():
-        bounds = bounds.withColumn("_bound", F.lit(PAST_DIGESTS))
+    bounded = bounds.where(F.col("_bound") != PAST_DIGESTS)
+    found = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_found"))
+    if by:
+        found = found.withColumnRenamed(by, "_group")
+        short = bounded.join(found, F.col(by).eqNullSafe(F.col("_group")), "left")
+    else:
+        short = bounded.crossJoin(F.broadcast(found))  # one row
+    short = stage(short.where(F.coalesce("_found", F.lit(0)) < F.col("_cap")).select(*bounds.columns), "short")
+    if not short.isEmpty():
+        again = short.withColumn("_bound", F.lit(PAST_DIGESTS))
+        bounds = stage(bounds.join(short.select(*keys), _same(bounds, short, by), "left_anti").unionByName(again), "bounds") if by else again
         kept = stage(candidates(df, key, by, bounds, seed), "candidates")
-
-    leading = F.conv(F.substring("_digest", 1, 4), 16, 10).cast("double")
-    cells = with_cells(kept, F.col(key)).withColumn(CELL, F.when(F.col("_over"), leading).otherwise(F.col(CELL)))
-    placed = running(cells, [F.col("_digest"), F.col(key)], {"position": ("sum", F.lit(1).cast("long"))}, keys)
+    order = [F.coalesce("_digest", F.lit("")), F.col(key)]
+    placed = numbered(kept, order, keys, "position")
     within = F.col("_cap").isNull() | (F.col("position") <= F.col("_cap"))
     return placed.where(within).drop("_cap", "_over", "_bound", "_digest"), bounds
 
 
+def _same(left: DataFrame, right: DataFrame, by: str) -> Column:
+    return left[by].eqNullSafe(right[by])
+
+
 def capped_sample(
     df: DataFrame,
     key: str,
@@ -249,12 +262,14 @@ def curate(
     keys = stage(kept.select(key, by), "keys")
     sample, bounds = draw(keys, key, by, sample_bounds(keys, by, caps, override))
     rows = candidates(df, key, by, bounds, SEED).select(*df.columns)
-    return rows.join(sample.select(key, "position"), key)
+    sample = sample.select(F.col(key).alias("_key"), F.col(by).alias("_by"), "position")
+    same = (F.col(key) == F.col("_key")) & F.col(by).eqNullSafe(F.col("_by"))
+    return rows.join(sample, same).drop("_key", "_by")
 
 
 def with_batches(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     """Contiguous batches of `size` rows in the given order; the last one may be partial."""
-    rows = numbered(df, order)
+    rows = numbered(df, [F.col(c) for c in order])
     return rows.withColumn("batch_no", F.floor((F.col("rn") - 1) / size)).drop("rn")
 
 
@@ -307,8 +322,9 @@ def retrieval_task(pairs: DataFrame, order: Sequence[str], query: str, doc: str)
     Ids follow the place of the pair in the given order; a pair with an empty side is left
     out, and its number stays unused.
     """
-    placed = numbered(stage(pairs.select(*order, query, doc), "pairs"), order).withColumn("idx", F.col("rn") - 1)
-    placed = stage(placed.where(is_truthy(F.col(query)) & is_truthy(F.col(doc))), "placed")
+    keys = numbered(pairs.select(*order), [F.col(c) for c in order]).withColumn("idx", F.col("rn") - 1)
+    texts = pairs.where(is_truthy(F.col(query)) & is_truthy(F.col(doc))).select(*order, query, doc)
+    placed = stage(texts.join(keys, list(order)), "placed")
     qid, did = F.concat(F.lit("q"), F.col("idx")), F.concat(F.lit("d"), F.col("idx"))
     return (
         placed.select(qid.alias("qid"), F.col(query).alias("text")),

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.functions.text import shorten
-from vecloom.operators.ordered import running, with_cells
+from vecloom.operators.ordered import numbered
+from vecloom.sources.staging import stage
 
 # The type of each benchmark task.
 TASKS_BY_TYPE = {
@@ -25,7 +26,6 @@ TASKS_BY_TYPE = {
     "STS": ["STSb-TR"],
 }
 OTHER = "Other"
-MAX_MODELS = 1_000
 
 
 def task_types(spark: SparkSession) -> DataFrame:
@@ -43,17 +43,13 @@ def unfinished(tasks: DataFrame, records: DataFrame) -> DataFrame:
     return tasks.join(records.select("Task", "Model").distinct(), ["Task", "Model"], "left_anti")
 
 
-def model_names(records: DataFrame) -> list[str]:
-    """The models, which become columns; refused if there are too many for that."""
-    names = [r[0] for r in records.select("Model").distinct().orderBy("Model").limit(MAX_MODELS + 1).collect()]
-    if len(names) > MAX_MODELS:
-        raise ValueError(f"more than {MAX_MODELS} models do not fit into columns")
-    return names
+def mean_scores(records: DataFrame, index: Sequence[str]) -> DataFrame:
+    """The board in long form, (index, Model, Score): repeats are averaged, however many models there are."""
+    return records.groupBy(*index, "Model").agg(F.avg("Score").alias("Score"))
 
 
-def score_pivot(records: DataFrame, index: Sequence[str], models: Sequence[str] | None = None) -> DataFrame:
-    """One row per index, sorted, one column per model; repeats are averaged, gaps stay null."""
-    models = model_names(records) if models is None else models
+def score_pivot(records: DataFrame, index: Sequence[str], models: Sequence[str]) -> DataFrame:
+    """One row per index, sorted, one column per model named; repeats are averaged, gaps stay null."""
     return records.groupBy(*index).pivot("Model", list(models)).agg(F.avg("Score")).orderBy(*index)
 
 
@@ -68,10 +64,10 @@ def overall_mean(records: DataFrame, by: str = "Task") -> DataFrame:
 
 
 def ranked(results: DataFrame, score: str = "spearman", name: str = "model") -> DataFrame:
-    """Results with their place, best first, and a name short enough to print."""
-    order = [F.desc(score), F.asc(name)]
-    placed = running(with_cells(results, -F.col(score)), order, {"place": ("sum", F.lit(1).cast("long"))})
-    return placed.withColumn("shown", shorten(F.col(name)))
+    """Results with their place, best first, and a name short enough to print; equal scores go by name, NaN and
+    then missing scores come last."""
+    order = [F.col(score).isNull(), -F.col(score), F.col(name)]
+    return numbered(results, order, name="place").withColumn("shown", shorten(F.col(name)))
 
 
 def score_delta(base: DataFrame, final: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -81,45 +77,50 @@ def score_delta(base: DataFrame, final: DataFrame, on: Sequence[str]) -> DataFra
     return before.join(after, list(on)).withColumn("delta", F.col("final") - F.col("baseline"))
 
 
-def markdown_lines(table: DataFrame, index: Sequence[str], title: str) -> DataFrame:
-    """(section, part, sort_key, line) of a markdown table, two decimals, gaps as nan.
+def markdown_lines(cells: DataFrame, index: Sequence[str], models: Sequence[str], title: str) -> DataFrame:
+    """(section, line_no, line) of a markdown table from (index, Model, Score): two decimals, gaps as nan.
 
-    The lines are in order when sorted by the first three columns.
+    Lines are numbered from 1 in the order of the index columns, each compared on its own.
     """
-    models = [c for c in table.columns if c not in index]
 
     # Python's own formatting: exact halves go to even, where the JVM rounds them up.
     @F.pandas_udf("string")
     def two_digits(values: pd.Series) -> pd.Series:
         return values.map(lambda x: f"{x:.2f}")
 
-    cells = [F.col(c) for c in index] + [F.coalesce(two_digits(F.col(f"`{m}`")), F.lit("nan")) for m in models]
-    row = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
-    body = table.select(
-        F.lit(title).alias("section"), F.lit(2).alias("part"), F.concat_ws("/", *index).alias("sort_key"), row.alias("line")
-    )
+    shown = cells.withColumn("_shown", two_digits(F.col("Score")))
+    table = shown.groupBy(*index).pivot("Model", list(models)).agg(F.first("_shown"))
+    columns = [F.col(c) for c in index] + [F.coalesce(F.col(f"`{m}`"), F.lit("nan")) for m in models]
+    row = F.concat(F.lit("| "), F.concat_ws(" | ", *columns), F.lit(" |"))
+    body = numbered(table.select(*index, row.alias("line")), [F.col(c) for c in index], name="line_no")
     head = "| " + " | ".join([*index, *models]) + " |"
     rule = "| " + " | ".join([":---"] * len(index) + ["---:"] * len(models)) + " |"
-    top = table.sparkSession.createDataFrame(
-        [(title, 0, "", head), (title, 1, "", rule)], "section string, part int, sort_key string, line string"
-    )
-    return top.unionByName(body)
+    top = cells.sparkSession.createDataFrame([(1, head), (2, rule)], "line_no long, line string")
+    lines = top.unionByName(body.select((F.col("line_no") + 2).alias("line_no"), "line"))
+    return lines.select(F.lit(title).alias("section"), "line_no", "line")
+
 
+def report_lines(records: DataFrame, models: Sequence[str]) -> DataFrame:
+    """The comparison report on the models named: every task by model, then the mean of each type by model.
 
-def report_lines(records: DataFrame) -> DataFrame:
-    """The comparison report: every task by model, then the mean of each type by model."""
-    models = model_names(records)
-    detail = markdown_lines(score_pivot(records, ["Type", "Task"], models), ["Type", "Task"], "Detailed Results")
-    means = markdown_lines(score_pivot(records, ["Type"], models), ["Type"], "Average Scores by Type")
-    return detail.unionByName(means)
+    The records are folded once; means of types are over records, not over tasks.
+    """
+    sums = records.groupBy("Type", "Task", "Model").agg(F.sum("Score").alias("_sum"), F.count("Score").alias("_n"))
+    sums = stage(sums, "report")
+    mean = (F.sum("_sum") / F.nullif(F.sum("_n"), F.lit(0))).alias("Score")
+    detail = sums.groupBy("Type", "Task", "Model").agg(mean)
+    means = sums.groupBy("Type", "Model").agg(mean)
+    return markdown_lines(detail, ["Type", "Task"], models, "Detailed Results").unionByName(
+        markdown_lines(means, ["Type"], models, "Average Scores by Type")
+    )
 
 
 def summary_lines(records: DataFrame) -> DataFrame:
     """The report on one model: every task with its metric and score, then the mean of each type."""
-    detail = records.select("Type", "Task", "Metric", "Score")
-    means = mean_by_type(records)
-    return markdown_lines(detail, ["Type", "Task", "Metric"], "Evaluation Results").unionByName(
-        markdown_lines(means, ["Type"], "Averages by Type")
+    detail = records.select("Type", "Task", "Metric", F.lit("Score").alias("Model"), "Score")
+    means = mean_by_type(records).select("Type", F.lit("mean_score").alias("Model"), F.col("mean_score").alias("Score"))
+    return markdown_lines(detail, ["Type", "Task", "Metric"], ["Score"], "Evaluation Results").unionByName(
+        markdown_lines(means, ["Type"], ["mean_score"], "Averages by Type")
     )
 
 

@@ -1,55 +1,37 @@
 """Ranks, first-N and running totals over an order that spans a whole table.
 
-A window over one key puts all rows of that key into one task. Here the order is cut
-into cells first, by split points of the order key, so that a cell holds a bounded
-share of the table whichever key the rows belong to. Cells are counted with map-side
-aggregation, what came before each cell is added up over the (few) cells, and the
-windows run inside (key, cell).
+A window over one key puts all rows of that key into one task. Here the table is dealt out by ranges of the
+order itself, whatever the types of its columns, so a cell (a range) holds a bounded share of the table whichever
+key the rows belong to. The dealt table is written once; cells are counted with map-side aggregation, what came
+before each cell is added up over the (few) cells, and the rest happens inside (key, cell).
+
+An order is a list of ascending columns that tell all rows of a group apart; nulls come first and NaN last, as
+Spark sorts. For a falling order of numbers give their negative.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegralType
 
-from vecloom.sources.staging import small_table, with_group_figures
+from vecloom.sources.staging import stage, with_group_figures
 
 CELL = "_cell"
-MAX_CELLS = 16_384
-ROWS_PER_CELL = 1_000_000
-# Rows that decide where the cells begin. Results do not depend on it, only balance.
-SPLIT_SAMPLE_ROWS = 2_000_000
+# monotonically_increasing_id holds the partition above this many bits, and the place in it below.
+PLACE_BITS = 33
 
 FOLDS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-def split_points(df: DataFrame, key: Column) -> list[float]:
-    """Ascending cut points that spread the rows evenly by `key` (at most MAX_CELLS)."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = df.select(key.cast("double").alias("k"))
-    total = keys.count()
-    cells = min(MAX_CELLS, max(4 * partitions, total // ROWS_PER_CELL))
-    if total > SPLIT_SAMPLE_ROWS:
-        keys = keys.sample(SPLIT_SAMPLE_ROWS / total, seed=42)
-    shares = [i / cells for i in range(1, cells)]
-    row = keys.agg(F.percentile_approx("k", shares, 4 * cells)).first()
-    return sorted({p for p in row[0] or [] if not math.isnan(p)})
-
-
-def with_cells(df: DataFrame, key: Column, points: Sequence[float] | None = None) -> DataFrame:
-    """Add the cell number of each row; it never falls as the key grows."""
-    points = split_points(df, key) if points is None else points
-    if not points:
-        return df.withColumn(CELL, F.lit(0.0))
-    cut = Bucketizer(
-        splits=[-math.inf, *points, math.inf], inputCol="_key", outputCol=CELL, handleInvalid="keep"
-    )
-    return cut.transform(df.withColumn("_key", key.cast("double"))).drop("_key")
+def _cells(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def with_cells(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The table, written out, with the cell number of each row; it never falls along the order."""
+    return stage(df.repartitionByRange(_cells(df), *order).withColumn(CELL, F.spark_partition_id()), "cells")
 
 
 def running(
@@ -81,71 +63,48 @@ def running(
     )
 
 
-def numbered(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name: str = "rn") -> DataFrame:
-    """Row numbers from 1 in ascending order of one or two columns that are unique, per group."""
-    key = F.col(order[0]) if len(order) == 1 else pair_key(df, *order)
-    counted = {name: ("sum", F.lit(1).cast("long"))}
-    return running(with_cells(df, key), [F.col(c) for c in order], counted, by)
+def numbered(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), name: str = "rn") -> DataFrame:
+    """Row numbers from 1 along the order, per group.
+
+    The rows shuffle once: each is numbered in its sorted range, and a small table tells where the
+    numbers of a group begin in each range.
+    """
+    dealt = df.repartitionByRange(_cells(df), *order).sortWithinPartitions(*by, *order)
+    rows = stage(dealt.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    cell, place = F.shiftright("_at", PLACE_BITS), F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    starts = rows.groupBy(*by, cell.alias("_of")).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1
+    starts = starts.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], "_of", offset.alias("_offset"))
+    same = cell == F.col("_of")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    return rows.join(starts, same).select(*df.columns, (place + F.col("_offset")).alias(name))
 
 
 def first_n(
-    df: DataFrame, key: Column, order: Sequence[Column], by: str | None, limits: DataFrame | int, name: str = "rn"
+    df: DataFrame, order: Sequence[Column], by: str | None, limits: DataFrame | int, name: str = "rn"
 ) -> DataFrame:
     """The first rows of each group, or of the table without `by`, numbered from 1.
 
-    `order` is a total order and `key` a number that never falls along it. `limits` is
-    one number, or a configuration table (by, row_limit). A first pass over the keys
-    finds the cell in which each group reaches its limit, so the second pass moves only
-    rows that can be kept. `available` is what the group could offer, up to its limit.
+    `limits` is one number, or a configuration table (by, row_limit). The keys alone are numbered first, which
+    gives the exact last key of each group; only rows up to it move on with all their columns.
+    `available` is what the group could offer, up to its limit.
     """
     keys = [by] if by else []
-    points = split_points(df, key)
-    celled = with_cells(df, key, points)
-    earlier = Window.partitionBy(*keys).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
-    counts = (
-        celled.groupBy(*keys, CELL)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    )
+    at = [f"_o{i}" for i in range(len(order))]
+    narrow = df.select(*keys, *[c.alias(n) for c, n in zip(order, at)])
+    narrow = numbered(narrow, [F.col(n) for n in at], keys, "_rn")
     if isinstance(limits, int):
-        counts = counts.withColumn("row_limit", F.lit(limits).cast("long"))
+        narrow = narrow.withColumn("row_limit", F.lit(limits).cast("long"))
     else:
-        counts = counts.join(limits, by)
-    need = (
-        counts.where("before < row_limit")
-        .groupBy(*keys)
-        .agg(
-            F.max(CELL).alias("_last"),
-            F.max("row_limit").alias("row_limit"),
-            F.least(F.sum("n"), F.max("row_limit")).alias("available"),
-        )
-    )
-    # Nothing past the furthest cell is needed; the bound can reach the scan.
-    need, rows = small_table(need)
-    last = max((r["_last"] for r in rows), default=0) if rows is not None else need.agg(F.max("_last")).first()[0]
-    last = int(last or 0)
-    if last < len(points):
-        celled = celled.where(key <= at_least(points[last], celled.select(key).schema[0].dataType))
-    kept = with_group_figures(celled, need, by).where(F.col(CELL) <= F.col("_last")).drop("_last")
-    ranked = running(kept, order, {name: ("sum", F.lit(1).cast("long"))}, keys)
-    return ranked.where(F.col(name) <= F.col("row_limit"))
-
-
-def at_least(point: float, kind: DataType) -> Column:
-    """A literal no smaller than `point`, whole for whole-number keys so that scans can use it."""
-    return F.lit(math.ceil(point)).cast(kind) if isinstance(kind, IntegralType) else F.lit(point)
-
-
-def pair_key(df: DataFrame, major: str, minor: str) -> Column:
-    """A number that orders rows by (major, minor), for cells of a two-column order."""
-    top = df.agg(F.max(minor)).first()[0] or 0
-    return F.col(major) + F.col(minor) / F.lit(float(top) + 1.0)
-
-
-def count_key(count: str, name: str) -> Column:
-    """A number that orders rows by (count falling, name rising).
-
-    The first six bytes of the name split the many names that share a low count.
-    """
-    lead = F.rpad(F.substring(F.hex(F.encode(name, "UTF-8")), 1, 12), 12, "0")
-    return F.conv(lead, 16, 10).cast("double") / F.lit(float(2**48)) - F.col(count)
+        narrow = narrow.join(limits, by)
+    need = narrow.where("_rn <= row_limit").groupBy(*keys, "row_limit")
+    need = stage(need.agg(F.max(F.struct(*at)).alias("_last"), F.count(F.lit(1)).alias("available")), "limits")
+    # Nothing past the furthest key is needed; the bound can reach the scan.
+    furthest = need.agg(F.max("_last")).first()[0]
+    lead = order[0]
+    rows = df.where(lead.isNull() | (lead <= F.lit(furthest[0]))) if furthest and furthest[0] is not None else df
+    rows = rows.withColumn("_key", F.struct(*[c.alias(n) for c, n in zip(order, at)]))
+    kept = with_group_figures(rows, need, by).where(F.col("_key") <= F.col("_last")).drop("_key", "_last")
+    return numbered(kept, order, keys, name).where(F.col(name) <= F.col("row_limit"))

@@ -10,7 +10,7 @@ from vecloom.operators.ordered import running, with_cells
 
 def running_mean(log: DataFrame, every: int, by: str = "epoch", step: str = "step", value: str = "loss") -> DataFrame:
     """The mean loss of the epoch so far, at every `every`-th step."""
-    cells = with_cells(log, F.col(step))
+    cells = with_cells(log, [F.col(step), F.col(by)])
     totals = {"_sum": ("sum", F.col(value)), "_n": ("sum", F.lit(1).cast("long"))}
     upto = running(cells, [F.col(step)], totals, [by])
     return (
@@ -31,7 +31,7 @@ def batch_means(rows: DataFrame, by: list[str], value: str = "loss") -> DataFram
 
 def best_so_far(epochs: DataFrame, epoch: str = "epoch", value: str = "epoch_loss") -> DataFrame:
     """Mark the epochs whose loss is strictly below every earlier one."""
-    cells = with_cells(epochs, F.col(epoch))
+    cells = with_cells(epochs, [F.col(epoch)])
     before = running(cells, [F.col(epoch)], {"best_before": ("min", F.col(value))}, exclusive=True)
     is_best = F.col("best_before").isNull() | (F.col(value) < F.col("best_before"))
     return before.withColumn("is_best", is_best)

@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 
 from vecloom.functions.text import tokens
 from vecloom.functions.vectors import mean_vector
-from vecloom.operators.ordered import count_key, first_n, running, with_cells
+from vecloom.operators.ordered import first_n, numbered
 from vecloom.sources.staging import stage
 
 TOP_TOKENS = 64_000
 
 
+def by_count() -> list[Column]:
+    """Falling counts; ties go by token."""
+    return [-F.col("n"), F.col("token")]
+
+
 def token_frequency(df: DataFrame, text: str = "text", by: tuple[str, ...] = ()) -> DataFrame:
     """(by, token, n): counted before the shuffle too, so a frequent token does not pile up."""
     return (
@@ -25,8 +30,8 @@ def token_frequency(df: DataFrame, text: str = "text", by: tuple[str, ...] = ())
 
 
 def frequency_table(counts: DataFrame) -> DataFrame:
-    """Token counts, written out with the number that orders them, as ranking reads them a few times."""
-    return stage(counts.withColumn("order_key", count_key("n", "token")), "tokens")
+    """Token counts, written out, as ranking reads them twice."""
+    return stage(counts, "tokens")
 
 
 def top_tokens(frequency: DataFrame, k: int = TOP_TOKENS) -> DataFrame:
@@ -36,9 +41,8 @@ def top_tokens(frequency: DataFrame, k: int = TOP_TOKENS) -> DataFrame:
 
 def top_tokens_by(frequency: DataFrame, by: str | None, k: int) -> DataFrame:
     """The k most frequent tokens of each group of a frequency table, ranked; ties go by token."""
-    order = [F.desc("n"), F.asc("token")]
-    ranked = first_n(frequency, F.col("order_key"), order, by, k, "rank")
-    return ranked.drop("order_key", "row_limit", "available")
+    ranked = first_n(frequency, by_count(), by, k, "rank")
+    return ranked.drop("row_limit", "available")
 
 
 def merge_vocabularies(primary: DataFrame, source: DataFrame, added: DataFrame) -> DataFrame:
@@ -118,7 +122,5 @@ def remap_vectors(
 
 def with_ids(frequency: DataFrame) -> DataFrame:
     """(token, id) of a frequency table: ids from 0 by falling frequency, ties by token."""
-    rows = with_cells(frequency, F.col("order_key"))
-    place = {"rn": ("sum", F.lit(1).cast("long"))}
-    ranked = running(rows, [F.desc("n"), F.asc("token")], place)
+    ranked = numbered(frequency, by_count())
     return ranked.select("token", (F.col("rn") - 1).alias("id"))

@@ -120,6 +120,15 @@ PROBED = {
     "embeddings": ["embedding", "label"],
     "labels": ["doc_id", "label"],
     "benchmark": ["text"],
+    "pages": ["html", "text"],
+    "region": ["r_name"],
+    "nation": ["n_name"],
+    "customer": ["c_custkey"],
+    "supplier": ["s_suppkey"],
+    "part": ["p_partkey"],
+    "orders": ["o_orderkey"],
+    "lineitem": ["l_orderkey", "l_comment"],
+    "events": ["event_id", "ts"],
 }
 PROBED_COLUMNS = {
     "documents": ["text", "label", "doc_id", "lang", "source", "n_chars"],
@@ -127,8 +136,20 @@ PROBED_COLUMNS = {
     "embeddings": ["embedding", "label", "vec_id"],
     "labels": ["doc_id", "label", "quality", "toxic"],
     "benchmark": ["text", "item_id"],
+    "pages": ["html", "text", "page_id", "url"],
+    "region": ["r_name", "r_regionkey"],
+    "nation": ["n_name", "n_nationkey", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": [
+        "l_orderkey", "l_comment", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    ],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
 }
-PROBED_MISSING = {("documents", "label"), ("labels", "label")}
+PROBED_MISSING = {("documents", "label"), ("labels", "label"), ("pages", "text"), ("lineitem", "l_comment")}
 
 
 def probe_sql() -> str:

@@ -177,16 +177,24 @@ PIVOT = ", ".join(f"round(avg(\"Score\") FILTER (WHERE \"Model\" = '{m}'), 6) AS
 
 @query("leaderboard_pivot", f'WITH {RECORDS_SQL} SELECT "Type", "Task", {PIVOT} FROM r GROUP BY ALL')
 def leaderboard_pivot(spark, folder):
-    table = B.score_pivot(records(spark, folder), ["Type", "Task"])
+    table = B.score_pivot(records(spark, folder), ["Type", "Task"], MODELS)
     return table.select("Type", "Task", *[F.round(m, 6).alias(m) for m in MODELS])
 
 
 @query("leaderboard_mean", f'WITH {RECORDS_SQL} SELECT "Type", {PIVOT} FROM r GROUP BY ALL')
 def leaderboard_mean(spark, folder):
-    table = B.score_pivot(records(spark, folder), ["Type"])
+    table = B.score_pivot(records(spark, folder), ["Type"], MODELS)
     return table.select("Type", *[F.round(m, 6).alias(m) for m in MODELS])
 
 
+@query(
+    "leaderboard_long",
+    f'WITH {RECORDS_SQL} SELECT "Type", "Task", "Model", round(avg("Score"), 6) AS "Score" FROM r GROUP BY ALL',
+)
+def leaderboard_long(spark, folder):
+    return B.mean_scores(records(spark, folder), ["Type", "Task"]).withColumn("Score", F.round("Score", 6))
+
+
 @query("mean_by_type", f'WITH {RECORDS_SQL} SELECT "Type", round(avg("Score"), 6) AS mean_score FROM r GROUP BY "Type"')
 def mean_by_type(spark, folder):
     return B.mean_by_type(records(spark, folder)).withColumn("mean_score", F.round("mean_score", 6))
@@ -251,41 +259,42 @@ RULE = " | ".join(["---:"] * len(MODELS))
 @query(
     "report",
     f"""WITH {RECORDS_SQL}
-    SELECT 'Detailed Results' AS section, CAST(2 AS INTEGER) AS part, "Type" || '/' || "Task" AS sort_key,
+    SELECT 'Detailed Results' AS section, 2 + row_number() OVER (ORDER BY "Type", "Task") AS line_no,
         '| ' || "Type" || ' | ' || "Task" || ' | ' || {CELLS} || ' |' AS line FROM r GROUP BY "Type", "Task"
-    UNION ALL SELECT 'Average Scores by Type', 2, "Type", '| ' || "Type" || ' | ' || {CELLS} || ' |' FROM r GROUP BY "Type"
-    UNION ALL VALUES ('Detailed Results', 0, '', '| Type | Task | {" | ".join(MODELS)} |'),
-        ('Detailed Results', 1, '', '| :--- | :--- | {RULE} |'),
-        ('Average Scores by Type', 0, '', '| Type | {" | ".join(MODELS)} |'),
-        ('Average Scores by Type', 1, '', '| :--- | {RULE} |')""",
+    UNION ALL SELECT 'Average Scores by Type', 2 + row_number() OVER (ORDER BY "Type"), '| ' || "Type" || ' | ' || {CELLS} || ' |'
+        FROM r GROUP BY "Type"
+    UNION ALL VALUES ('Detailed Results', 1, '| Type | Task | {" | ".join(MODELS)} |'),
+        ('Detailed Results', 2, '| :--- | :--- | {RULE} |'),
+        ('Average Scores by Type', 1, '| Type | {" | ".join(MODELS)} |'),
+        ('Average Scores by Type', 2, '| :--- | {RULE} |')""",
 )
 def report(spark, folder):
-    return B.report_lines(records(spark, folder))
+    return B.report_lines(records(spark, folder), MODELS)
 
 
 # One model's result files, one per task: the mean quality under a key that depends on the number of rows.
 TASK_BODY = """'{"scores":{"test":[{"' || CASE n % 3 WHEN 0 THEN 'main_score' WHEN 1 THEN 'accuracy' ELSE 'ap' END || '":0.'
-    || lpad(cast(permille AS varchar(9)), 4, '0') || '}]}}'"""
+    || lpad(cast(permille AS varchar(9)), 5, '0') || '}]}}'"""
 
 
 @query(
     "summary_report",
     f"""WITH {RECORDS_SQL}, t AS (SELECT "Task", "Type", count(*) AS n,
-        least(9999, CAST(floor(sum("Score") * 100 / count(*)) AS BIGINT)) AS permille FROM r GROUP BY "Task", "Type"),
+        CAST(floor(sum("Score") * 100 / count(*)) AS BIGINT) AS permille FROM r GROUP BY "Task", "Type"),
     s AS (SELECT "Task", "Type", CASE n % 3 WHEN 1 THEN 'Accuracy' ELSE 'N/A' END AS "Metric",
-        CASE WHEN n % 3 < 2 THEN CAST('0.' || lpad(permille::VARCHAR, 4, '0') AS DOUBLE) * 100 ELSE 0.0 END AS "Score" FROM t)
-    SELECT 'Evaluation Results' AS section, CAST(2 AS INTEGER) AS part, "Type" || '/' || "Task" || '/' || "Metric" AS sort_key,
+        CASE WHEN n % 3 < 2 THEN CAST('0.' || lpad(permille::VARCHAR, 5, '0') AS DOUBLE) * 100 ELSE 0.0 END AS "Score" FROM t)
+    SELECT 'Evaluation Results' AS section, 2 + row_number() OVER (ORDER BY "Type", "Task", "Metric") AS line_no,
         '| ' || "Type" || ' | ' || "Task" || ' | ' || "Metric" || ' | ' || printf('%.2f', "Score") || ' |' AS line FROM s
-    UNION ALL SELECT 'Averages by Type', 2, "Type", '| ' || "Type" || ' | ' || printf('%.2f', round(avg("Score"), 6)) || ' |'
-        FROM s GROUP BY "Type"
-    UNION ALL VALUES ('Evaluation Results', 0, '', '| Type | Task | Metric | Score |'),
-        ('Evaluation Results', 1, '', '| :--- | :--- | :--- | ---: |'),
-        ('Averages by Type', 0, '', '| Type | mean_score |'), ('Averages by Type', 1, '', '| :--- | ---: |')""",
+    UNION ALL SELECT 'Averages by Type', 2 + row_number() OVER (ORDER BY "Type"),
+        '| ' || "Type" || ' | ' || printf('%.2f', round(avg("Score"), 6)) || ' |' FROM s GROUP BY "Type"
+    UNION ALL VALUES ('Evaluation Results', 1, '| Type | Task | Metric | Score |'),
+        ('Evaluation Results', 2, '| :--- | :--- | :--- | ---: |'),
+        ('Averages by Type', 1, '| Type | mean_score |'), ('Averages by Type', 2, '| :--- | ---: |')""",
 )
 def summary_report(spark, folder):
     total, n = F.sum("Score"), F.count(F.lit(1))
     tasks = records(spark, folder).groupBy("Task").agg(
-        n.alias("n"), F.least(F.lit(9999).cast("long"), F.floor(total * 100 / n)).alias("permille")
+        n.alias("n"), F.floor(total * 100 / n).alias("permille")
     )
     scored = scores.summary_score(tasks.withColumn("body", F.expr(TASK_BODY)), name="Score")
     return B.summary_lines(B.with_task_type(scored.withColumnRenamed("metric", "Metric")))

@@ -23,7 +23,7 @@ CHUNKS_SQL = f"""WITH t AS (SELECT doc_id, lang, text, {TOKENS} AS tk FROM docum
 
 
 def documents(spark, folder):
-    return S.spread(S.table(spark, folder, "documents").select("doc_id", "lang", "text"))
+    return S.table(spark, folder, "documents").select("doc_id", "lang", "text")
 
 
 @query("token_count", f"SELECT doc_id, CAST(len({TOKENS}) AS INTEGER) AS n_tokens FROM documents")

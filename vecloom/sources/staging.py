@@ -1,4 +1,4 @@
-"""Written intermediate tables, and small tables with a checked size."""
+"""Written intermediate tables, and figures of groups joined to their rows."""
 
 from __future__ import annotations
 
@@ -8,9 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A table up to this many (narrow) rows is small enough to broadcast.
-SMALL_ROWS = 50_000
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
@@ -41,18 +38,6 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_table(df: DataFrame, bound: int = SMALL_ROWS) -> tuple[DataFrame, list | None]:
-    """A join side: broadcast if it holds at most `bound` rows, else written out.
-
-    Also returns the rows if there are few; the larger case leaves the join
-    strategy to Spark.
-    """
-    rows = df.limit(bound + 1).collect()
-    if len(rows) > bound:
-        return stage(df, "large-side"), None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), rows
-
-
 def with_group_figures(df: DataFrame, side: DataFrame, by: str | None) -> DataFrame:
     """Add to each row the figures of its group, or the one row of figures of the whole table.
 
@@ -61,5 +46,4 @@ def with_group_figures(df: DataFrame, side: DataFrame, by: str | None) -> DataFr
     if by is not None:
         side = side.withColumnRenamed(by, "_group")
         return df.join(side, F.col(by).eqNullSafe(F.col("_group"))).drop("_group")
-    whole = side.first()
-    return df.withColumns({f.name: F.lit(whole[f.name]).cast(f.dataType) for f in side.schema.fields})
+    return df.crossJoin(F.broadcast(side))  # one row

@@ -7,36 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.sources.staging import small_table, with_group_figures
+from vecloom.sources.staging import stage, with_group_figures
 
 # Order in which splits are tried.
 CURATION_SPLITS = ("train", "test")
 RETRIEVAL_SPLITS = ("test", "validation", "train")
 
-SMALL_INPUT = 16 * 1024 * 1024
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, small: int = SMALL_INPUT) -> DataFrame:
-    """Deal out the rows of a small table before heavy work on each row.
-
-    A file of one row group is one task, however many cores there are. Only inputs of
-    at most `small` bytes per core move; a large table has row groups enough.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    files = df.inputFiles()
-    if not files:
-        return df
-    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
-    return df.repartition(cores) if size <= small * cores else df
-
-
 def load_split(df: DataFrame, split: str) -> DataFrame:
     return df.where(F.col("split") == split)
 
@@ -50,13 +31,13 @@ def first_present_split(df: DataFrame, order: Sequence[str], by: str | None = No
     if by is None:
         best = usable.agg(F.min(rank)).first()[0]
         return usable.where(F.col("split") == (order[best] if best is not None else None))
-    best, _ = small_table(usable.groupBy(by).agg(F.min(rank).alias("_best")))
+    best = stage(usable.groupBy(by).agg(F.min(rank).alias("_best")), "best-splits")
     return with_group_figures(usable, best, by).where(rank == F.col("_best")).drop("_best")
 
 
 def with_test_split(df: DataFrame, by: str) -> DataFrame:
     """All splits, and the validation rows once more as `test` where a data set has no test split."""
-    has_test, _ = small_table(df.groupBy(by).agg(F.max(F.col("split") == "test").alias("_has_test")))
+    has_test = stage(df.groupBy(by).agg(F.max(F.col("split") == "test").alias("_has_test")), "test-splits")
     names = F.when(
         (F.col("split") == "validation") & ~F.col("_has_test"), F.array(F.lit("validation"), F.lit("test"))
     ).otherwise(F.array("split"))
