@@ -58,15 +58,19 @@ def hashed_embedding(df: DataFrame, text: str = "text", dim: int = 64) -> DataFr
 
 
 def hashing_embedder(dim: int = 64) -> Callable[[], Callable[[list[str]], list]]:
-    """A stand-in model for `embed_batches`: hashed token counts of unit length."""
+    """A stand-in model for `embed_batches`: token counts by md5 of the token, of unit length."""
 
     def build() -> Callable[[list[str]], list]:
-        import zlib
+        import hashlib
+        import re
+
+        def slot(token: str) -> int:
+            return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
 
         def embed(texts: list[str]) -> list:
             out = np.zeros((len(texts), dim), dtype="float32")
             for i, value in enumerate(texts):
-                slots = [zlib.crc32(t.encode()) % dim for t in value.split()]
+                slots = [slot(t) for t in re.split("[ \t\n\r]+", value) if t]
                 out[i] = np.bincount(slots, minlength=dim) if slots else 0
             size = np.linalg.norm(out, axis=1, keepdims=True)
             return list(out / np.where(size == 0, 1, size))

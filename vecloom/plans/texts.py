@@ -59,11 +59,20 @@ def chunk_cache(spark, folder):
     return again.groupBy("lang").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum(F.length("text")).alias("n_chars"))
 
 
-@query("embed_batch")
+@query(
+    "embed_batch",
+    f"""{CHUNKS_SQL}, k AS (SELECT doc_id, chunk_no, lang, unnest({TOKENS}) AS token FROM c),
+    b AS (SELECT doc_id, chunk_no, lang, CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % 64 AS slot, count(*)::DOUBLE AS n
+        FROM k GROUP BY ALL)
+    SELECT doc_id, chunk_no, lang, CAST(count(*) AS INTEGER) AS n_slots, round(sum(n * (slot + 1)) / sqrt(sum(n * n)), 2) AS weighted_sum
+    FROM b GROUP BY ALL""",
+)
 def embed_batch(spark, folder):
-    chunks = chunking.token_chunks(documents(spark, folder))
+    chunks = chunking.token_chunks(documents(spark, folder), max_tokens=MAX_TOKENS)
     vectors = embedding.keep_embedded(embedding.embed_batches(chunks, embedding.hashing_embedder()))
-    return vectors.select("doc_id", "chunk_no", "lang", "embedding")
+    exact = F.transform("embedding", lambda x, i: x.cast("double") * (i + 1))
+    slots = F.size(F.filter("embedding", lambda x: x > 0))
+    return vectors.select("doc_id", "chunk_no", "lang", slots.alias("n_slots"), F.round(total(exact), 2).alias("weighted_sum"))
 
 
 @query(
@@ -134,8 +143,8 @@ def vocab_by_lang(spark, folder):
     a AS (SELECT DISTINCT token FROM (SELECT token, row_number() OVER (PARTITION BY lang ORDER BY n DESC, token) AS r FROM f)
         WHERE r <= 500)
     SELECT token, 'primary' AS origin FROM p
-    UNION ALL SELECT token, 'kept' FROM s WHERE token NOT IN (SELECT token FROM p)
-    UNION ALL SELECT token, 'added' FROM a WHERE token NOT IN (SELECT token FROM p) AND token NOT IN (SELECT token FROM s)""",
+    UNION ALL SELECT token, 'kept' FROM s ANTI JOIN p USING (token)
+    UNION ALL SELECT token, 'added' FROM (SELECT token FROM a ANTI JOIN p USING (token)) ANTI JOIN s USING (token)""",
 )
 def vocab_merge(spark, folder):
     counts = V.frequency_table(V.token_frequency(documents(spark, folder), by=("lang",)))
@@ -146,12 +155,11 @@ def vocab_merge(spark, folder):
 # Source vocabulary: English tokens by frequency, as many as there are vectors. Target: all others.
 VOCABULARY_SQL = f"""{FREQUENCY_SQL},
     src AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) - 1 AS id FROM f WHERE lang = 'en'),
-    source AS (SELECT token, id FROM src WHERE id IN (SELECT vec_id FROM embeddings)),
+    source AS MATERIALIZED (SELECT token, id FROM src SEMI JOIN embeddings ON id = vec_id),
     g AS (SELECT token, sum(n) AS n FROM f GROUP BY token),
-    target AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) - 1 AS token_id FROM g),
-    parts AS (SELECT token_id, unnest(regexp_extract_all(token, '\\p{{L}}+|[^\\p{{L}}]+')) AS token,
-            generate_subscripts(regexp_extract_all(token, '\\p{{L}}+|[^\\p{{L}}]+'), 1) AS pos
-        FROM target WHERE token NOT IN (SELECT token FROM source)),
+    target AS MATERIALIZED (SELECT token, row_number() OVER (ORDER BY n DESC, token) - 1 AS token_id FROM g),
+    cut AS MATERIALIZED (SELECT token_id, regexp_extract_all(token, '\\p{{L}}+|[^\\p{{L}}]+') AS pieces FROM target ANTI JOIN source USING (token)),
+    parts AS (SELECT token_id, unnest(pieces) AS token, generate_subscripts(pieces, 1) AS pos FROM cut),
     ids AS (SELECT token_id, 0 AS pos, id, 'direct' AS kind FROM target JOIN source USING (token)
         UNION ALL SELECT token_id, pos, id, 'tokenized' FROM parts JOIN source USING (token))"""
 
