@@ -157,7 +157,7 @@ def test_training_log(spark):
 def test_query_without_its_document_counts_as_zero(spark):
     vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id long, vector array<float>")
     qrels = spark.createDataFrame([(1, 1), (2, 99)], "qid long, did long")
-    ranks = retrieval.relevant_ranks(vectors, vectors, qrels)
+    ranks = R.relevant_ranks(vectors, vectors, qrels)
     assert {(r["qid"], r["rank"]) for r in ranks.collect()} == {(1, 1), (2, None)}
-    row = retrieval.ranking_scores(ranks).first()
+    row = R.ranking_scores(ranks).first()
     assert (row["ndcg_at_10"], row["map"], row["accuracy_at_1"], row["num_queries"]) == (0.5, 0.5, 0.5, 2)
