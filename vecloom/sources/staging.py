@@ -27,15 +27,38 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# With this setting Spark removes the shuffle files of a query when it ends, not when the driver happens to collect garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a table that is read more than once, and read it back.
 
     Cuts the lineage, so a lost executor costs a re-read and not a recompute, and
-    gives later steps column pruning and real sizes.
+    gives later steps column pruning and real sizes. Shuffle files of the write go with its end.
     """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete tables that `stage` returned and that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def with_group_figures(df: DataFrame, side: DataFrame, by: str | None) -> DataFrame:
