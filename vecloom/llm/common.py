@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,17 +96,3 @@ def unpacked(column: pa.Array) -> list[bytes]:
 
     press = zstandard.ZstdDecompressor().decompress
     return [press(x) if x else b"" for x in column.to_pylist()]
-
-
-def release(spark: SparkSession, *done: DataFrame) -> None:
-    """Free the disk of finished steps: the files of staged tables that nothing reads any more, and shuffle files.
-
-    Spark removes the shuffle files of a step once the driver has collected what refers to it, which a driver
-    with little to do does late.
-    """
-    for df in done:
-        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

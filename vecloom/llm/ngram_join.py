@@ -10,9 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import PACKED, compressed, partitions, release, text_slices, unpacked
+from vecloom.llm.common import PACKED, compressed, partitions, text_slices, unpacked
 from vecloom.llm.components import components
-from vecloom.sources.staging import stage
+from vecloom.sources.staging import drop_staged, stage
 
 # N-grams that hold this share of all places are frequent: there are at most 1 / SHARE of them, which bounds their list.
 SHARE = 1 / 500_000
@@ -292,7 +292,6 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     a null component. Rows that share an id share the component. An empty table gives an empty table; other columns
     are not looked at.
     """
-    spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     frequent = frequent_ngrams(docs, n)
     prefixes = stage(ordered_sets(docs, n, percent, frequent, whole=False), "prefixes")
@@ -302,7 +301,7 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     heads = stage(heads.select("node", "n", "grams"), "heads")
     ids = stage(prefixes.drop("grams"), "ids")
     real = ids.where("n > 0 AND doc_id IS NOT NULL")
-    release(spark, prefixes)
+    drop_staged(prefixes)
     grams = heads.select("node", F.posexplode("grams").alias("at", "gram"), "n")
     # The size of the set and the place in it as one number: this is the largest table that is shuffled.
     grams = grams.select("gram", "node", (F.col("n") * AT_MOST + F.col("at")).alias("spot"))
@@ -312,7 +311,6 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
         "gram", "node", "members", F.floor(F.col("spot") / AT_MOST).alias("n"), (F.col("spot") % AT_MOST).alias("at")
     )
     shared = stage(shared, "shared")
-    release(spark)
     small, large = shared.where(F.col("members") <= SMALL), stage(shared.where(F.col("members") > SMALL), "large")
     fitting = _fitting(percent)
 
@@ -328,7 +326,6 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     texts = compressed(docs.where("doc_id IS NOT NULL")).join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
     sets = ordered_sets(texts, n, percent, frequent, whole=True).join(classes, ["k1", "k2"])
     sets = stage(sets.where("doc_id = node").dropDuplicates(["k1", "k2"]).select("node", "n", "grams"), "sets")
-    release(spark)
 
     # A document whose id stands for several texts ties their classes together.
     tied = real.join(classes, ["k1", "k2"]).groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
@@ -357,6 +354,7 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
         links = stage(links.unionByName(linked(more, sets, percent)), "links")
         labels = components(links)
 
+    drop_staged(heads, shared, large, buckets, pairs, nodes, sets, links)
     named = ids.join(classes, ["k1", "k2"], "left")
     named = named.join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "node")).otherwise(F.col("doc_id"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.llm.common import PACKED, compressed, join_by_key, keyed, partitions, text_slices, unpacked
-from vecloom.sources.staging import stage
+from vecloom.sources.staging import drop_staged, stage
 
 LENGTH = 200
 SEED = 32  # bytes by which a sample is chosen and named
@@ -232,10 +232,11 @@ def repeated_places(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     docs: (doc_id, digest, text). A run is (first, number, ats): all `number` places from `first` on if ats is
     null, else those at first + ats.
     """
-    found = stage(samples(docs, length), "samples")
-    names = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
+    every = stage(samples(docs, length), "samples")
+    names = every.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
     names = stage(names, "names")  # on its own, so that the join can split a frequent name
-    found = stage(found.join(names, "name"), "repeated")
+    found = stage(every.join(names, "name"), "repeated")
+    drop_staged(every, names)
     classes = found.groupBy("name", "class", "number").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "digest", "first")).alias("place")
     )
