@@ -81,3 +81,15 @@ def test_one_of_each_keeps_columns_and_rows_without_id(spark, odd, none):
     ids = [r.doc_id for r in kept.select("doc_id").collect()]
     assert sorted((i for i in ids if i is not None)) == [1, 2, 3, 4, 4, 5, 6, 10, 11, 12, 13, 14] and ids.count(None) == 2
     assert ngram_join.similar_documents(none).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [(40, 40), (100, 130), (5, 5_000), (0, 3)])
+def test_parities_never_count_too_many(sizes):
+    rng = np.random.default_rng(4)
+    for shared in {0, min(sizes) // 2, min(sizes)}:
+        common = rng.integers(0, 1 << 62, shared, dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([common, rng.integers(0, 1 << 62, n - shared, dtype=np.uint64)])) for n in sizes)
+        apart = ngram_join.slots_apart(ngram_join.parities(a), ngram_join.parities(b))
+        assert apart <= len(np.setxor1d(a, b))
+        if shared == min(sizes) == max(sizes):
+            assert apart == 0

@@ -74,6 +74,28 @@ def ngram_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     return sets
 
 
+def parities(grams: np.ndarray) -> bytes:
+    """For each of 2**k slots, at least as many as n-grams, whether an odd number of n-grams falls there.
+
+    Two sets differ in at least as many n-grams as their parities do in slots.
+    """
+    slots = 1 << max(6, int(len(grams)).bit_length())
+    odd = np.bincount((grams & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def slots_apart(a: bytes, b: bytes) -> int:
+    """Slots in which two parities differ; the longer one is folded to the length of the other."""
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    n, m = 8 * len(a), 8 * len(b)
+    if n < m:
+        x, y, n, m = y, x, m, n
+    while n > m:
+        n //= 2
+        x = (x >> n) ^ (x & ((1 << n) - 1))
+    return (x ^ y).bit_count()
+
+
 def frequent_ngrams(docs: DataFrame, n: int) -> np.ndarray:
     """N-grams with at least SHARE of all places, the rarest first; every document is read.
 
@@ -104,10 +126,10 @@ def frequent_ngrams(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def ordered_sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, whole: bool) -> DataFrame:
-    """(doc_id, n, k1, k2, grams): sets in the global order, rare n-grams first; their prefixes unless `whole`.
+    """(doc_id, n, k1, k2, grams, bits): sets in the global order, rare n-grams first; their prefixes unless `whole`.
 
     The order is that of the numbers: hashes below 2**62, then frequent n-grams by rank. k1 and k2
-    are 128 bits of hash over the set. Two sets that link share an n-gram of their prefixes.
+    are 128 bits of hash over the set, bits its parities. Two sets that link share an n-gram of their prefixes.
     """
     by_value = np.argsort(frequent)
     values = frequent[by_value].astype(np.uint64)
@@ -119,7 +141,7 @@ def ordered_sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, wh
         for batch in text_slices(batches, 1, 1 if plain else PACKED):
             texts = batch.column(1) if plain else pa.array(unpacked(batch.column(1)), pa.binary()).cast(pa.string())
             sets = ngram_sets(texts, n)
-            out, keys = [], []
+            out, keys, bits = [], [], []
             for grams in sets:
                 if len(values):
                     at = np.minimum(np.searchsorted(values, grams), len(values) - 1)
@@ -128,6 +150,7 @@ def ordered_sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, wh
                         grams = np.sort(np.where(hit, ranks[at], grams))
                 keys.append(xxhash.xxh3_128_digest(grams.tobytes()))
                 m = len(grams)
+                bits.append(b"" if whole else parities(grams))
                 out.append(grams if whole else grams[: m - -(-percent * m // 100) + 1])
             both = np.frombuffer(b"".join(keys), dtype="<i8").reshape(-1, 2)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
@@ -138,13 +161,14 @@ def ordered_sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, wh
                     pa.array(both[:, 0]),
                     pa.array(both[:, 1]),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out).astype(np.int64))),
+                    pa.array(bits, pa.binary()),
                 ],
-                names=["doc_id", "n", "k1", "k2", "grams"],
+                names=["doc_id", "n", "k1", "k2", "grams", "bits"],
             )
 
     plain = "text" in docs.columns
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text" if plain else "packed").mapInArrow(
-        order, "doc_id long, n long, k1 long, k2 long, grams array<long>"
+        order, "doc_id long, n long, k1 long, k2 long, grams array<long>, bits binary"
     )
 
 
@@ -207,10 +231,11 @@ class PrefixTree:
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets (node, n, grams) link, or may link if `grams` are prefixes.
+    """The pairs (a, b) whose sets (node, n, grams, bits) link, or may link if `grams` are prefixes.
 
     The partners of a are dealt in blocks of about TREE_ROWS; a block becomes a prefix tree, which the set of a
-    traverses. A document with any number of partners costs one small tree a task at a time.
+    traverses. A document with any number of partners costs one small tree a task at a time. Of what the tree
+    leaves, parities (if `bits` holds them) rule out sets that differ in too many n-grams.
     """
     spark = pairs.sparkSession
     blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TREE_ROWS).alias("blocks"))
@@ -218,38 +243,44 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     probes = blocks.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
     members = dealt.select("a", "block", "b").join(sets.withColumnRenamed("node", "b"), "b")
     heads = probes.join(sets.withColumnRenamed("node", "a"), "a")
-    rows = members.select("a", "block", F.lit(1).alias("role"), "b", "n", "grams").unionByName(
-        heads.select("a", "block", F.lit(0).alias("role"), F.col("a").alias("b"), "n", "grams")
+    rows = members.select("a", "block", F.lit(1).alias("role"), "b", "n", "grams", "bits").unionByName(
+        heads.select("a", "block", F.lit(0).alias("role"), F.col("a").alias("b"), "n", "grams", "bits")
     )
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, probes, nodes, members, sizes = None, [], [], [], []
+        group, probes, nodes, members, sizes, marks = None, [], [], [], [], []
         out_a: list[int] = []
         out_b: list[int] = []
 
+        def near(size: int, bits: bytes, i: int) -> bool:
+            both = size + sizes[i]
+            return not bits or not marks[i] or slots_apart(bits, marks[i]) <= both - 2 * -(-percent * both // (100 + percent))
+
         def close() -> None:
             if members:
                 tree = PrefixTree(members, sizes)
-                hit = sorted({nodes[i] for probe, size in probes for i in tree.matches(probe, size, percent)})
+                hit = sorted({nodes[i] for probe, size, bits in probes for i in tree.matches(probe, size, percent) if near(size, bits, i)})
                 out_a.extend([group[0]] * len(hit))
                 out_b.extend(hit)
 
         for batch in batches:
             a, block, role, b, n = (batch.column(i).to_pylist() for i in range(5))
+            bits = batch.column(6).to_pylist()
             lists = batch.column(5)
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
             for i in range(batch.num_rows):
                 if (a[i], block[i]) != group:
                     close()
-                    group, probes, nodes, members, sizes = (a[i], block[i]), [], [], [], []
+                    group, probes, nodes, members, sizes, marks = (a[i], block[i]), [], [], [], [], []
                 grams = flat[bounds[i] : bounds[i + 1]].copy()
                 if role[i] == 0:
-                    probes.append((grams, n[i]))
+                    probes.append((grams, n[i], bits[i]))
                 else:
                     nodes.append(b[i])
                     members.append(grams)
                     sizes.append(n[i])
+                    marks.append(bits[i])
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
             out_a.clear()
             out_b.clear()
@@ -298,8 +329,8 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     real = prefixes.where("n > 0 AND doc_id IS NOT NULL")
     classes = stage(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "classes")
     heads = real.join(classes, ["k1", "k2"]).where("doc_id = node").dropDuplicates(["k1", "k2"])
-    heads = stage(heads.select("node", "n", "grams"), "heads")
-    ids = stage(prefixes.drop("grams"), "ids")
+    heads = stage(heads.select("node", "n", "grams", "bits"), "heads")
+    ids = stage(prefixes.drop("grams", "bits"), "ids")
     real = ids.where("n > 0 AND doc_id IS NOT NULL")
     drop_staged(prefixes)
     grams = heads.select("node", F.posexplode("grams").alias("at", "gram"), "n")
@@ -325,7 +356,7 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     nodes = stage(nodes, "nodes")
     texts = compressed(docs.where("doc_id IS NOT NULL")).join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
     sets = ordered_sets(texts, n, percent, frequent, whole=True).join(classes, ["k1", "k2"])
-    sets = stage(sets.where("doc_id = node").dropDuplicates(["k1", "k2"]).select("node", "n", "grams"), "sets")
+    sets = stage(sets.where("doc_id = node").dropDuplicates(["k1", "k2"]).select("node", "n", "grams", "bits"), "sets")
 
     # A document whose id stands for several texts ties their classes together.
     tied = real.join(classes, ["k1", "k2"]).groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
