@@ -74,23 +74,20 @@ def reputations(pages: DataFrame, limit: float = LIMIT, deviations: float = DEVI
     n = F.count("outcome").cast("double")
     counts = pages.groupBy("host").agg(n.alias("n"), F.coalesce(F.sum("outcome"), F.lit(0)).cast("double").alias("bad"))
     counts = stage(counts.withColumns({"domain": registered_domain(F.col("host")), "suffix": suffix(F.col("host"))}), "hosts")
-    domains = counts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    domains = stage(counts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "domains")
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    total = suffixes.agg(F.sum("n").alias("tn"), F.sum("bad").alias("tb")).select(
-        ((F.coalesce("tb", F.lit(0.0)) + 0.5) / (F.coalesce("tn", F.lit(0.0)) + 1)).alias("p")
-    )
-
-    def shrunk(level: DataFrame, name: str) -> DataFrame:
-        """`level` holds n, bad and the prior share p; the weight is one row for the whole level."""
-        weight = level.where("n > 0").agg(_weight(level, "p").alias("w"))
-        return level.crossJoin(F.broadcast(weight)).withColumn(name, (F.col("bad") + F.col("w") * F.col("p")) / (F.col("n") + F.col("w")))
-
-    top = shrunk(suffixes.crossJoin(F.broadcast(total)), "p_suffix")
-    middle = shrunk(domains.join(top.select("suffix", F.col("p_suffix").alias("p")), "suffix"), "p_domain")
-    bottom = counts.join(middle.select("domain", F.col("p_domain").alias("p")), "domain")
-    found = shrunk(bottom, "mean").withColumn(
-        "bound", F.col("mean") - deviations * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + F.col("w") + 1))
-    )
+    n, bad = suffixes.agg(F.sum("n"), F.sum("bad")).first()
+
+    def shrunk(level: DataFrame, name: str) -> tuple[DataFrame, float]:
+        """`level` holds n, bad and the prior share p; one weight for the whole level."""
+        level = stage(level, name)
+        w = level.where("n > 0").agg(_weight(level, "p")).first()[0]
+        return level.withColumn(name, (F.col("bad") + F.lit(w) * F.col("p")) / (F.col("n") + F.lit(w))), w
+
+    top, _ = shrunk(suffixes.withColumn("p", F.lit(((bad or 0.0) + 0.5) / ((n or 0.0) + 1))), "p_suffix")
+    middle, _ = shrunk(domains.join(top.select("suffix", F.col("p_suffix").alias("p")), "suffix"), "p_domain")
+    found, w = shrunk(counts.join(middle.select("domain", F.col("p_domain").alias("p")), "domain"), "mean")
+    found = found.withColumn("bound", F.col("mean") - deviations * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + w + 1)))
     return found.select("host", "n", "bad", "mean", "bound", (F.col("bound") > limit).alias("blocked"))
 
 

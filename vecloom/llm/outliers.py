@@ -145,7 +145,10 @@ def _join_group(rows: DataFrame, side: DataFrame, by: Sequence[str]) -> DataFram
         side = side.withColumnRenamed(c, f"_{c}")
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
     if not same:
-        return rows.crossJoin(F.broadcast(side))  # one row
+        row = side.first()  # of the whole table
+        return rows.withColumns({c: F.lit(row[c]) for c in side.columns}) if row else rows.where("false").withColumns(
+            {f.name: F.lit(None).cast(f.dataType) for f in side.schema}
+        )
     on = same[0]
     for x in same[1:]:
         on = on & x
@@ -201,15 +204,18 @@ def quality(docs: DataFrame, cutoff: float = CHI2_4_CUTOFF) -> DataFrame:
     names = [f"m{i}" for i in range(4)] + [f"l{i}{j}" for i in range(4) for j in range(i + 1)]
     judged = rows
     for tag, by in (("a", ["lang", "source"]), ("b", ["lang"]), ("c", [])):
-        side = mcd(sound, by).select(*by, F.struct(*names).alias(tag))
+        side = mcd(sound, by)
         if by:
+            side = side.select(*by, F.struct(*names).alias(tag))
             side = side.withColumnsRenamed({c: f"_{c}" for c in by})
             on = F.col(by[0]).eqNullSafe(F.col(f"_{by[0]}"))
             for c in by[1:]:
                 on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
             judged = judged.join(side, on, "left").drop(*[f"_{c}" for c in by])
         else:
-            judged = judged.join(F.broadcast(side), F.lit(True), "left")
+            row = side.first()
+            judged = judged.withColumn(tag, F.struct(*[F.lit(row[c] if row else None).cast("double").alias(c) for c in names]))
+            judged = judged.withColumn(tag, F.when(F.lit(row is not None), F.col(tag)))
     judged = judged.withColumn("fit", F.coalesce("a", "b", "c"))
     judged = _distance(judged.select("*", *[F.col(f"fit.{c}").alias(c) for c in names]))
     kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(True))
