@@ -70,7 +70,7 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     for side in (x, y):
         ranked = ranked.join(stage(average_ranks(pairs, side, by, f"_rank_{side}", "_w"), "ranks"), [*by, side])
     total = pairs.groupBy(*by).agg(F.sum("_w").alias("_total"))
-    ranked = ranked.join(total, list(by)) if by else ranked.crossJoin(F.broadcast(total))  # one row
+    ranked = ranked.join(total, list(by)) if by else ranked.withColumn("_total", F.lit(total.first()[0]))
     dx, dy = (F.col(f"_rank_{side}") - (F.col("_total") + 1) / 2.0 for side in (x, y))
     w = F.col("_w")
     lost = F.max(F.isnan(F.col(x).cast("double")) | F.isnan(F.col(y).cast("double")))

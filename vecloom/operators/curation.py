@@ -212,7 +212,7 @@ def draw(
         found = found.withColumnRenamed(by, "_group")
         short = bounded.join(found, F.col(by).eqNullSafe(F.col("_group")), "left")
     else:
-        short = bounded.crossJoin(F.broadcast(found))  # one row
+        short = bounded.withColumn("_found", F.lit(found.first()[0]))
     short = stage(short.where(F.coalesce("_found", F.lit(0)) < F.col("_cap")).select(*bounds.columns), "short")
     if not short.isEmpty():
         again = short.withColumn("_bound", F.lit(PAST_DIGESTS))

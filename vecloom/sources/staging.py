@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -69,4 +70,14 @@ def with_group_figures(df: DataFrame, side: DataFrame, by: str | None) -> DataFr
     if by is not None:
         side = side.withColumnRenamed(by, "_group")
         return df.join(side, F.col(by).eqNullSafe(F.col("_group"))).drop("_group")
-    return df.crossJoin(F.broadcast(side))  # one row
+    row = side.first()  # of the whole table
+    if row is None:
+        return df.where("false").withColumns({f.name: F.lit(None).cast(f.dataType) for f in side.schema})
+    return df.withColumns({f.name: literal(row[f.name], f.dataType) for f in side.schema})
+
+
+def literal(value, kind: DataType) -> Column:
+    """A value as a column of its type; rows become structs."""
+    if value is not None and isinstance(kind, StructType):
+        return F.struct(*[literal(value[f.name], f.dataType).alias(f.name) for f in kind])
+    return F.lit(value).cast(kind)
