@@ -53,13 +53,23 @@ def test_plugged_tokenizer(spark):
     ]
 
 
+def test_plugged_tokenizer_leaves_out_missing_texts_like_the_default(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "a  b c")], "id int, text string")
+    words = lambda: (str.split, " ".join)
+    rows = lambda out: sorted((r["id"], r["chunk_no"], r["text"]) for r in out.where("text IS NOT NULL").collect())
+    assert rows(chunking.token_chunks_with(df, words, max_tokens=2)) == rows(chunking.token_chunks(df, max_tokens=2))
+
+
 def test_chunk_cache_is_read_not_recomputed(spark, tmp_path):
     path = str(tmp_path / "cache")
     first = spark.createDataFrame([("a b c",)], "text string")
     other = spark.createDataFrame([("x",)], "text string")
     assert chunking.cached_chunks(first, path, max_tokens=2).count() == 2
-    assert {r["text"] for r in chunking.cached_chunks(other, path, max_tokens=2).collect()} == {"a b", "c"}
-    assert {r["text"] for r in chunking.cached_chunks(other, path, max_tokens=9).collect()} == {"x"}
+    files = sorted(p for p in tmp_path.rglob("*.parquet"))
+    assert {r["text"] for r in chunking.cached_chunks(first, path, max_tokens=2).collect()} == {"a b", "c"}
+    assert sorted(tmp_path.rglob("*.parquet")) == files
+    assert {r["text"] for r in chunking.cached_chunks(first, path, max_tokens=9).collect()} == {"a b c"}
+    assert {r["text"] for r in chunking.cached_chunks(other, path, max_tokens=2).collect()} == {"x"}
 
 
 def test_failed_batch_gives_empty_vectors(spark):

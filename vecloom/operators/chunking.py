@@ -38,32 +38,38 @@ def token_chunks_with(
     max_tokens: int = MAX_TOKENS,
 ) -> DataFrame:
     """The same with another tokenizer; `tokenizer` returns (encode, decode), once per task."""
-    rest = [f for f in df.schema.fields if f.name != text]
+    rest = [c for c in df.columns if c != text]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, decode = tokenizer()
 
-        def chunks(value: str) -> list[str]:
+        def pieces(value: str | None) -> list[str] | None:
+            if value is None:
+                return None
             ids = encode(value)
-            if len(ids) <= max_tokens:
-                return [value]
-            parts = [decode(ids[i : i + max_tokens]) for i in range(0, len(ids), max_tokens)]
-            return [p for p in parts if p.strip()]
+            return [decode(ids[i : i + max_tokens]) for i in range(0, max(1, len(ids)), max_tokens)]
 
         for batch in batches:
-            lists = batch[text].map(chunks)
-            numbers = lists.map(lambda c: list(range(len(c))))
-            out = batch.drop(columns=[text]).assign(chunk_no=numbers, **{text: lists})
-            yield out.explode(["chunk_no", text]).dropna(subset=["chunk_no"])
+            yield batch.assign(_pieces=batch[text].map(pieces))
+
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields] + ["_pieces array<string>"])
+    # What is kept whole and what is left out follows the rules of `token_chunks`.
+    several = F.filter("_pieces", lambda c: ~is_blank(c))
+    chunks = F.when(F.size("_pieces") <= 1, F.array(text)).otherwise(several)
+    return df.mapInPandas(cut, schema).select(*rest, F.posexplode(chunks).alias("chunk_no", text))
+
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + ["chunk_no int", f"`{text}` string"])
-    return df.mapInPandas(cut, schema)
+def content_digest(df: DataFrame) -> str:
+    """Tells tables with different rows apart, whatever their order."""
+    rows = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)]).cast("decimal(38,0)")
+    n, total = df.agg(F.count(F.lit(1)), F.sum(rows)).first()
+    return f"{n:x}-{int(total or 0) % (1 << 64):x}"
 
 
 def cached_chunks(df: DataFrame, path: str, text: str = "text", max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """Chunks from an earlier run with the same limit if they were written whole, else computed and kept."""
+    """Chunks from an earlier run over the same rows with the same limit if they were written whole, else computed and kept."""
     spark = df.sparkSession
-    target = f"{path.rstrip('/')}/max_tokens={max_tokens}"
+    target = f"{path.rstrip('/')}/{content_digest(df)}/max_tokens={max_tokens}"
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")
     files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     chunks = token_chunks(df, text, max_tokens)

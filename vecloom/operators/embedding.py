@@ -25,7 +25,7 @@ def embed_batches(
     """Add `embedding`; `embedder` builds the batch function once per task.
 
     A batch that fails gets empty vectors, so that the rest goes on; see
-    `keep_embedded`.
+    `embedding_failures` and `keep_embedded`.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,6 +45,12 @@ def embed_batches(
     return df.mapInPandas(run, f"{fields}, embedding array<float>")
 
 
+def embedding_failures(df: DataFrame, by: str, column: str = "embedding") -> DataFrame:
+    """(by, n_rows, n_failed): what `embed_batches` took and what came back without a vector."""
+    failed = F.coalesce(F.size(column) <= 0, F.lit(True)).cast("long")
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(failed).alias("n_failed"))
+
+
 def keep_embedded(df: DataFrame, column: str = "embedding") -> DataFrame:
     return df.where(F.size(column) > 0)
 

@@ -305,6 +305,21 @@ def lang_quota_policy(spark, folder):
     return rows.groupBy("lang", "split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+BROKEN_SQL = "(SELECT * FROM documents WHERE NOT (lang = 'es' AND doc_id % 3 = 0))"
+
+
+@query(
+    "lang_quota_keep",
+    f"WITH {split_sql(SMALL_QUOTAS)} SELECT lang, split, count(*) AS n_rows FROM s GROUP BY ALL".replace("FROM documents", f"FROM {BROKEN_SQL}"),
+)
+def lang_quota_keep(spark, folder):
+    """A source that broke off keeps what was read of it: here, for want of real failures, two thirds of a language."""
+    docs = documents(spark, folder).where("NOT (lang = 'es' AND doc_id % 3 = 0)")
+    failed = docs.where("lang = 'es'").select("lang")
+    rows = C.split_rows(C.quota_rows(docs, "doc_id", SMALL_QUOTAS, failed, on_error="keep"))
+    return rows.groupBy("lang", "split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query(
     "quota_totals",
     f"""WITH {split_sql(SMALL_QUOTAS)},

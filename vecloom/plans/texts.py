@@ -93,6 +93,25 @@ def embed_zip(spark, folder):
     return vectors.select("doc_id", "chunk_no", "lang", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
 
 
+@query(
+    "embed_failures",
+    "SELECT lang, count(*) AS n_rows, CAST(sum(CASE WHEN length(text) % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_failed FROM documents GROUP BY lang",
+)
+def embed_failures(spark, folder):
+    """A model that breaks off at some texts, one text a batch."""
+
+    def brittle():
+        def embed(texts):
+            if len(texts[0]) % 7 == 0:
+                raise ValueError("no vector")
+            return [[1.0]]
+
+        return embed
+
+    vectors = embedding.embed_batches(documents(spark, folder), brittle, batch_size=1)
+    return embedding.embedding_failures(vectors, "lang")
+
+
 @query("embed_hashed")
 def embed_hashed(spark, folder):
     chunks = chunking.token_chunks(documents(spark, folder))
@@ -104,10 +123,12 @@ def embed_hashed(spark, folder):
     "SELECT lang, count(*) AS n_rows, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY lang",
 )
 def checkpoint_sink(spark, folder):
-    schema = S.table(spark, folder, "documents").schema
-    target = new_path(spark, "sink")
+    """The source comes in files of a bounded number of rows, one file a batch, so there are several appends."""
+    docs = S.table(spark, folder, "documents")
+    schema, target, source = docs.schema, new_path(spark, "sink"), new_path(spark, "source")
+    docs.repartition(4).write.parquet(source)
     for _ in range(2):  # the second run finds nothing new
-        rows = checkpoints.file_stream(spark, folder, schema, "documents*.parquet")
+        rows = checkpoints.file_stream(spark, source, schema, "*.parquet", files_per_batch=1)
         checkpoints.append_checkpointed(rows, target, f"{target}-progress").awaitTermination()
     written = checkpoints.read_checkpointed(spark, target, schema)
     return written.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_chars").alias("n_chars"))
