@@ -14,14 +14,14 @@ from vecloom.llm.common import PACKED, compressed, partitions, text_slices, unpa
 from vecloom.llm.components import components
 from vecloom.sources.staging import drop_staged, stage
 
-# N-grams that hold this share of all places are frequent: there are at most 1 / SHARE of them, which bounds their list.
-SHARE = 1 / 500_000
+# Frequent n-grams that are listed, at most (8 bytes each): the most frequent. They come last in the global order.
+FREQUENT = 500_000
 # Documents that a task holds in one tree at once.
 TREE_ROWS = 200
 # Above any number of n-grams of a text.
 AT_MOST = 1 << 31
 # Members up to which all pairs of a bucket are candidates at once; larger buckets go the longer way.
-SMALL = 64
+SMALL = 256
 
 LIGHT = np.uint64((1 << 62) - 1)
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -97,31 +97,32 @@ def slots_apart(a: bytes, b: bytes) -> int:
 
 
 def frequent_ngrams(docs: DataFrame, n: int) -> np.ndarray:
-    """N-grams with at least SHARE of all places, the rarest first; every document is read.
+    """At most FREQUENT of the most frequent n-grams, the rarest first; every document is read.
 
-    A task names those that hold the share among its own rows, so an n-gram that holds it overall
-    is named by some task. Counts decide the order of n-grams only, never a result.
+    A task names the n-grams that more than one of its documents hold. Counts decide the order of n-grams only,
+    never a result.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, 0):
-            sets = ngram_sets(batch.column(0), n)
-            grams, times = np.unique(np.concatenate(sets), return_counts=True)
-            total = int(times.sum())
-            many = times >= max(2, total * SHARE)
+            grams, times = np.unique(np.concatenate(ngram_sets(batch.column(0), n)), return_counts=True)
+            many = times > 1
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.append(grams[many].astype(np.int64), -1)),
-                    pa.array(np.append(times[many], total).astype(np.int64)),
-                ],
-                names=["gram", "times"],
+                [pa.array(grams[many].astype(np.int64)), pa.array(times[many].astype(np.int64))], names=["gram", "times"]
             )
 
     counted = docs.select("text").mapInArrow(count, "gram long, times long").groupBy("gram").agg(F.sum("times").alias("times"))
-    counted = stage(counted, "frequent")
-    total = counted.where("gram = -1").agg(F.max("times")).first()[0] or 0
-    rows = counted.where((F.col("gram") >= 0) & (F.col("times") >= max(2, total * SHARE)))
-    found = rows.toPandas()  # at most 1 / SHARE rows
+    counted = stage(counted.withColumn("size", F.floor(8 * F.log2("times"))), "frequent")
+    left, least = FREQUENT, None
+    for size, rows in counted.groupBy("size").count().orderBy(F.desc("size")).collect():  # a few hundred sizes
+        left -= rows
+        if left < 0:
+            break
+        least = size
+    if least is None:
+        return np.zeros(0, np.int64)
+    found = counted.where(F.col("size") >= least).select("gram", "times").toPandas()  # at most FREQUENT rows
+    drop_staged(counted)
     return found.sort_values(["times", "gram"])["gram"].to_numpy(np.int64)
 
 
@@ -352,12 +353,14 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     star = star.where(fitting & (F.col("x.node") != F.col("y.node"))).select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))
     pairs = stage(linked(stage(pairs.unionByName(star).distinct(), "pairs"), heads, percent), "candidates")
 
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large.select("node")).distinct()
-    nodes = stage(nodes, "nodes")
-    texts = compressed(docs.where("doc_id IS NOT NULL")).join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
-    sets = ordered_sets(texts, n, percent, frequent, whole=True).join(classes, ["k1", "k2"])
-    sets = stage(sets.where("doc_id = node").dropDuplicates(["k1", "k2"]).select("node", "n", "grams", "bits"), "sets")
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The whole sets of the classes in pairs."""
+        nodes = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+        texts = compressed(docs.where("doc_id IS NOT NULL")).join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
+        sets = ordered_sets(texts, n, percent, frequent, whole=True).join(classes, ["k1", "k2"])
+        return stage(sets.where("doc_id = node").dropDuplicates(["k1", "k2"]).select("node", "n", "grams", "bits"), "sets")
 
+    sets = sets_of(pairs)
     # A document whose id stands for several texts ties their classes together.
     tied = real.join(classes, ["k1", "k2"]).groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     links = tied.where("a != b").select("a", "b")
@@ -367,6 +370,7 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     rest = stage(_apart(pairs, labels), "rest")
     links = stage(links.unionByName(linked(rest, sets, percent)), "links")
     labels = components(links)
+    drop_staged(sets, pairs, rest)
 
     for last in (False, True):
         known = labels.select(F.col("node").alias("_node"), "component")
@@ -382,10 +386,13 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
         order = F.col("x.component") < F.col("y.component") if last else F.col("x.component") != F.col("y.component")
         more = more.where(fitting & order).select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
         more = stage(linked(stage(more, "pairs"), heads, percent), "candidates")
-        links = stage(links.unionByName(linked(more, sets, percent)), "links")
-        labels = components(links)
+        if not more.isEmpty():
+            sets = sets_of(more)
+            links = stage(links.unionByName(linked(more, sets, percent)), "links")
+            labels = components(links)
+            drop_staged(sets)
 
-    drop_staged(heads, shared, large, buckets, pairs, nodes, sets, links)
+    drop_staged(heads, shared, large, buckets)
     named = ids.join(classes, ["k1", "k2"], "left")
     named = named.join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "node")).otherwise(F.col("doc_id"))
