@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import PACKED, compressed, partitions, text_slices, unpacked
+from vecloom.llm.common import partitions, text_slices
 from vecloom.llm.components import components
 from vecloom.sources.staging import drop_staged, stage
 
@@ -18,6 +18,8 @@ from vecloom.sources.staging import drop_staged, stage
 FREQUENT = 500_000
 # Documents that a task holds in one tree at once.
 TREE_ROWS = 200
+# A byte of text takes this many times the room here that it takes in other operators.
+WIDE = 2
 # Above any number of n-grams of a text.
 AT_MOST = 1 << 31
 # Members up to which all pairs of a bucket are candidates at once; larger buckets go the longer way.
@@ -104,7 +106,7 @@ def frequent_ngrams(docs: DataFrame, n: int) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, 0):
+        for batch in text_slices(batches, 0, WIDE):
             grams, times = np.unique(np.concatenate(ngram_sets(batch.column(0), n)), return_counts=True)
             many = times > 1
             yield pa.RecordBatch.from_arrays(
@@ -139,9 +141,8 @@ def ordered_sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, wh
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in text_slices(batches, 1, 1 if plain else PACKED):
-            texts = batch.column(1) if plain else pa.array(unpacked(batch.column(1)), pa.binary()).cast(pa.string())
-            sets = ngram_sets(texts, n)
+        for batch in text_slices(batches, 1, WIDE):
+            sets = ngram_sets(batch.column(1), n)
             out, keys, bits = [], [], []
             for grams in sets:
                 if len(values):
@@ -167,8 +168,7 @@ def ordered_sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, wh
                 names=["doc_id", "n", "k1", "k2", "grams", "bits"],
             )
 
-    plain = "text" in docs.columns
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text" if plain else "packed").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         order, "doc_id long, n long, k1 long, k2 long, grams array<long>, bits binary"
     )
 
@@ -356,7 +356,7 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     def sets_of(pairs: DataFrame) -> DataFrame:
         """The whole sets of the classes in pairs."""
         nodes = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-        texts = compressed(docs.where("doc_id IS NOT NULL")).join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
+        texts = docs.where("doc_id IS NOT NULL").join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
         sets = ordered_sets(texts, n, percent, frequent, whole=True).join(classes, ["k1", "k2"])
         return stage(sets.where("doc_id = node").dropDuplicates(["k1", "k2"]).select("node", "n", "grams", "bits"), "sets")
 
