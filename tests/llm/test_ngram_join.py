@@ -48,10 +48,11 @@ def family():
     return rows
 
 
-@pytest.mark.parametrize(("n", "percent", "small"), [(3, 90, 64), (5, 80, 64), (3, 90, 1)])
+@pytest.mark.parametrize(("n", "percent", "small"), [(3, 90, 16), (5, 80, 16), (3, 90, 1), (3, 60, 1)])
 def test_equals_brute_force(spark, texts, monkeypatch, n, percent, small):
     monkeypatch.setattr(ngram_join, "SMALL", small)
     monkeypatch.setattr(ngram_join, "TREE_ROWS", 3)
+    monkeypatch.setattr(ngram_join, "BUCKET", 5)
     rows = [(i, t if t is None or len(t) < 9_000 else t[:9_000]) for i, t in texts] + family()
     found = ngram_join.similar_documents(frame(spark, rows), n, percent).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == brute(rows, n, percent)

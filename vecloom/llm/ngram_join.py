@@ -22,8 +22,10 @@ TREE_ROWS = 200
 WIDE = 2
 # Above any number of n-grams of a text.
 AT_MOST = 1 << 31
+# Members of a large bucket that a task compares with one another.
+BUCKET = 2_000
 # Members up to which all pairs of a bucket are candidates at once; larger buckets go the longer way.
-SMALL = 256
+SMALL = 16
 
 LIGHT = np.uint64((1 << 62) - 1)
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -292,6 +294,73 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt_rows.mapInArrow(check, "a long, b long")
 
 
+def _bit_matrix(bits: list[bytes], size: int) -> np.ndarray:
+    """Parities as rows of 64-bit words, those twice as long folded to `size` bytes."""
+    rows = np.frombuffer(b"".join(b if len(b) == size else b[:size] for b in bits), "<u8").reshape(len(bits), -1)
+    rest = np.frombuffer(b"".join(bytes(size) if len(b) == size else b[size:] for b in bits), "<u8").reshape(len(bits), -1)
+    return rows ^ rest
+
+
+def near_in_group(side: np.ndarray, n: np.ndarray, component: np.ndarray, bits: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Pairs (i, j) of rows whose sizes and parities allow a link, in different components, from the two sides if there are two."""
+    length = np.array([len(b) for b in bits])
+    found = []
+    for size in np.unique(length).tolist():
+        first, second = np.flatnonzero(length == size), np.flatnonzero((length == size) | (length == 2 * size))
+        x, y = (_bit_matrix([bits[i] for i in rows.tolist()], size) for rows in (first, second))
+        for begin in range(0, len(first), 256):
+            own = first[begin : begin + 256]
+            apart = sum(np.bitwise_count(x[begin : begin + 256, w, None] ^ y[None, :, w]).astype(np.int32) for w in range(x.shape[1]))
+            both = n[own][:, None] + n[second][None, :]
+            room = both - 2 * -(-percent * both // (100 + percent))
+            fits = (apart <= room) & (component[own][:, None] != component[second][None, :])
+            fits &= (n[own][:, None] * 100 >= n[second][None, :] * percent) & (n[second][None, :] * 100 >= n[own][:, None] * percent)
+            if len(np.unique(side)) > 1:
+                fits &= side[own][:, None] != side[second][None, :]
+            i, j = np.nonzero(fits)
+            found += zip(own[i].tolist(), second[j].tolist())
+    return found
+
+
+def near_in_buckets(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one bucket that may link, from (gram, node, n, component, bits).
+
+    Members are compared by size and parities in the task that gets their bucket, so pairs that cannot link never
+    become rows. A bucket of over BUCKET members is dealt in blocks, and each pair of blocks is a task.
+    """
+    spark = rows.sparkSession
+    blocks = stage(rows.groupBy("gram").agg(F.ceil(F.count(F.lit(1)) / BUCKET).cast("int").alias("blocks")), "blocks")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    partners = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(own, j).alias("x"), F.greatest(own, j).alias("y"))
+    )
+    dealt = rows.join(blocks, "gram").withColumn("side", own).withColumn("task", F.explode(partners))
+    dealt = dealt.select("gram", "task.x", "task.y", "side", "node", "n", "component", "bits")
+    dealt = dealt.repartition(partitions(spark), "gram", "x", "y").sortWithinPartitions("gram", "x", "y")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
+
+        def close() -> pa.RecordBatch:
+            side, node, n, component, bits = zip(*held)
+            pairs = near_in_group(*(np.array(c, np.int64) for c in (side, n, component)), list(bits), percent) if len(held) > 1 else []
+            a, b = ([node[p[k]] for p in pairs] for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for *key, side, node, n, component, bits in zip(*(batch.column(i).to_pylist() for i in range(8))):
+                if key != group:
+                    if held:
+                        yield close()
+                    group, held = key, []
+                held.append((side, node, n, component, bits))
+        if held:
+            yield close()
+
+    found = dealt.mapInArrow(compare, "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs (a, b) whose ends are not in one component yet."""
     one = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
@@ -318,8 +387,8 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     Two documents link when 100 * common >= percent * united n-grams. Equal sets are one class, and only
     classes are compared. Every n-gram of a set's prefix is a bucket. In buckets of up to SMALL members all
     pairs of fitting sizes are candidates, in larger ones the pairs with the smallest member, then with the largest
-    of what is still apart, then all that are still in different components: a large group of near copies costs a
-    few comparisons a member, and no candidate is dropped. Candidates are tried on prefixes first and on whole
+    of what is still apart, then all that are still in different components, by sizes and parities inside a task: a
+    large group of near copies makes a few rows a member, and no candidate is dropped. Candidates are tried on prefixes first and on whole
     sets next. Null or empty texts have no n-grams, link with nothing and are their own component; a null id has
     a null component. Rows that share an id share the component. An empty table gives an empty table; other columns
     are not looked at.
@@ -379,12 +448,13 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
         )
         mixed = at.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
         at = stage(at.join(mixed.select("gram"), "gram"), "mixed")
-        other = at
-        if not last:
-            other = at.groupBy("gram").agg(F.max(F.struct("component", "node", "n", "at")).alias("lead")).select("gram", "lead.*")
-        more = at.alias("x").join(other.alias("y"), F.col("x.gram") == F.col("y.gram"))
-        order = F.col("x.component") < F.col("y.component") if last else F.col("x.component") != F.col("y.component")
-        more = more.where(fitting & order).select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
+        if last:
+            more = near_in_buckets(at.join(heads.select("node", "bits"), "node"), percent)
+        else:
+            lead = at.groupBy("gram").agg(F.max(F.struct("component", "node", "n", "at")).alias("lead")).select("gram", "lead.*")
+            more = at.alias("x").join(lead.alias("y"), F.col("x.gram") == F.col("y.gram"))
+            more = more.where(fitting & (F.col("x.component") != F.col("y.component")))
+            more = more.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
         more = stage(linked(stage(more, "pairs"), heads, percent), "candidates")
         if not more.isEmpty():
             sets = sets_of(more)
