@@ -14,7 +14,6 @@ from vecloom.llm.common import digest, words
 from vecloom.sources.staging import stage
 
 WINDOW = 8
-SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 # Share of a group's rows that the estimate rests on, and concentration steps after the first estimate.
