@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -65,3 +66,23 @@ def test_round_trip_of_odd_rows(odd, none, texts):
     assert back == expected
     assert found.where("rank = 0").count() == len(texts)
     assert pieces.encode(none, PATH).count() == 0
+
+
+def test_long_text_without_blanks(encoder):
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(100_000))
+    tracemalloc.start()
+    n_best = encoder.vocabulary.n_best("▁" + text, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400_000_000
+    scores = [s for s, _ in n_best]
+    assert len(n_best) == 4 and scores == sorted(scores, reverse=True) and len({tuple(x) for _, x in n_best}) == 4
+    (found,) = encoder.texts(pa.array([text]))
+    assert [s for s, _ in found] == scores
+    assert {encoder.vocabulary.decode(i.tolist()) for _, i in found} == {text}
+
+
+def test_equal_paths_of_a_long_word(encoder):
+    word = "▁" + "a" * 14
+    assert encoder.vocabulary.n_best(word, 50) == every_path(encoder.vocabulary, word)[:50]

@@ -22,9 +22,10 @@ from vecloom.llm.common import text_slices
 BEST = 4
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-# Words that are searched at once, and alternatives that a worker remembers.
+# Words that are searched at once, and words (and their characters) whose alternatives a worker remembers.
 AT_ONCE = 50_000
 REMEMBERED = 200_000
+REMEMBERED_CHARS = 2_000_000
 NEVER = -1e8  # scores of pieces that the model does not use lie below
 NONE = -1
 BYTES = -2
@@ -104,23 +105,38 @@ class Vocabulary:
         """The n best (score, lengths of the pieces), best first.
 
         Forward Viterbi scores are the exact value of the best rest of a path that runs backward from the
-        end, so the backward A* search pops complete paths in order of their scores. Among equals the path
+        end, so the backward A* search completes paths in order of their scores. Among equals the path
         whose last pieces are shorter comes first.
+
+        Each open path has a best completion of its own, so no more than the paths still wanted need be open. They
+        stand in the order in which equals go, and hold their pieces as links: memory grows with the word, not its square.
         """
         arcs = self.arcs(word)
         ahead = [0.0] + [0.0] * len(word)
         for end in range(1, len(word) + 1):
             ahead[end] = max(ahead[end - size] + score for size, score, _ in arcs[end])
-        heap: list[tuple[float, tuple[int, ...], int, float]] = [(-ahead[-1], (), len(word), 0.0)]
+        # (rank, place, score behind, (size of the last piece taken, the same of the path before))
+        front: list[tuple[float, int, float, tuple | None]] = [(-ahead[-1], len(word), 0.0, None)]
         found = []
-        while heap and len(found) < n:
-            rank, sizes, at, behind = heapq.heappop(heap)
+        while front and len(found) < n:
+            ranks = [x[0] for x in front]
+            first = ranks.index(min(ranks))
+            rank, at, behind, path = front[first]
             if at == 0:
-                found.append((-rank, list(sizes[::-1])))
+                sizes = []
+                while path is not None:
+                    size, path = path
+                    sizes.append(size)
+                found.append((-rank, sizes))
+                del front[first]
                 continue
-            for size, score, _ in arcs[at]:
-                so_far = behind + score
-                heapq.heappush(heap, (-(so_far + ahead[at - size]), (*sizes, size), at - size, so_far))
+            front[first : first + 1] = [
+                (-(behind + score + ahead[at - size]), at - size, behind + score, (size, path)) for size, score, _ in arcs[at]
+            ]
+            wanted = n - len(found)
+            if len(front) > wanted:
+                best = sorted(range(len(front)), key=lambda i: front[i][0])[:wanted]
+                front = [front[i] for i in sorted(best)]
         return found
 
     def decode(self, ids: list[int]) -> str:
@@ -199,6 +215,8 @@ class Vocabulary:
                 second[own] = np.maximum(second[own], through)
                 behind[before] = np.maximum(behind[before], value)
                 t = np.flatnonzero(taken)
+                if not len(t):
+                    continue
                 on_path[before[t]] = True
                 at_word.append(own[t])
                 at_end.append(np.full(len(t), end))
@@ -231,13 +249,16 @@ class Encoder:
     def __init__(self, path: str, n: int):
         self.vocabulary, self.n = Vocabulary(path), n
         self.known: dict[str, list[tuple[float, np.ndarray]]] = {}
+        self.known_chars = 0
 
     def alternatives(self, word: str) -> list[tuple[float, np.ndarray]]:
         """(loss, ids) of the n best of a word."""
         found = self.known.get(word)
         if found is None:
-            if len(self.known) > REMEMBERED:
+            self.known_chars += len(word)
+            if len(self.known) > REMEMBERED or self.known_chars > REMEMBERED_CHARS:
                 self.known.clear()
+                self.known_chars = len(word)
             best = self.vocabulary.n_best(word, self.n)
             found = [(best[0][0] - score, np.array(self.vocabulary.ids(word, sizes), "<u4")) for score, sizes in best]
             self.known[word] = found
