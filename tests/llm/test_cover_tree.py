@@ -61,6 +61,15 @@ def test_equals_brute_force(spark, monkeypatch, block, cell):
     assert lost == [(k, False) for i, k, _ in expected if i is None]
 
 
+def test_lone_centre_with_a_partner_in_a_later_cell(spark, monkeypatch):
+    angles = [0.0, 0.15, 0.2]
+    x = np.array([[np.cos(a), np.sin(a)] for a in angles])
+    monkeypatch.setattr(cover_tree, "first_centres", lambda classes: {(0, 2): x[[0, 2]]})
+    rows = [(i, [float(v) for v in e], 0) for i, e in enumerate(x)]
+    found = cover_tree.near_duplicates(table(spark, rows)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == brute(rows)
+
+
 @pytest.mark.parametrize("spread", [0.02, 0.2, 2.0])
 def test_trees_find_all_pairs(spread):
     rng = np.random.default_rng(2)

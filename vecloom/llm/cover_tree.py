@@ -157,8 +157,8 @@ def first_centres(classes: DataFrame) -> dict[tuple, np.ndarray]:
 
 
 def cells(classes: DataFrame, centres: dict[tuple, np.ndarray], reach: dict[tuple, float] | None, cosine: float) -> DataFrame:
-    """Classes with their cell (the nearest centre) and how far off it is; or, given the cells' reaches, with the
-    cells of smaller number that may hold a partner."""
+    """Classes with their cell (the nearest centre) and how far off it is (-1 without centres); or, given the cells'
+    reaches, with the cells of smaller number that may hold a partner."""
     far = np.sqrt(2 - 2 * cosine) + ROUNDING
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -166,7 +166,7 @@ def cells(classes: DataFrame, centres: dict[tuple, np.ndarray], reach: dict[tupl
             for (label, width), part in frame.groupby(["label", "width"]):
                 if (label, width) not in centres:
                     if reach is None:
-                        yield part.assign(cell=0, off=0.0)
+                        yield part.assign(cell=0, off=-1.0)
                     continue
                 apart = distances(unit(np.stack(part["embedding"])), centres[label, width])
                 home = apart.argmin(1)
@@ -191,7 +191,7 @@ def links(classes: DataFrame, cosine: float) -> DataFrame:
     """
     centres = first_centres(classes)
     home = stage(cells(classes, centres, None, cosine), "cells")
-    found = home.where(F.col("off") > 0).groupBy("label", "width", "cell").agg(F.max("off").alias("reach"))
+    found = home.where(F.col("off") >= 0).groupBy("label", "width", "cell").agg(F.max("off").alias("reach"))
     reach = {}
     if centres:
         reach = {(r["label"], r["width"], r["cell"]): r["reach"] for r in found.collect()}  # at most CENTRES rows
