@@ -3,12 +3,13 @@ from __future__ import annotations
 import itertools
 import random
 import tracemalloc
+import zlib
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from vecloom.llm import pieces
+from vecloom.llm import pieces, queries
 from vecloom.llm.queries import tokenizer_path
 
 PATH = tokenizer_path("piece_bpe_32k.model")
@@ -86,3 +87,20 @@ def test_long_text_without_blanks(encoder):
 def test_equal_paths_of_a_long_word(encoder):
     word = "▁" + "a" * 14
     assert encoder.vocabulary.n_best(word, 50) == every_path(encoder.vocabulary, word)[:50]
+
+
+def test_decodes_many(encoder):
+    rng = random.Random(8)
+    rows = [[rng.randrange(len(encoder.vocabulary.texts)) for _ in range(rng.randint(0, 9))] for _ in range(200)]
+    byte = encoder.vocabulary.byte_ids
+    rows += [[byte[0xE2], byte[0x96], byte[0x81]], [byte[0xC3]], [byte[b] for b in "☃ é".encode()]]
+    for some in (rows, [encoder.vocabulary.ids(w, [1] * len(w)) for w in ("▁", "▁▁a▁", "▁\n b☃")]):
+        coded = pa.array([np.array(r, "<u4").tobytes() for r in some] + [None], pa.binary())
+        assert encoder.vocabulary.decode_many(coded).to_pylist() == [encoder.vocabulary.decode(r) for r in some] + [None]
+
+
+def test_query_decodes_the_whole_table(spark, folder):
+    found = queries.op4_sentencepiece_nbest(spark, folder)
+    texts = {r.doc_id: zlib.crc32((r.text or "").encode()) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = found.collect()
+    assert {r.doc_id for r in rows} == set(texts) and all(r.text_crc32 == texts[r.doc_id] for r in rows)

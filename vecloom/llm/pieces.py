@@ -26,6 +26,8 @@ UNKNOWN_PENALTY = 10.0
 AT_ONCE = 50_000
 REMEMBERED = 200_000
 REMEMBERED_CHARS = 2_000_000
+# Bytes of ids that are decoded at once.
+DECODED_BYTES = 2_000_000
 NEVER = -1e8  # scores of pieces that the model does not use lie below
 NONE = -1
 BYTES = -2
@@ -63,6 +65,7 @@ class Vocabulary:
         self.scores = np.array(scores)
         self.unknown = float(min(x for x in self.scores if x > NEVER)) - UNKNOWN_PENALTY
         self.bytes_of = {i: b for b, i in enumerate(self.byte_ids)}
+        self.raw = pa.array([bytes([self.bytes_of[i]]) if i in self.bytes_of else x.encode() for i, x in enumerate(self.texts)], pa.binary())
         self.longest = max(map(len, self.piece))
         self.tables = []
         for size in range(1, self.longest + 1):
@@ -144,6 +147,23 @@ class Vocabulary:
         raw = b"".join(bytes([self.bytes_of[i]]) if i in self.bytes_of else self.texts[i].encode() for i in ids)
         return raw.decode("utf-8", "replace").replace(BLANK, " ").removeprefix(" ")
 
+    def decode_many(self, ids: pa.Array) -> pa.Array:
+        """`decode` of each of the ids (little-endian unsigned 32-bit numbers); null for null. Few at a time."""
+        size = pc.fill_null(pc.binary_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(size) // DECODED_BYTES)) + 1).tolist(), len(ids)]
+        return pa.concat_arrays([self._decoded(ids.slice(x, y - x)) for x, y in zip(cuts, cuts[1:])])
+
+    def _decoded(self, ids: pa.Array) -> pa.Array:
+        rows = ids.to_pylist()
+        bounds = pa.array(np.cumsum([0, *(len(x or b"") // 4 for x in rows)]), pa.int32())
+        flat = pa.array(np.frombuffer(b"".join(x or b"" for x in rows), "<u4"))
+        raw = pc.binary_join(pa.ListArray.from_arrays(bounds, self.raw.take(flat)), b"")
+        try:
+            texts = pc.replace_substring_regex(pc.replace_substring(raw.cast(pa.string()), BLANK, " "), "\\A ", "")
+        except pa.ArrowInvalid:  # bytes that are not UTF-8
+            texts = pa.array([self.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in rows], pa.string())
+        return pc.if_else(ids.is_valid(), texts, pa.scalar(None, pa.string()))
+
     def search(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For many words at once: best score, loss of the second best (inf without one), and the ids of the best as
         a flat array with the place where each word's ids begin (and the last end)."""
@@ -304,9 +324,10 @@ class Encoder:
         return within[np.lexsort((within, loss[within]))][: self.n - 1]
 
 
-def encode(docs: DataFrame, model_path: str, n: int = BEST) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, n: int = BEST, decoded: bool = False) -> DataFrame:
     """(doc_id, rank, score, ids) for the n best segmentations of each text, best first; fewer if there are not so many.
 
+    With `decoded` there is also `text`, decoded from each row's ids by the worker that made them.
     `ids` are little-endian unsigned 32-bit numbers; a character that is no piece is spelled in byte pieces.
     Null and empty texts have one segmentation, of the blank in front. Rows are neither merged nor dropped; an
     empty table gives an empty table; other columns are not looked at. The model file must lie at the same path
@@ -324,20 +345,21 @@ def encode(docs: DataFrame, model_path: str, n: int = BEST) -> DataFrame:
                     scores.append(score)
                     ids.append(own.tobytes())
                 if len(ids) >= 2_000:
-                    yield batch(part, owner, ranks, scores, ids)
+                    yield batch(encoder, part, owner, ranks, scores, ids)
                     owner, ranks, scores, ids = [], [], [], []
             if ids:
-                yield batch(part, owner, ranks, scores, ids)
+                yield batch(encoder, part, owner, ranks, scores, ids)
 
-    def batch(part: pa.RecordBatch, owner: list, ranks: list, scores: list, ids: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [part.column(0).take(pa.array(owner)), pa.array(ranks, pa.int32()), pa.array(scores), pa.array(ids, pa.binary())],
-            names=["doc_id", "rank", "score", "ids"],
-        )
+    def batch(encoder: Encoder, part: pa.RecordBatch, owner: list, ranks: list, scores: list, ids: list) -> pa.RecordBatch:
+        coded = pa.array(ids, pa.binary())
+        columns = [part.column(0).take(pa.array(owner)), pa.array(ranks, pa.int32()), pa.array(scores), coded]
+        if decoded:
+            columns.append(encoder.vocabulary.decode_many(coded))
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "rank", "score", "ids", "text"][: len(columns)])
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, rank int, score double, ids binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, rank int, score double, ids binary" + ", text string" * decoded)
 
 
 def decode(rows: DataFrame, model_path: str) -> DataFrame:
@@ -345,9 +367,9 @@ def decode(rows: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model_path)
-        for part in batches:
-            texts = [vocabulary.decode(np.frombuffer(x, "<u4").tolist()) if x is not None else None for x in part.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["doc_id", "rank", "text"])
+        for part in text_slices(batches, 2):
+            texts = vocabulary.decode_many(part.column(2))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), texts], names=["doc_id", "rank", "text"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "rank", "ids").mapInArrow(run, f"doc_id {kind}, rank int, text string")

@@ -153,7 +153,8 @@ def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_sentencepiece_nbest")
 def op4_sentencepiece_nbest(spark: SparkSession, folder: str) -> DataFrame:
-    """The n best segmentations of each text, one row a rank."""
-    found = pieces.encode(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    """The n best segmentations of each text, one row a rank, and the text decoded from each."""
+    found = pieces.encode(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"), decoded=True)
     n_pieces = (F.length("ids") / 4).cast("long")
-    return found.select("doc_id", "rank", "score", n_pieces.alias("n_pieces"), F.crc32("ids").alias("ids_crc32"))
+    crc = {c: F.crc32(c) for c in ("ids", "text")}
+    return found.select("doc_id", "rank", "score", n_pieces.alias("n_pieces"), *[x.alias(f"{c}_crc32") for c, x in crc.items()])
