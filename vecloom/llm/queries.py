@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import cover_tree, crf, hosts, line_dedup, ngram_join, outliers, packing, pieces, pii, repeats
+from vecloom.llm import cover_tree, crf, hosts, line_dedup, ngram_join, outliers, packing, pieces, pii, postings, repeats
 from vecloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,54 @@ def op4_sentencepiece_nbest(spark: SparkSession, folder: str) -> DataFrame:
     n_pieces = (F.length("ids") / 4).cast("long")
     crc = {c: F.crc32(c) for c in ("ids", "text")}
     return found.select("doc_id", "rank", "score", n_pieces.alias("n_pieces"), *[x.alias(f"{c}_crc32") for c, x in crc.items()])
+
+
+DECONTAMINATION_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, w[k:k + 9] AS run FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(k) WHERE len(w) > 0),
+runs AS (SELECT run, row_number() OVER () AS id FROM (SELECT DISTINCT run FROM win)),
+p AS (SELECT doc_id, n, k - 1 AS start, w[k:k + n - 1] AS run
+      FROM d, (SELECT DISTINCT len(run) AS n FROM runs) AS s, unnest(range(1, len(w) - n + 2)) AS t(k)),
+hit AS (SELECT doc_id, start, n, id FROM p JOIN runs USING (run)),
+covered AS (SELECT doc_id, count(DISTINCT start + o) AS n_hit FROM hit, unnest(range(n)) AS t(o) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+          FROM (SELECT DISTINCT doc_id, item_id FROM hit JOIN runs USING (id) JOIN win USING (run)) GROUP BY doc_id),
+tok AS (SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS pos FROM d),
+tw AS (SELECT id, unnest(run) AS term, unnest(range(len(run))) AS k FROM runs),
+idx AS (SELECT * FROM tok WHERE term IN (SELECT term FROM tw)),
+freq AS (SELECT term, count(*) AS n FROM idx GROUP BY term),
+possible AS (SELECT id FROM tw LEFT JOIN freq USING (term) GROUP BY id HAVING count(*) = count(n)),
+ranked AS (SELECT id, term, row_number() OVER (PARTITION BY id ORDER BY n, k) AS r
+           FROM (SELECT id, term, min(n) AS n, min(k) AS k FROM tw JOIN possible USING (id) JOIN freq USING (term) GROUP BY id, term)),
+sets AS (SELECT t1, t2, t3, list(id) AS ids
+         FROM (SELECT id, max(term) FILTER (r = 1) AS t1, max(term) FILTER (r = 2) AS t2, max(term) FILTER (r = 3) AS t3 FROM ranked GROUP BY id)
+         GROUP BY ALL),
+m1 AS (SELECT doc_id, t1, t2, t3, ids, pos AS p1 FROM sets JOIN idx ON term = t1),
+m2 AS (SELECT m1.*, p1 AS p2 FROM m1 WHERE t2 IS NULL
+       UNION ALL SELECT m1.*, idx.pos FROM m1 JOIN idx ON m1.doc_id = idx.doc_id AND idx.term = t2 AND abs(idx.pos - p1) < 20),
+m3 AS (SELECT doc_id, ids FROM m2 WHERE t3 IS NULL
+       UNION ALL SELECT m2.doc_id, ids FROM m2 JOIN idx ON m2.doc_id = idx.doc_id AND idx.term = t3
+                 AND greatest(p1, p2, idx.pos) - least(p1, p2, idx.pos) < 20),
+near AS (SELECT doc_id, count(DISTINCT item_id) AS n_near
+         FROM (SELECT DISTINCT doc_id, unnest(ids) AS id FROM (SELECT DISTINCT doc_id, ids FROM m3)) JOIN runs USING (id) JOIN win USING (run) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near_items
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN near USING (doc_id)
+"""
+
+
+@query("op11_benchmark_decontamination", DECONTAMINATION_SQL)
+def op11_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = postings.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near_items",
+    )
