@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import cover_tree, crf, hosts, line_dedup, ngram_join, outliers, packing, pieces, pii, postings, repeats
+from vecloom.llm import alignment, cover_tree, crf, hosts, line_dedup, ngram_join, outliers, packing, pieces, pii, postings, repeats, spelling
 from vecloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,3 +209,14 @@ def op11_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
         (F.col("n_hit") > 0).alias("contaminated"),
         "n_near_items",
     )
+
+
+@query("op12_spelling_variant_grouping")
+def op12_spelling_variant_grouping(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+@query("op13_cross_tokenizer_alignment")
+def op13_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return alignment.alignments(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
