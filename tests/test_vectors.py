@@ -26,6 +26,7 @@ def matrix():
 @pytest.fixture
 def small_blocks(monkeypatch):
     monkeypatch.setattr(R, "BLOCK_BYTES", 8 * 8 * 25)
+    monkeypatch.setattr(R, "MAX_CENTRES", 9)
     monkeypatch.setattr(R, "TILE_CELLS", 90)
 
 
@@ -40,7 +41,7 @@ def similarities(a, b):
 
 def test_top_k_over_blocks_equals_all_pairs(spark, matrix, small_blocks):
     df = vectors(spark, matrix)
-    assert R.block_count(df) > 3
+    assert R.Search(df).layout.blocks > 3
     got = {}
     for r in R.top_k(df, df, 5, skip_self=True).orderBy("qid", "rank").collect():
         got.setdefault(r["qid"], []).append(r["did"])
@@ -65,6 +66,67 @@ def test_relevant_ranks_count_copies_ahead(spark, matrix, small_blocks):
     assert got[3] == 1 and got[41] == 3
 
 
+def clustered(rng, groups, each, width):
+    centres = rng.normal(size=(groups, width))
+    return (np.repeat(centres, each, axis=0) + rng.normal(scale=0.1, size=(groups * each, width))).astype("float32")
+
+
+def looked_at(search, asked):
+    """Pairs of vectors that the search looks at."""
+    n = search.cells.counts
+    return sum(int(n[c]) // int(search.layout.splits[c]) for r in asked.select("cells").collect() for c in r.cells if c >= 0)
+
+
+def test_clustered_vectors_look_at_few_pairs(spark):
+    points = clustered(np.random.default_rng(8), 40, 50, 16)
+    df = vectors(spark, points)
+    search = R.Search(df)
+    sims = similarities(points, points)
+    np.fill_diagonal(sims, -np.inf)
+    want = {q: sorted(range(2000), key=lambda d: (-sims[q, d], d))[:5] for q in range(0, 2000, 50)}
+    got = {q: [] for q in want}
+    for r in R.top_k(df.where("id % 50 = 0"), df, 5, skip_self=True).orderBy("qid", "rank").collect():
+        got[r.qid].append(r.did)
+    assert got == want
+    floors = np.sort(sims, axis=1)[:, -5].tolist()
+    parts = search.parts(df).join(spark.createDataFrame(list(enumerate(floors)), "id long, floor double"), "id")
+    seen = looked_at(search, search.asked(parts, R._can_reach)) + looked_at(search, search.asked(parts, R._nearest(6)))
+    assert seen < 0.3 * 2000 * 2000
+    targets = [(q, 2000, float(sims[q][(q + 1) % 2000])) for q in range(2000)]
+    parts = search.parts(df).join(spark.createDataFrame(targets, "id long, did long, target double"), "id")
+    assert looked_at(search, search.asked(parts, R._undecided)) < 0.3 * 2000 * 2000
+    search.close()
+
+
+def test_bounds_hold_whatever_the_cells(spark, matrix):
+    cells = R.Cells(R.unit(matrix[:5]), np.ones(6, int), np.zeros(6))
+    cell, angle = cells.nearest(R.unit(matrix))
+    cells.reach = np.array([angle[cell == c].max(initial=0) for c in range(6)])
+    low, high = cells.bounds(R.unit(matrix))
+    sims = similarities(matrix, matrix)
+    assert (sims <= high[:, cell] + R.SLACK).all() and (sims >= low[:, cell] - R.SLACK).all()
+    assert cell[7] == 5 and (sims[7] == 0).all()
+
+
+def test_null_vectors_and_empty_tables(spark, matrix):
+    df = vectors(spark, matrix[:6])
+    holes = df.unionByName(spark.createDataFrame([(99, None)], df.schema))
+    assert R.top_k(holes, holes, 2).where("qid = 99 OR did = 99").count() == 0
+    assert R.top_k(df.where("false"), df, 2).count() == 0
+    assert R.top_k(df, df.where("false"), 2).count() == 0
+    qrels = spark.createDataFrame([(0, 1), (99, 1), (1, 77)], "qid long, did long")
+    assert {(r.qid, r["rank"] is None) for r in R.relevant_ranks(holes, holes, qrels).collect()} == {(0, False), (99, True), (1, True)}
+    assert {r.qid for r in R.first_ranks(df, df, qrels, 3).where("rank IS NULL").collect()} >= {1, 99}
+
+
+def test_one_large_cell_is_split(spark, small_blocks):
+    points = np.ones((300, 8), "float32")
+    search = R.Search(vectors(spark, points))
+    assert search.layout.splits.max() >= 10 and search.layout.blocks >= 10
+    got = R.top_k(vectors(spark, points), vectors(spark, points), 3)
+    assert {tuple(sorted(r.d)) for r in got.groupBy("qid").agg(F.collect_list("did").alias("d")).collect()} == {(0, 1, 2)}
+
+
 def test_ranking_scores(spark):
     ranks = spark.createDataFrame([(1, 1, 1), (2, 2, 3), (3, 3, 11)], "qid long, did long, rank long")
     r = R.ranking_scores(ranks).first()

@@ -166,11 +166,15 @@ RANKS_SQL = """q AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHE
     k AS (SELECT qid, did, rank FROM r WHERE did = qid + 1)"""
 
 
-def ranks(spark, folder):
+def judged(spark, folder):
     rows = as_vectors(embeddings(spark, folder))
     queries, docs = rows.where("id % 2 = 0"), rows.where("id % 2 = 1")
     qrels = queries.select(F.col("id").alias("qid"), (F.col("id") + 1).alias("did"))
-    return retrieval.relevant_ranks(queries, docs, qrels)
+    return queries, docs, qrels.join(docs.select(F.col("id").alias("did")), "did", "left_semi").select("qid", "did")
+
+
+def ranks(spark, folder):
+    return retrieval.relevant_ranks(*judged(spark, folder))
 
 
 @query("qrels_rank", f"WITH {RANKS_SQL} SELECT qid, did, rank FROM k")
@@ -183,7 +187,7 @@ def qrels_rank(spark, folder):
     f"WITH {RANKS_SQL} SELECT round(avg(CASE WHEN rank <= 10 THEN 1 / log2(1 + rank) ELSE 0 END), 6) AS ndcg_at_10, count(*) AS num_queries FROM k",
 )
 def ndcg_at_10(spark, folder):
-    scores = retrieval.ranking_scores(ranks(spark, folder))
+    scores = retrieval.ranking_scores(retrieval.first_ranks(*judged(spark, folder), 10))
     return scores.select(F.round("ndcg_at_10", 6).alias("ndcg_at_10"), "num_queries")
 
 
@@ -198,7 +202,7 @@ def map_score(spark, folder):
     f"WITH {RANKS_SQL} SELECT round(avg(CASE WHEN rank = 1 THEN 1.0::DOUBLE ELSE 0 END), 6) AS accuracy, count(*) AS num_queries FROM k",
 )
 def bitext_match(spark, folder):
-    scores = retrieval.ranking_scores(ranks(spark, folder))
+    scores = retrieval.ranking_scores(retrieval.first_ranks(*judged(spark, folder), 1))
     return scores.select(F.round("accuracy_at_1", 6).alias("accuracy"), "num_queries")
 
 
