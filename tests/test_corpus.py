@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from vecloom.operators import corpus as C
 from vecloom.sources import tables as S
+from vecloom.sources.lazy import breaking_off, parquet_groups, read_groups
 
 
 def docs(spark, sizes):
@@ -43,14 +44,55 @@ def test_splits_are_contiguous_disjoint_and_fill_the_quota(spark):
         assert ends.loc["train", "max"] < ends.loc["validation", "min"] < ends.loc["test", "min"]
 
 
-def test_failed_language_is_kept_or_dropped(spark):
-    source = docs(spark, {"a": 20, "b": 20})
-    quotas = [("a", 5, 2, 1), ("b", 5, 2, 1)]
-    failed = spark.createDataFrame([("b",)], "lang string")
-    kept = C.quota_rows(source, "doc_id", quotas, failed)
-    dropped = C.quota_rows(source, "doc_id", quotas, failed, on_error="drop")
-    assert {r[0] for r in kept.select("lang").distinct().collect()} == {"a", "b"}
-    assert {r[0] for r in dropped.select("lang").distinct().collect()} == {"a"}
+def test_failed_language_is_kept_up_to_the_record_or_dropped(spark):
+    source = docs(spark, {"a": 20, "b": 20, "c": 20})
+    quotas = [("a", 5, 2, 1), ("b", 5, 2, 1), ("c", 5, 2, 1)]
+    record = spark.createDataFrame([("b", 4), ("b", 6), ("c", 0)], "lang string, n_read long")
+
+    def sizes(on_error):
+        rows = C.split_rows(C.quota_rows(source, "doc_id", quotas, record, on_error))
+        return {(r["lang"], r["split"]): r["count"] for r in rows.groupBy("lang", "split").count().collect()}
+
+    whole = {("a", "train"): 5, ("a", "validation"): 2, ("a", "test"): 1}
+    assert sizes("keep") == whole | {("b", "train"): 2, ("b", "validation"): 1, ("b", "test"): 1}
+    assert sizes("drop") == whole
+
+
+def test_lazy_source_stops_at_its_limit_and_records_failures(spark, tmp_path):
+    marks = str(tmp_path)
+
+    def open_group(group):
+        if group == "none":
+            raise FileNotFoundError("no such group")
+        for i in range(1_000):
+            with open(f"{marks}/{group}", "a") as f:
+                f.write(".")
+            if group == "bad" and i == 7:
+                raise ValueError("torn")
+            yield (f"{group}{i}", None)
+
+    limits = {"good": 5, "bad": 20, "none": 5, "zero": 0, "last": 1_000}
+    rows, record = read_groups(spark, "marked", {"title": "string", "size": "long"}, open_group, limits)
+    assert {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()} == {"good": 5, "bad": 7, "last": 1_000}
+    assert [r.title for r in rows.where("lang = 'good'").orderBy("place").collect()] == [f"good{i}" for i in range(5)]
+    found = {r["lang"]: (r.n_read, r.error) for r in record.collect()}
+    assert found == {"bad": (7, "ValueError: torn"), "none": (0, "FileNotFoundError: no such group")}
+    assert len((tmp_path / "good").read_text()) == 5 and len((tmp_path / "bad").read_text()) == 8
+    quotas = [("good", 3, 1, 1), ("bad", 10, 6, 4), ("none", 3, 1, 1)]
+    kept = C.split_rows(C.collected_rows(rows, record, quotas))
+    assert {(r["lang"], r["split"]): r["count"] for r in kept.groupBy("lang", "split").count().collect()} == {
+        ("good", "train"): 3, ("good", "validation"): 1, ("good", "test"): 1, ("bad", "train"): 3, ("bad", "validation"): 2, ("bad", "test"): 2,
+    }
+
+
+def test_parquet_groups_keep_file_order(spark, tmp_path):
+    path = str(tmp_path / "docs.parquet")
+    docs(spark, {"a": 2_500, "b": 10}).orderBy("doc_id").coalesce(1).write.parquet(path)
+    source = parquet_groups(path, ["doc_id", "i"], "lang")
+    want = [r.doc_id for r in spark.read.parquet(path).where("lang = 'a'").orderBy("doc_id").collect()]
+    assert [r[0] for r in source("a")] == want
+    with pytest.raises(ConnectionError):
+        list(breaking_off(source, {"a": 1_200})("a"))
 
 
 def test_default_quotas():

@@ -47,26 +47,39 @@ def quota_rows(
 ) -> DataFrame:
     """The first rows of each language up to its quota, with the split sizes it gets.
 
-    `failed` lists (lang) of sources that broke off. With on_error="keep" the rows read
-    before the error count, with "drop" the language is left out; a language without
-    rows is left out either way.
+    `failed` is the record (lang, n_read) of sources that broke off. With on_error="keep" the n_read rows before
+    the error count and no later ones, whatever another reading added; with "drop" the language is left out; a language
+    without rows is left out either way.
     """
     table = quota_table(df.sparkSession, quotas)
-    if failed is not None and on_error == "drop":
-        table = table.join(failed.select("lang").distinct(), "lang", "left_anti")
     wanted = F.col("train_n") + F.col("val_n") + F.col("test_n")
     limits = table.select("lang", wanted.alias("row_limit"))
-    rows = first_n(df, [F.col(key)], "lang", F.broadcast(limits))
-    short = F.col("available") < F.col("row_limit")
+    if failed is not None:
+        record = failed.groupBy("lang").agg(F.min("n_read").alias("n_read"))
+        if on_error == "drop":
+            table = table.join(record, "lang", "left_anti")
+            limits = limits.join(record, "lang", "left_anti")
+        else:
+            limits = limits.join(record, "lang", "left").select("lang", F.least("row_limit", "n_read").alias("row_limit"))
+    rows = first_n(df, [F.col(key)], "lang", F.broadcast(limits)).join(F.broadcast(table), "lang")
+    short = F.col("available") < wanted
     # Sizes are cut in floating point, as ratio times size, and the test split takes the rest.
-    ratio = F.col("available").cast("double") / F.col("row_limit").cast("double")
+    ratio = F.col("available").cast("double") / wanted.cast("double")
     train = F.when(short, F.floor(F.col("train_n") * ratio)).otherwise(F.col("train_n"))
     val = F.when(short, F.floor(F.col("val_n") * ratio)).otherwise(F.col("val_n"))
-    return (
-        rows.join(F.broadcast(table), "lang")
-        .withColumns({"train_k": train, "val_k": val})
-        .drop("train_n", "val_n", "test_n")
-    )
+    return rows.withColumns({"train_k": train, "val_k": val}).drop("train_n", "val_n", "test_n")
+
+
+def collected_rows(
+    rows: DataFrame, record: DataFrame, quotas: Sequence[tuple[str, int, int, int]], on_error: str = "keep"
+) -> DataFrame:
+    """`quota_rows` of a lazy source (sources/lazy.py), whose rows are numbered by place and limited already."""
+    return quota_rows(rows, "place", quotas, record, on_error)
+
+
+def quota_limits(quotas: Sequence[tuple[str, int, int, int]]) -> dict[str, int]:
+    """How many rows a lazy source is asked for, per language."""
+    return {lang: train + val + test for lang, train, val, test in quotas}
 
 
 def split_rows(rows: DataFrame) -> DataFrame:

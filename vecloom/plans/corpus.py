@@ -11,6 +11,7 @@ from vecloom.operators import curation as K
 from vecloom.operators.agreement import next_turn_pairs
 from vecloom.plans import query
 from vecloom.sources import tables as S
+from vecloom.sources.lazy import breaking_off, parquet_groups, read_groups
 from vecloom.sources.staging import new_path
 
 LANGS = ("en", "fr", "de", "es")
@@ -293,31 +294,32 @@ def lang_split(spark, folder):
     return rows.select("doc_id", "lang", "rn", "split", F.md5("text").alias("digest"))
 
 
-@query(
-    "lang_quota_policy",
-    f"WITH {split_sql([q for q in SMALL_QUOTAS if q[0] != 'es'])} SELECT lang, split, count(*) AS n_rows FROM s GROUP BY ALL",
-)
-def lang_quota_policy(spark, folder):
-    # A language with a document of one source counts as broken off, for want of real failures.
-    docs = documents(spark, folder)
-    failed = docs.where("lang = 'es'").select("lang")
-    rows = C.split_rows(C.quota_rows(docs, "doc_id", SMALL_QUOTAS, failed, on_error="drop"))
-    return rows.groupBy("lang", "split").agg(F.count(F.lit(1)).alias("n_rows"))
+# The source of one language breaks off after so many rows.
+BREAKS_OFF = {"es": 57}
+BROKEN_SQL = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS place FROM documents)
+    WHERE lang <> 'es' OR place <= 57)"""
+QUOTA_SQL = "SELECT lang, split, count(*) AS n_rows, min(doc_id) AS first_id, max(doc_id) AS last_id FROM s GROUP BY ALL"
 
 
-BROKEN_SQL = "(SELECT * FROM documents WHERE NOT (lang = 'es' AND doc_id % 3 = 0))"
+def broken_source(spark, folder, on_error):
+    """Rows of the lazy source within the quotas; one language fails while it is read."""
+    source = parquet_groups(f"{folder}/documents.parquet", ["doc_id", "text"], "lang")
+    limits = C.quota_limits(SMALL_QUOTAS)
+    rows, record = read_groups(spark, "articles", {"doc_id": "long", "text": "string"}, breaking_off(source, BREAKS_OFF), limits)
+    kept = C.split_rows(C.collected_rows(rows, record, SMALL_QUOTAS, on_error))
+    return kept.groupBy("lang", "split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")
+    )
 
 
-@query(
-    "lang_quota_keep",
-    f"WITH {split_sql(SMALL_QUOTAS)} SELECT lang, split, count(*) AS n_rows FROM s GROUP BY ALL".replace("FROM documents", f"FROM {BROKEN_SQL}"),
-)
+@query("lang_quota_policy", f"WITH {split_sql([q for q in SMALL_QUOTAS if q[0] != 'es'])} {QUOTA_SQL}")
+def lang_quota_policy(spark, folder):
+    return broken_source(spark, folder, "drop")
+
+
+@query("lang_quota_keep", f"WITH {split_sql(SMALL_QUOTAS)} {QUOTA_SQL}".replace("FROM documents),", f"FROM {BROKEN_SQL}),", 1))
 def lang_quota_keep(spark, folder):
-    """A source that broke off keeps what was read of it: here, for want of real failures, two thirds of a language."""
-    docs = documents(spark, folder).where("NOT (lang = 'es' AND doc_id % 3 = 0)")
-    failed = docs.where("lang = 'es'").select("lang")
-    rows = C.split_rows(C.quota_rows(docs, "doc_id", SMALL_QUOTAS, failed, on_error="keep"))
-    return rows.groupBy("lang", "split").agg(F.count(F.lit(1)).alias("n_rows"))
+    return broken_source(spark, folder, "keep")
 
 
 @query(
