@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -99,6 +101,73 @@ def test_top_tokens_break_ties_by_token(spark):
     assert [(r["token"], r["n"]) for r in got] == [("a", 3), ("b", 2), ("c", 1)]
 
 
+@pytest.mark.parametrize("k", [1, 3, 7, 40, 5_000])
+def test_top_tokens_equal_a_full_ranking(spark, k, monkeypatch):
+    rng = random.Random(k)
+    rows = [(rng.choice("ab"), f"t{i}", rng.choice([1, 1, 1, 2, 2, 9])) for i in range(300)] + [("c", "only", 1)]
+    table = spark.createDataFrame(rows, "lang string, token string, n long")
+    order = sorted(rows, key=lambda r: (-r[2], r[1]))
+    want = [(r[1], r[2], i + 1) for i, r in enumerate(order[:k])]
+    assert [tuple(r) for r in V.top_tokens(table.drop("lang"), k).orderBy("rank").collect()] == want
+    for limit in (1_000, 0):  # the edge of each group by either way
+        monkeypatch.setattr(V, "GROUP_LIMIT", limit)
+        found = V.top_tokens_by(table, "lang", k).collect()
+        for lang in "abc":
+            mine = [r for r in order if r[0] == lang][:k]
+            assert sorted((r["rank"], r.token, r.n) for r in found if r.lang == lang) == [(i + 1, r[1], r[2]) for i, r in enumerate(mine)]
+
+
+def test_no_tokens_have_no_top(spark):
+    table = spark.createDataFrame([], "lang string, token string, n long")
+    assert V.top_tokens(table.drop("lang"), 5).count() == 0 and V.top_tokens_by(table, "lang", 5).count() == 0
+
+
+def test_sums_by_blocks_equal_plain_sums(spark, monkeypatch):
+    monkeypatch.setattr(V, "BLOCK_BYTES", 8 * 3 * 7)
+    rng = random.Random(2)
+    vectors = {i: [rng.random() for _ in range(3)] for i in range(50) if i % 9}
+    pairs = [(rng.randrange(40), rng.randrange(60)) for _ in range(400)] + [(7, 3)] * 5
+    want = {}
+    for token, i in pairs:
+        if i in vectors:
+            n, total = want.get(token, (0, [0.0] * 3))
+            want[token] = (n + 1, [a + b for a, b in zip(total, vectors[i])])
+    found = V.vector_sums(spark.createDataFrame(pairs, "token_id long, id long"), spark.createDataFrame(list(vectors.items()), "id long, vector array<float>"))
+    got = {r.token_id: (r.n, list(r.total)) for r in found.collect()}
+    assert got.keys() == want.keys()
+    assert all(got[t][0] == want[t][0] and got[t][1] == pytest.approx(want[t][1], abs=1e-5) for t in want)
+
+
+def test_remap_without_a_vector_for_unknown_tokens(spark):
+    matched = spark.createDataFrame([(1, [2]), (2, []), (3, [0])], "token_id long, source_ids array<long>")
+    vectors = spark.createDataFrame([(2, [1.0, 3.0])], "id long, vector array<float>")
+    zeros = {r.token_id: (r.is_error, list(r.vector)) for r in V.remap_vectors(matched, vectors, 0, 1, "zeros").collect()}
+    assert zeros == {1: (False, [1.0, 3.0]), 2: (True, [0.0, 0.0]), 3: (True, [0.0, 0.0])}
+    assert {r.token_id: r.vector is None for r in V.remap_vectors(matched, vectors, 0).collect()} == {1: False, 2: True, 3: True}
+
+
+def test_failures_are_metrics_and_messages(spark):
+    def embedder():
+        def embed(texts):
+            if "bad" in texts:
+                raise ValueError("no")
+            return [[1.0]] * (len(texts) - texts.count("short"))
+
+        return embed
+
+    df = spark.createDataFrame([(1, "a"), (2, "bad"), (3, "short"), (4, "b")], "id int, text string").coalesce(1)
+    rows, metrics = embedding.observed(embedding.embed_batches(df, embedder, batch_size=1, error="failure"))
+    assert {r.id: r.failure for r in rows.collect()} == {1: None, 2: "ValueError: no", 3: "ValueError: 0 vectors for 1 texts", 4: None}
+    assert metrics.get == {"n_rows": 4, "n_failed": 2}
+
+
+def test_both_embedders_agree(spark):
+    df = spark.createDataFrame([(1, "a b a\nc"), (2, ""), (3, "é " * 700)], "id int, text string")
+    slow = {r.id: list(r.embedding) for r in embedding.embed_batches(df, embedding.hashing_embedder(16)).collect()}
+    fast = {r.id: list(r.embedding) for r in embedding.hashed_embedding(df, dim=16).collect()}
+    assert slow.keys() == fast.keys() and all(slow[i] == pytest.approx(fast[i]) for i in slow)
+
+
 def words(spark, rows):
     return spark.createDataFrame(rows, "token string, id long")
 

@@ -59,22 +59,6 @@ def chunk_cache(spark, folder):
     return again.groupBy("lang").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum(F.length("text")).alias("n_chars"))
 
 
-@query(
-    "embed_batch",
-    f"""{CHUNKS_SQL}, k AS (SELECT doc_id, chunk_no, lang, unnest({TOKENS}) AS token FROM c),
-    b AS (SELECT doc_id, chunk_no, lang, CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % 64 AS slot, count(*)::DOUBLE AS n
-        FROM k GROUP BY ALL)
-    SELECT doc_id, chunk_no, lang, CAST(count(*) AS INTEGER) AS n_slots, round(sum(n * (slot + 1)) / sqrt(sum(n * n)), 2) AS weighted_sum
-    FROM b GROUP BY ALL""",
-)
-def embed_batch(spark, folder):
-    chunks = chunking.token_chunks(documents(spark, folder), max_tokens=MAX_TOKENS)
-    vectors = embedding.keep_embedded(embedding.embed_batches(chunks, embedding.hashing_embedder()))
-    exact = F.transform("embedding", lambda x, i: x.cast("double") * (i + 1))
-    slots = F.size(F.filter("embedding", lambda x: x > 0))
-    return vectors.select("doc_id", "chunk_no", "lang", slots.alias("n_slots"), F.round(total(exact), 2).alias("weighted_sum"))
-
-
 @query(
     "embed_zip",
     f"""{CHUNKS_SQL} SELECT doc_id, chunk_no, lang, length(text)::DOUBLE AS n_chars,
@@ -112,10 +96,29 @@ def embed_failures(spark, folder):
     return embedding.embedding_failures(vectors, "lang")
 
 
-@query("embed_hashed")
+HASHED_SQL = f"""{CHUNKS_SQL}, k AS (SELECT doc_id, chunk_no, lang, unnest({TOKENS}) AS token FROM c),
+    b AS (SELECT doc_id, chunk_no, lang, CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % 64 AS slot, count(*)::DOUBLE AS n
+        FROM k GROUP BY ALL)
+    SELECT doc_id, chunk_no, lang, CAST(count(*) AS INTEGER) AS n_slots, round(sum(n * (slot + 1)) / sqrt(sum(n * n)), 2) AS weighted_sum
+    FROM b GROUP BY ALL"""
+
+
+def slot_figures(vectors):
+    weighted = F.transform("embedding", lambda x, i: x.cast("double") * (i + 1))
+    slots = F.size(F.filter("embedding", lambda x: x > 0))
+    return vectors.select("doc_id", "chunk_no", "lang", slots.alias("n_slots"), F.round(total(weighted), 2).alias("weighted_sum"))
+
+
+@query("embed_batch", HASHED_SQL)
+def embed_batch(spark, folder):
+    chunks = chunking.token_chunks(documents(spark, folder), max_tokens=MAX_TOKENS)
+    return slot_figures(embedding.keep_embedded(embedding.embed_batches(chunks, embedding.hashing_embedder())))
+
+
+@query("embed_hashed", HASHED_SQL)
 def embed_hashed(spark, folder):
-    chunks = chunking.token_chunks(documents(spark, folder))
-    return embedding.hashed_embedding(chunks).select("doc_id", "chunk_no", "lang", "embedding")
+    chunks = chunking.token_chunks(documents(spark, folder), max_tokens=MAX_TOKENS)
+    return slot_figures(embedding.hashed_embedding(chunks))
 
 
 @query(
@@ -173,12 +176,14 @@ def vocab_merge(spark, folder):
     return V.merge_vocabularies(primary, counts.where("lang = 'en'"), V.top_tokens_by(counts, "lang", 500))
 
 
-# Source vocabulary: English tokens by frequency, as many as there are vectors. Target: all others.
+# Source vocabulary: the most frequent English tokens, one for each vector. Target: the most frequent tokens of all languages, as
+# many as a vocabulary holds.
 VOCABULARY_SQL = f"""{FREQUENCY_SQL},
     src AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) - 1 AS id FROM f WHERE lang = 'en'),
     source AS MATERIALIZED (SELECT token, id FROM src SEMI JOIN embeddings ON id = vec_id),
     g AS (SELECT token, sum(n) AS n FROM f GROUP BY token),
-    target AS MATERIALIZED (SELECT token, row_number() OVER (ORDER BY n DESC, token) - 1 AS token_id FROM g),
+    target AS MATERIALIZED (SELECT token, token_id FROM (SELECT token, row_number() OVER (ORDER BY n DESC, token) - 1 AS token_id FROM g)
+        WHERE token_id < 64000),
     cut AS MATERIALIZED (SELECT token_id, regexp_extract_all(token, '\\p{{L}}+|[^\\p{{L}}]+') AS pieces FROM target ANTI JOIN source USING (token)),
     parts AS (SELECT token_id, unnest(pieces) AS token, generate_subscripts(pieces, 1) AS pos FROM cut),
     ids AS (SELECT token_id, 0 AS pos, id, 'direct' AS kind FROM target JOIN source USING (token)
@@ -188,9 +193,10 @@ VOCABULARY_SQL = f"""{FREQUENCY_SQL},
 def vocabularies(spark, folder):
     counts = V.frequency_table(V.token_frequency(documents(spark, folder), by=("lang",)))
     vectors = S.table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    source = V.with_ids(counts.where("lang = 'en'")).join(vectors.select("id"), "id", "left_semi")
-    target = V.with_ids(V.frequency_table(counts.groupBy("token").agg(F.sum("n").alias("n"))))
-    return stage(target, "target"), stage(source, "source"), vectors
+    last = vectors.agg(F.max("id")).first()[0]
+    source = V.with_ids(V.top_tokens(counts.where("lang = 'en'").drop("lang"), (last or 0) + 1))
+    target = V.with_ids(V.top_tokens(V.frequency_table(counts.groupBy("token").agg(F.sum("n").alias("n")))))
+    return stage(target, "target"), stage(source.join(vectors.select("id"), "id", "left_semi"), "source"), vectors
 
 
 @query(
