@@ -219,6 +219,25 @@ def test_checkpointed_append_resumes_and_repeats_without_duplicates(spark, tmp_p
     assert run() == list(range(15))
 
 
+def test_rows_are_admitted_by_count_and_marks_survive_a_restart(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = spark.range(1, 47).withColumnRenamed("id", "rn")
+
+    def run():
+        stream = checkpoints.file_stream(spark, source, rows.schema, "*.parquet", files_per_batch=1)
+        checkpoints.append_every(stream, target, str(tmp_path / "progress"), every=15).awaitTermination()
+        return sorted(map(tuple, checkpoints.fired_marks(spark, target).collect()))
+
+    checkpoints.write_counted_source(rows.where("rn <= 30"), source, 10)
+    assert run() == [(1, 20, False), (2, 30, True)]
+    checkpoints.write_counted_source(rows.where("rn > 30"), source, 10)
+    counts = [r.n_rows for r in spark.read.parquet(f"{target}/commits").collect()]
+    assert counts == [10, 10, 10]
+    assert run() == [(1, 20, False), (2, 40, False), (3, 46, True)]
+    assert run() == [(1, 20, False), (2, 40, False), (3, 46, True)]
+    assert sorted(r.rn for r in spark.read.parquet(f"{target}/rows").collect()) == list(range(1, 47))
+
+
 class Remote:
     """As much of a session on a cluster as the folder choice looks at."""
 

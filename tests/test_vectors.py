@@ -27,6 +27,7 @@ def matrix():
 def small_blocks(monkeypatch):
     monkeypatch.setattr(R, "BLOCK_BYTES", 8 * 8 * 25)
     monkeypatch.setattr(R, "MAX_CENTRES", 9)
+    monkeypatch.setattr(R, "MIN_BLOCK_ROWS", 25)
     monkeypatch.setattr(R, "TILE_CELLS", 90)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vecloom.functions.vectors import total
 from vecloom.operators import chunking, embedding
 from vecloom.operators import vocabulary as V
+from vecloom.operators.ordered import numbered
 from vecloom.plans import query
 from vecloom.sources import tables as S
 from vecloom.sources.staging import new_path, stage
@@ -129,7 +130,7 @@ def checkpoint_sink(spark, folder):
     """The source comes in files of a bounded number of rows, one file a batch, so there are several appends."""
     docs = S.table(spark, folder, "documents")
     schema, target, source = docs.schema, new_path(spark, "sink"), new_path(spark, "source")
-    docs.repartition(4).write.parquet(source)
+    docs.write.option("maxRecordsPerFile", 2_500).parquet(source)
     for _ in range(2):  # the second run finds nothing new
         rows = checkpoints.file_stream(spark, source, schema, "*.parquet", files_per_batch=1)
         checkpoints.append_checkpointed(rows, target, f"{target}-progress").awaitTermination()
@@ -137,6 +138,28 @@ def checkpoint_sink(spark, folder):
     return written.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_chars").alias("n_chars"))
 
 
+@query(
+    "checkpoint_every",
+    """WITH RECURSIVE c AS (SELECT count(*) AS n, greatest(count(*) // 10, 64) AS batch FROM documents),
+    s AS (SELECT n, batch, least(i * batch, n) AS done FROM c, unnest(range(1, CAST(ceil(n / batch) AS BIGINT) + 1)) AS t(i)),
+    f AS (SELECT 0 AS mark_no, CAST(0 AS BIGINT) AS at_rows
+        UNION ALL SELECT f.mark_no + 1, (SELECT min(done) FROM s WHERE done >= f.at_rows + 2 * batch + 1)
+        FROM f WHERE EXISTS (SELECT 1 FROM s WHERE done >= f.at_rows + 2 * batch + 1))
+    SELECT CAST(mark_no AS BIGINT) AS mark_no, at_rows, FALSE AS is_final FROM f WHERE mark_no > 0
+    UNION ALL SELECT CAST(max(mark_no) + 1 AS BIGINT), max(n), TRUE FROM f, c""",
+)
+def checkpoint_every(spark, folder):
+    """Rows are admitted by count, and a checkpoint fires once enough came since the last."""
+    docs = S.table(spark, folder, "documents").select("doc_id", "lang", "n_chars")
+    numbered_docs = stage(numbered(docs, [F.col("doc_id")]), "numbered")
+    batch = max(docs.count() // 10, 64)
+    source, target = new_path(spark, "source"), new_path(spark, "sink")
+    checkpoints.write_counted_source(numbered_docs, source, batch)
+    rows = checkpoints.file_stream(spark, source, numbered_docs.schema, "*.parquet", files_per_batch=1)
+    checkpoints.append_every(rows, target, f"{target}-progress", every=2 * batch + 1).awaitTermination()
+    return checkpoints.fired_marks(spark, target)
+
+
 FREQUENCY_SQL = f"f AS (SELECT lang, token, count(*) AS n FROM (SELECT lang, unnest({TOKENS}) AS token FROM documents) GROUP BY ALL)"
 
 
