@@ -186,12 +186,39 @@ def test_log_files(spark, tmp_path, text, n):
 
 def test_log_append(spark, tmp_path):
     path = str(tmp_path / "log")
-    row = spark.createDataFrame([("m", 0.1, 0.2, 3, "test", 1.5)], "model string, pearson double, spearman double, num_samples long, split string, processing_time_seconds double")
-    R.append_log(row, path, "d")
-    R.append_log(row.withColumn("model", F.lit("n")), path, "d")
-    with open(f"{path}/part-x.json", "w") as f:
-        f.write('{"timestamp": "t", "resu')
-    assert sorted(r["model"] for r in R.read_log(spark, path).collect()) == ["m", "n"]
+    assert R.read_log(spark, path).count() == 0
+    rows = [("n", 0.1, None, 3, "test", 1.5), ("m", 0.3, 0.2, 3, "train", 1.5), ("m", 0.1, 0.2, 3, "test", 1.5)]
+    run = spark.createDataFrame(rows, "model string, pearson double, spearman double, num_samples long, split string, processing_time_seconds double")
+    R.append_log(run, path, "d")
+    R.append_log(run.where("model = 'n'"), path, "e")
+    torn = tmp_path / "log" / "entry-torn"  # a run that ended before its commit
+    torn.mkdir()
+    (torn / "part-x.json").write_text('{"timestamp": "t", "dataset": "d", "results": [{"model": "torn"}]}')
+    entries = [json.loads(f.read_text()) for f in sorted((tmp_path / "log").glob("entry-*/part-*.json")) if f.parent != torn]
+    assert sorted([(r["model"], r["split"]) for r in e["results"]] for e in entries) == [
+        [("m", "test"), ("m", "train"), ("n", "test")], [("n", "test")],
+    ]
+    assert sorted((r.dataset, r.model, r.split) for r in R.read_log(spark, path).collect()) == [
+        ("d", "m", "test"), ("d", "m", "train"), ("d", "n", "test"), ("e", "n", "test"),
+    ]
+
+
+def test_flat_folder_and_its_table(spark, tmp_path):
+    files = {
+        "model_meta.json": "{}",
+        "TaskB.json": shape([{"main_score": 0.5}]),
+        "x.json": json.dumps({"task_name": "TaskA", "scores": {"test": [{"map": 0.25}]}}),
+        "TaskC.json": "broken",
+        "TaskD.json": json.dumps({"scores": {}}),
+        "notes.txt": "no",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    records = R.read_flat(spark, str(tmp_path))
+    assert sorted(r.task for r in records.collect()) == ["TaskA", "TaskB", "TaskD"]
+    table = R.task_table(scores.parse_score(records)).orderBy("line").collect()
+    assert [tuple(r) for r in table] == [(1, "TaskA", 0.25), (2, "TaskB", 0.5), (3, "TaskD", 0.0), (4, "AVERAGE", 0.25)]
+    assert R.task_table(scores.parse_score(records.where("false"))).count() == 0
 
 
 def test_result_tree(spark, tmp_path):
@@ -202,6 +229,7 @@ def test_result_tree(spark, tmp_path):
         "org__one/thin/TaskA.json": shape([{"main_score": 0.9}]),
         "two/0123456789/TaskA.json": shape([{"accuracy": 0.25}]),
         "two/0123456789/TaskC.json": shape({}),
+        "two/0123456789/file.json": json.dumps({"task_name": "Named", "scores": {"test": [{"main_score": 0.75}]}}),
         "two/0123456789/notes.txt": "no",
     }
     for name, text in files.items():
@@ -211,6 +239,6 @@ def test_result_tree(spark, tmp_path):
     rows = scores.compare_score(R.read_tree(spark, str(tmp_path))).collect()
     assert {(r["model"], r["task"], r["score"]) for r in rows} == {
         ("org/one (abcdef)", "TaskA", 50.0), ("org/one (abcdef)", "TaskB", 0.0),
-        ("two (012345)", "TaskA", 25.0), ("two (012345)", "TaskC", 0.0),
+        ("two (012345)", "TaskA", 25.0), ("two (012345)", "TaskC", 0.0), ("two (012345)", "Named", 75.0),
     }
     assert not any(math.isnan(r["score"]) for r in rows)

@@ -116,11 +116,27 @@ def result_log_append(spark, folder):
         F.round(F.avg("value"), 4).alias("pearson"), F.lit(None).cast("double").alias("spearman"),
         F.count(F.lit(1)).alias("num_samples"), F.lit(1.0).alias("processing_time_seconds"),
     )
-    for split in ("train", "test"):
+    for split in ("train", "test"):  # a run each, with the results of all models
         R.append_log(means.withColumn("split", F.lit(split)), path, "events")
     return R.read_log(spark, path).select("model", "split", "pearson", "num_samples")
 
 
+@query(
+    "task_table",
+    """WITH t AS (SELECT 'Task ' || source AS task, round(avg(quality), 4) AS score FROM documents JOIN labels USING (doc_id) GROUP BY source),
+    l AS (SELECT task, score, 0 AS last FROM t UNION ALL SELECT 'AVERAGE', avg(score), 1 FROM t)
+    SELECT CAST(row_number() OVER (ORDER BY last, task, score) AS INTEGER) AS line, task, round(score, 6) AS score FROM l""",
+)
+def task_table(spark, folder):
+    """The printed table of one model's flat folder, whose documents name their tasks themselves."""
+    docs = S.table(spark, folder, "documents").select("doc_id", "source").join(S.table(spark, folder, "labels"), "doc_id")
+    score = F.round(F.avg("quality"), 4).cast("string")
+    body = F.format_string('{"task_name": "Task %s", "scores": {"test": [{"main_score": %s}]}}', F.col("source"), score)
+    files = docs.groupBy("source").agg(body.alias("body")).withColumn("path", F.concat(F.lit("run/"), "source", F.lit(".json")))
+    table = R.task_table(scores.parse_score(R.flat_records(files, "path", "body")))
+    return table.withColumn("score", F.round("score", 6))
+
+
 # One result file per (language, source, label value); a source with few of them is a thin revision.
 TREE_SQL = """n AS (SELECT lang, source, quality, count(*) AS c FROM documents JOIN labels USING (doc_id) GROUP BY ALL),
     p AS (SELECT 'root/org__' || lang || '/' || source || 'abcdef/' || CASE quality WHEN 0 THEN 'model_meta'
