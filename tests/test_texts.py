@@ -62,6 +62,29 @@ def test_plugged_tokenizer_leaves_out_missing_texts_like_the_default(spark):
     assert rows(chunking.token_chunks_with(df, words, max_tokens=2)) == rows(chunking.token_chunks(df, max_tokens=2))
 
 
+def test_subword_chunks_are_slices_of_the_text(spark, folder):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    known = tokenizers.Tokenizer.from_file(path)
+    texts = [r.text for r in spark.read.parquet(f"{folder}/documents.parquet").limit(60).collect()]
+    texts += ["", " ", None, "😀" * 30, "x" * 5_000, "a" + " " * 4_000 + "b", "word " * 8]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for limit in (8, 50):
+        want = set()
+        for i, text in enumerate(texts):
+            if text is None:
+                continue
+            starts = [a for a, _ in known.encode(text, add_special_tokens=False).offsets]
+            cuts = [0, *starts[limit::limit], len(text)]
+            found = [text[a:b] for a, b in zip(cuts, cuts[1:])]
+            assert "".join(found) == text
+            kept = found if len(found) == 1 else [c for c in found if c.strip()]
+            want |= {(i, k, c) for k, c in enumerate(kept)}
+        rows = chunking.token_chunks_by_offsets(df, chunking.subword_starts(path), max_tokens=limit).collect()
+        assert {(r.id, r.chunk_no, r.text) for r in rows} == want and len(rows) == len(want)
+        assert max(r.n_tokens for r in rows) == limit
+
+
 def test_chunk_cache_is_read_not_recomputed(spark, tmp_path):
     path = str(tmp_path / "cache")
     first = spark.createDataFrame([("a b c",)], "text string")

@@ -224,3 +224,31 @@ def test_query_without_its_document_counts_as_zero(spark):
     assert {(r["qid"], r["rank"]) for r in ranks.collect()} == {(1, 1), (2, None)}
     row = R.ranking_scores(ranks).first()
     assert (row["ndcg_at_10"], row["map"], row["accuracy_at_1"], row["num_queries"]) == (0.5, 0.5, 0.5, 2)
+
+
+def test_streams_go_on_from_their_state(spark, tmp_path):
+    from vecloom.streaming import checkpoints, progress
+
+    rng = np.random.default_rng(4)
+    rows = [("ab"[i % 2], i, float(x)) for i, x in enumerate(rng.normal(size=60))]
+    log = spark.createDataFrame(rows, "run string, step long, loss double")
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def run():
+        stream = checkpoints.file_stream(spark, source, log.schema, "*.parquet", files_per_batch=1)
+        for name, work in (("means", progress.running_mean(stream, 5)), ("steps", progress.every_n_steps(stream, 5))):
+            checkpoints.append_checkpointed(work, f"{target}/{name}", f"{target}-{name}").awaitTermination()
+        means = checkpoints.read_checkpointed(spark, f"{target}/means", progress.running_mean(stream, 5).schema).collect()
+        steps = checkpoints.read_checkpointed(spark, f"{target}/steps", spark.range(1).withColumnRenamed("id", "step").schema).collect()
+        return {(r.run, r.step): r.avg_loss for r in means}, sorted(r.step for r in steps)
+
+    def want(n):
+        means = {(r, s): np.mean([x for q, t, x in rows[: s + 1] if q == r]) for r, s, _ in rows[:n] if s % 5 == 0}
+        return {k: pytest.approx(v) for k, v in means.items()}, [s for s in range(5, n, 5)]
+
+    log.where("step < 20").coalesce(1).write.parquet(source)
+    log.where("step >= 20 AND step < 30").coalesce(1).write.mode("append").parquet(source)
+    assert run() == want(30)
+    log.where("step >= 30 OR step = 25").where("step <> 25 OR run = 'x'").coalesce(1).write.mode("append").parquet(source)
+    assert run() == want(60)
+    assert run() == want(60)

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.text import is_blank, tokens
 
 MAX_TOKENS = 2000
+# Texts whose offsets are held at a time.
+OFFSET_ROWS = 256
 
 
 def token_counts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -31,6 +34,61 @@ def token_chunks(df: DataFrame, text: str = "text", max_tokens: int = MAX_TOKENS
     return split.select(*rest, F.posexplode(chunks).alias("chunk_no", text))
 
 
+def token_chunks_by_offsets(
+    df: DataFrame, tokenizer: Callable[[], Callable[[list[str]], list[list[int]]]], text: str = "text", max_tokens: int = MAX_TOKENS
+) -> DataFrame:
+    """Chunks of at most `max_tokens` tokens of any tokenizer, as slices of the text, with their `n_tokens`.
+
+    `tokenizer` builds, once per task, a function that gives where the tokens of each text begin (in code points, rising
+    or equal). Nothing is decoded: a chunk runs from the beginning of its first token to that of the next chunk's
+    first, so chunks put together are the text as it was. A text within the limit stays as it is, even if blank; of a
+    longer one blank chunks are left out. A null text gives no row.
+    """
+    rest = [c for c in df.columns if c != text]
+    at = df.columns.index(text)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts_of = tokenizer()
+        for batch in batches:
+            for begin in range(0, batch.num_rows, OFFSET_ROWS):
+                part = batch.slice(begin, OFFSET_ROWS)
+                part = part.filter(part.column(at).is_valid())
+                rows, numbers, chunks, sizes = [], [], [], []
+                texts = part.column(at).to_pylist()
+                for row, (value, starts) in enumerate(zip(texts, starts_of(texts))):
+                    cuts = [0, *starts[max_tokens::max_tokens], len(value)]
+                    found = [(value[a:b], min(max_tokens, len(starts) - k * max_tokens)) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+                    if len(found) > 1:
+                        found = [c for c in found if c[0].strip()]
+                    rows += [row] * len(found)
+                    numbers += range(len(found))
+                    chunks += [c for c, _ in found]
+                    sizes += [n for _, n in found]
+                taken = part.take(pa.array(rows, pa.int64())).drop_columns([text])
+                made = [pa.array(numbers, pa.int32()), pa.array(chunks, pa.string()), pa.array(sizes, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*taken.columns, *made], names=[*rest, "chunk_no", text, "n_tokens"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "chunk_no int", f"`{text}` string", "n_tokens int"])
+    return df.mapInArrow(cut, schema)
+
+
+def subword_starts(path: str) -> Callable[[], Callable[[list[str]], list[list[int]]]]:
+    """For `token_chunks_by_offsets`: the tokenizer of a file of the `tokenizers` library, without special tokens."""
+
+    def build() -> Callable[[list[str]], list[list[int]]]:
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        known = Tokenizer.from_file(path)
+        known.encode_special_tokens = True  # their strings in a text are ordinary text
+        return lambda texts: [[a for a, _ in e.offsets] for e in known.encode_batch(texts, add_special_tokens=False)]
+
+    return build
+
+
 def token_chunks_with(
     df: DataFrame,
     tokenizer: Callable[[], tuple[Callable[[str], list], Callable[[list], str]]],

@@ -51,6 +51,16 @@ def chunk_text_plugged(spark, folder):
     return rows.select("doc_id", "lang", "chunk_no", F.md5("text").alias("digest"))
 
 
+@query("chunk_text_subword")
+def chunk_text_subword(spark, folder):
+    """Chunks by a public subword tokenizer."""
+    import public_tokenizers
+
+    tokenizer = chunking.subword_starts(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = chunking.token_chunks_by_offsets(documents(spark, folder), tokenizer, max_tokens=MAX_TOKENS)
+    return rows.select("doc_id", "lang", "chunk_no", "n_tokens", F.md5("text").alias("digest"))
+
+
 @query("chunk_cache", f"{CHUNKS_SQL} SELECT lang, count(*) AS n_chunks, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM c GROUP BY lang")
 def chunk_cache(spark, folder):
     path = new_path(spark, "chunks")

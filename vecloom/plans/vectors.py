@@ -9,9 +9,11 @@ from vecloom.operators import agreement as A
 from vecloom.operators import models, retrieval
 from vecloom.operators import training_log as L
 from vecloom.operators.embedding import keep_embedded
+from vecloom.operators.ordered import numbered
 from vecloom.plans import query
 from vecloom.sources import tables as S
-from vecloom.sources.staging import stage
+from vecloom.sources.staging import new_path, stage
+from vecloom.streaming import checkpoints, progress
 
 # The second side of a vector pair is the next vector.
 PAIRED_SQL = """p AS (SELECT a.vec_id, a.label, b.label AS other_label, a.embedding::DOUBLE[] AS x, b.embedding::DOUBLE[] AS y,
@@ -249,12 +251,13 @@ def v_measure(spark, folder):
     return scores.select(*[F.round(n, 6).alias(n) for n in ("homogeneity", "completeness", "v_measure")])
 
 
-@query(
-    "running_mean",
-    """SELECT event_type AS run, event_id AS step, round(avg_loss, 6) AS avg_loss FROM (
+RUNNING_SQL = """SELECT event_type AS run, event_id AS step, round(avg_loss, 6) AS avg_loss FROM (
         SELECT *, avg(value) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS avg_loss FROM events)
-    WHERE event_id % 20 = 0""",
-)
+    WHERE event_id % 20 = 0"""
+EVERY_SQL = "SELECT DISTINCT event_id // 2 AS step FROM events WHERE event_id // 2 > 0 AND event_id // 2 % 25 = 0"
+
+
+@query("running_mean", RUNNING_SQL)
 def running_mean(spark, folder):
     log = S.table(spark, folder, "events").select(
         F.col("event_type").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss")
@@ -263,6 +266,39 @@ def running_mean(spark, folder):
     return means.select("run", "step", F.round("avg_loss", 6).alias("avg_loss"))
 
 
+STREAM_BATCHES = 4
+
+
+def streamed(spark, rows, order, work):
+    """Rows written as a few files in order, read as a stream of one file a batch; the stream stops once and goes on from its state."""
+    numbered_rows = stage(numbered(rows, [F.col(order)]), "numbered")
+    n = numbered_rows.agg(F.max("rn")).first()[0] or 0
+    source, target = new_path(spark, "log"), new_path(spark, "means")
+    for i in range(STREAM_BATCHES):
+        part = numbered_rows.where((F.col("rn") > n * i // STREAM_BATCHES) & (F.col("rn") <= n * (i + 1) // STREAM_BATCHES))
+        part.drop("rn").coalesce(1).write.mode("append").parquet(source)
+        if i % 2:  # a run of the stream with two new files, then a restart
+            log = checkpoints.file_stream(spark, source, rows.schema, "*.parquet", files_per_batch=1)
+            found = work(log)
+            checkpoints.append_checkpointed(found, target, f"{target}-progress").awaitTermination()
+    return checkpoints.read_checkpointed(spark, target, found.schema)
+
+
+@query("running_mean_stream", RUNNING_SQL)
+def running_mean_stream(spark, folder):
+    log = S.table(spark, folder, "events").select(
+        F.col("event_type").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss")
+    )
+    means = streamed(spark, log, "step", lambda rows: progress.running_mean(rows, every=20))
+    return means.select("run", "step", F.round("avg_loss", 6).alias("avg_loss"))
+
+
+@query("every_n_stream", EVERY_SQL)
+def every_n_stream(spark, folder):
+    steps = S.table(spark, folder, "events").select("event_id", F.expr("event_id div 2").alias("step"))
+    return streamed(spark, steps, "event_id", lambda rows: progress.every_n_steps(rows, 25))
+
+
 EPOCHS_SQL = """b AS (SELECT event_id // 1000 AS epoch, event_id % 1000 // 64 AS batch, avg(value) AS loss FROM events GROUP BY ALL),
     e AS (SELECT epoch, round(avg(loss), 6) AS epoch_loss, count(*) AS num_batches FROM b GROUP BY epoch)"""
 
@@ -292,7 +328,7 @@ def best_so_far(spark, folder):
     return L.best_so_far(means).select("epoch", "epoch_loss", "best_before", "is_best")
 
 
-@query("every_n", "SELECT DISTINCT event_id // 2 AS step FROM events WHERE event_id // 2 > 0 AND event_id // 2 % 25 = 0")
+@query("every_n", EVERY_SQL)
 def every_n(spark, folder):
     steps = S.table(spark, folder, "events").select(F.expr("event_id div 2").alias("step"))
     return L.every_n_steps(steps, 25)
