@@ -29,16 +29,19 @@ def gallop(short: list[int], long: list[int]) -> list[tuple[int, int]]:
     Each value of the shorter list is sought from where the last one was found: steps double until they
     pass it, then the last step is halved.
     """
-    found, at = [], 0
+    found, at, size = [], 0, len(long)
     for i, value in enumerate(short):
-        high, step = at, 1
-        while high < len(long) and long[high] < value:
-            at = high + 1
-            high += step
-            step *= 2
-        at = bisect_left(long, value, at, min(high, len(long)))
-        if at == len(long):
+        if at == size:
             break
+        if long[at] < value:
+            high, step = at + 1, 2
+            while high < size and long[high] < value:
+                at = high
+                high += step
+                step *= 2
+            at = bisect_left(long, value, at + 1, min(high, size))
+            if at == size:
+                break
         if long[at] == value:
             found.append((i, at))
             at += 1
@@ -85,6 +88,7 @@ class Aligner:
             bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
             for i in range(self.b.get_piece_size())
         ]
+        self.text_a, self.text_b = (list(map(str, range(len(known)))) for known in (self.bytes_a, self.bytes_b))
         if max(len(self.bytes_a), len(self.bytes_b)) >> ID_BITS:
             raise ValueError(f"ids need more than {ID_BITS} bits")
         self.clear()
@@ -97,27 +101,33 @@ class Aligner:
         self.n_a, self.n_b, self.n_groups, self.n_pairs = (array("q") for _ in range(4))
         self.pairs = array("q")
 
-    def add(self, part: str, ids_a: list[int], ids_b: list[int]) -> None:
-        raw = b" " + part.encode()
-        tokens_a, tokens_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        self.known[part] = len(self.groups)
-        self.length += len(part)
-        sound = b"".join(tokens_a) == raw == b"".join(tokens_b)
-        text, before, ends = [], len(self.pairs), []
-        if sound:
-            ends = common_ends(list(accumulate(map(len, tokens_a))), list(accumulate(map(len, tokens_b))))
-            from_a = from_b = 0
-            for i, j in ends:  # the differences of two ranks are the sizes of a group
-                group_a, group_b = ids_a[from_a : i + 1], ids_b[from_b : j + 1]
-                from_a, from_b = i + 1, j + 1
-                text.append(",".join(map(str, group_a)) + "|" + ",".join(map(str, group_b)))
-                self.pairs.extend([(a << ID_BITS) + b for a in group_a for b in group_b])
-        self.sound.append(sound)
-        self.groups.append(";".join(text))
-        self.n_a.append(len(ids_a))
-        self.n_b.append(len(ids_b))
-        self.n_groups.append(len(ends))
-        self.n_pairs.append(len(self.pairs) - before)
+    def add(self, parts: list[str], all_a: list[list[int]], all_b: list[list[int]]) -> None:
+        bytes_a, bytes_b, text_a, text_b = self.bytes_a, self.bytes_b, self.text_a, self.text_b
+        figures = []
+        for part, ids_a, ids_b in zip(parts, all_a, all_b):
+            self.known[part] = len(self.groups)
+            self.length += len(part)
+            raw = b" " + part.encode()
+            tokens_a, tokens_b = [bytes_a[i] for i in ids_a], [bytes_b[i] for i in ids_b]
+            sound = b"".join(tokens_a) == raw == b"".join(tokens_b)
+            text, pairs = [], []
+            if sound:
+                ends = common_ends(list(accumulate(map(len, tokens_a))), list(accumulate(map(len, tokens_b))))
+                said_a, said_b = [text_a[i] for i in ids_a], [text_b[i] for i in ids_b]
+                from_a = from_b = 0
+                for i, j in ends:  # the differences of two ranks are the sizes of a group
+                    if i == from_a and j == from_b:
+                        text.append(f"{said_a[i]}|{said_b[j]}")
+                        pairs.append((ids_a[i] << ID_BITS) + ids_b[j])
+                    else:
+                        text.append(",".join(said_a[from_a : i + 1]) + "|" + ",".join(said_b[from_b : j + 1]))
+                        pairs += [(a << ID_BITS) + b for a in ids_a[from_a : i + 1] for b in ids_b[from_b : j + 1]]
+                    from_a, from_b = i + 1, j + 1
+            self.groups.append(";".join(text))
+            self.pairs.extend(pairs)
+            figures.append((sound, len(ids_a), len(ids_b), len(text), len(pairs)))
+        for target, values in zip((self.sound, self.n_a, self.n_b, self.n_groups, self.n_pairs), zip(*figures)):
+            target.extend(values)
 
     def parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the parts of all texts, one after another, and how many each text has; unknown parts are encoded."""
@@ -145,8 +155,7 @@ class Aligner:
         for begin in range(0, len(new), 10_000):
             some = new[begin : begin + 10_000]
             found_a = self.a.encode_batch_fast([f" {v}" for v in some], add_special_tokens=False)
-            for v, a, b in zip(some, found_a, self.b.encode(some, num_threads=1)):
-                self.add(v, a.ids, b)
+            self.add(some, [a.ids for a in found_a], self.b.encode(some, num_threads=1))
         mine = np.array([self.known.get(v, -1) for v in values], np.int64)
         return mine[number], per_text
 
