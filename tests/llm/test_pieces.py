@@ -56,6 +56,17 @@ def test_n_best_of_texts(encoder, text):
     assert {encoder.vocabulary.decode(i.tolist()) for _, i in found} == {text or ""}
 
 
+@pytest.mark.parametrize("text", ["2.0.", "a 7 b", "x  y", "5", " "])
+def test_a_blank_alone_is_a_piece(encoder, text):
+    """As the library of the model has it: no byte pieces for blanks."""
+    blank = encoder.vocabulary.piece["▁"]
+    word = "▁" + text.split(" ")[-1]
+    assert encoder.vocabulary.n_best(word, 1)[0][1][0] >= 1
+    ids = encoder.vocabulary.ids(word, encoder.vocabulary.n_best(word, 1)[0][1])
+    assert not set(ids) & {encoder.vocabulary.byte_ids[b] for b in "▁".encode()}
+    assert ids[0] == blank or encoder.vocabulary.texts[ids[0]].startswith("▁")
+
+
 def test_round_trip_of_odd_rows(odd, none, texts):
     found = pieces.encode(odd, PATH, 3)
     back = defaultdict(set)

@@ -2,7 +2,8 @@
 
 A text is its blanks escaped, with one more in front, as the vocabulary's model has it. No piece crosses from one
 word into the next, so each word has a lattice of its own, whose arcs are the pieces found in it; a segmentation's
-score is the sum of the scores of its pieces.
+score is the sum of the scores of its pieces. A run of blanks is spelled blank by blank. U+2581 in a text is read as a blank, so it
+decodes as one.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ REMEMBERED = 200_000
 REMEMBERED_CHARS = 2_000_000
 # Bytes of ids that are decoded at once.
 DECODED_BYTES = 2_000_000
-NEVER = -1e8  # scores of pieces that the model does not use lie below
+NEVER = -1e8  # scores of pieces that stand for blanks alone lie below
 NONE = -1
 BYTES = -2
 
@@ -60,9 +61,11 @@ class Vocabulary:
             scores.append(model.get_score(i))
             if model.is_byte(i):
                 self.byte_ids[int(text[1:-1], 16)] = i
-            elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and BLANK not in text[1:] and scores[i] > NEVER:
+            elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and BLANK not in text[1:] and (scores[i] > NEVER or text == BLANK):
                 self.piece[text] = i
         self.scores = np.array(scores)
+        # A blank alone has no score of its own in the model; it is as likely as the least likely piece.
+        self.scores[self.scores <= NEVER] = min(self.scores[self.scores > NEVER])
         self.unknown = float(min(x for x in self.scores if x > NEVER)) - UNKNOWN_PENALTY
         self.bytes_of = {i: b for b, i in enumerate(self.byte_ids)}
         self.raw = pa.array([bytes([self.bytes_of[i]]) if i in self.bytes_of else x.encode() for i, x in enumerate(self.texts)], pa.binary())
