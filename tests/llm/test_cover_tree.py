@@ -81,3 +81,12 @@ def test_trees_find_all_pairs(spread):
 
 def test_empty(spark):
     assert cover_tree.near_duplicates(table(spark, [])).count() == 0
+
+
+def test_repeated_ids_are_vectors_of_their_own(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.001]), (3, [0.001, 1.0]), (None, [1.0, 0.002]), (None, [-1.0, 0.0]), (4, [0.0, -1.0])]
+    table = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    found = [tuple(r) for r in cover_tree.near_duplicates(table).select("vec_id", "n_links", "component_id", "kept").collect()]
+    assert sorted(found, key=str) == sorted(
+        [(1, 2, 1, True), (1, 1, 1, True), (2, 2, 1, False), (3, 1, 1, False), (None, 2, 1, False), (None, 0, None, False), (4, 0, 4, True)], key=str
+    )

@@ -247,21 +247,26 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     Vectors link when their labels are equal and their cosine, in double precision, is at least `cosine`. Equal
     vectors are one class; only classes are compared, exactly. Vectors that are null, all zero or hold null or
     non-finite numbers, and those without a label, link with nothing; vectors of different lengths do not link.
-    component_id is the smallest vec_id reachable; kept marks it. A null vec_id has no component of its own
-    (null, not kept) but counts as a vector of its class. An empty table gives an empty table; other columns are not
+    component_id is the smallest vec_id reachable; kept marks it. Rows of one vec_id are vectors of their own each. A
+    null vec_id is a vector too, but no component's name: a component of such rows alone has none (null, not kept). An empty table gives an empty table; other columns are not
     looked at.
     """
     real = _valid(vectors)
-    classes = real.groupBy("label", "embedding").agg(F.min("vec_id").cast("long").alias("node"), F.count(F.lit(1)).alias("size"))
-    classes = stage(classes.withColumn("width", F.size("embedding")), "classes")
-    found = stage(links(classes.where("node IS NOT NULL"), cosine), "links")
+    classes = real.groupBy("label", "embedding").agg(F.min("vec_id").cast("long").alias("first"), F.count(F.lit(1)).alias("size"))
+    # Classes have numbers of their own, as ids may repeat; the numbers stay, as the table is written.
+    classes = stage(classes.withColumns({"width": F.size("embedding"), "node": F.monotonically_increasing_id()}), "classes")
+    found = stage(links(classes.drop("first"), cosine), "links")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     labels = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    known = classes.join(counts, "node", "left").join(labels, "node", "left").select(
+    members = classes.select("node", "first").join(labels, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
+    members = stage(members, "members")
+    lowest = stage(members.groupBy("component").agg(F.min("first").alias("component_id")), "lowest")
+    members = members.join(lowest, "component").select("node", "component_id")
+    known = classes.join(counts, "node", "left").join(members, "node").select(
         F.col("label").alias("_label"),
         F.col("embedding").alias("_embedding"),
         (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id"),
+        "component_id",
     )
     rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
     joined = rows.join(known, (F.col("label") == F.col("_label")) & (F.col("embedding") == F.col("_embedding")), "left")
