@@ -66,9 +66,19 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     are a few rows here. The mean of n ranks is (n + 1) / 2, whatever the ties.
     """
     pairs = stage(scored_rows(df, x, y).groupBy(*by, x, y).agg(F.count(F.lit(1)).alias("_w")), "value-pairs")
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     ranked = pairs
-    for side in (x, y):
-        ranked = ranked.join(stage(average_ranks(pairs, side, by, f"_rank_{side}", "_w"), "ranks"), [*by, side])
+    if kinds[x] == kinds[y]:  # one table of both sides is put in order
+        sides = F.explode(F.array(*[F.struct(F.lit(c == y).alias("y"), F.col(c).alias("v")) for c in (x, y)])).alias("_s")
+        values = pairs.select(*by, "_w", sides).select(*by, "_w", F.col("_s.y").alias("_y"), F.col("_s.v").alias("_v"))
+        ranks = stage(average_ranks(values, "_v", [*by, "_y"], "_rank", "_w"), "ranks")
+        for side in (x, y):
+            mine = ranks.where(F.col("_y") == F.lit(side == y))
+            mine = mine.select(*by, F.col("_v").alias(side), F.col("_rank").alias(f"_rank_{side}"))
+            ranked = ranked.join(mine, [*by, side])
+    else:
+        for side in (x, y):
+            ranked = ranked.join(stage(average_ranks(pairs, side, by, f"_rank_{side}", "_w"), "ranks"), [*by, side])
     total = pairs.groupBy(*by).agg(F.sum("_w").alias("_total"))
     ranked = ranked.join(total, list(by)) if by else ranked.withColumn("_total", F.lit(total.first()[0]))
     dx, dy = (F.col(f"_rank_{side}") - (F.col("_total") + 1) / 2.0 for side in (x, y))
