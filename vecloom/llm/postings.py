@@ -28,8 +28,10 @@ def count_words(text: Column) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP_ANY_CASE), ""))
 
 
-def item_windows(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Windows (window, run), one row for each distinct run of words, and (window, item_id); both written out.
+def item_windows(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Windows (window, run), one row for each distinct run of words, (window, item_id), and their words (word, term), numbered.
+
+    All are written out, so numbers stay.
 
     A row without words has no window; one with fewer words than a window is one.
     """
@@ -42,26 +44,29 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, Dat
     windows = stage(runs.select("run").distinct().select(F.monotonically_increasing_id().alias("window"), "run"), "windows")
     of_items = stage(runs.join(windows, "run").select("window", "item_id").distinct(), "items")
     drop_staged(runs)
-    return windows, of_items
+    words = windows.select(F.explode("run").alias("word")).distinct().select("word", F.monotonically_increasing_id().alias("term"))
+    return windows, of_items, stage(words, "words")
 
 
 def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """The index: (term, doc_id, digest, at), a row for each word of each text, `at` counting from 0.
 
-    With `terms` (term) only those are stored. Each task writes the lists of its own documents, so
+    With `terms` (word, term) only those are stored, by number. Each task writes the lists of its own documents, so
     the index needs no shuffle; lists are read by term, with column pruning.
     """
-    found = keyed(docs).select("doc_id", "digest", F.posexplode(item_words(F.col("text"))).alias("at", "term"))
-    return found if terms is None else found.join(terms, "term", "left_semi")
+    found = keyed(docs).select("doc_id", "digest", F.posexplode(item_words(F.col("text"))).alias("at", "word"))
+    if terms is None:
+        return found.withColumnRenamed("word", "term")
+    return found.join(terms, "word").select("term", "doc_id", "digest", "at")
 
 
-def by_rarity(windows: DataFrame, index: DataFrame) -> DataFrame:
+def by_rarity(windows: DataFrame, terms: DataFrame, index: DataFrame) -> DataFrame:
     """(window, run, rare): the words (n, k, term) of each window that can occur, rarest first, k its place.
 
     Windows with a word that the index does not hold cannot occur and are left out.
     """
     counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    words = windows.select("window", "run", F.posexplode("run").alias("k", "term")).join(counts, "term")
+    words = windows.select("window", "run", F.posexplode("run").alias("k", "word")).join(terms, "word").join(counts, "term")
     found = words.groupBy("window").agg(
         F.first("run").alias("run"), F.array_sort(F.collect_list(F.struct("n", "k", "term"))).alias("rare")
     )  # a window's words are few
@@ -175,10 +180,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, withi
     with a null id; none is dropped. Without items nothing is hit; an empty table of documents gives an empty
     table. Other columns are not looked at.
     """
-    windows, of_items = item_windows(items, window)
-    terms = windows.select(F.explode("run").alias("term")).distinct()
+    windows, of_items, terms = item_windows(items, window)
     index = stage(postings(docs, terms), "postings")
-    rare = stage(by_rarity(windows, index), "rare")
+    rare = stage(by_rarity(windows, terms, index), "rare")
     candidates = stage(phrase_candidates(rare, index), "candidates")
     near = proximity_matches(rare, index, within).join(of_items, "window").where("item_id IS NOT NULL")
     near = stage(near.select("doc_id", "digest", "item_id").distinct(), "near_items")
