@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.text import unit_score
 from vecloom.operators import corpus as C
 from vecloom.operators import curation as K
+from vecloom.operators import registry as R
 from vecloom.operators.agreement import next_turn_pairs
 from vecloom.plans import query
 from vecloom.sources import tables as S
@@ -473,3 +476,47 @@ LOSS_SQL = "CASE task_type WHEN 'sts' THEN 'CoSENTLoss' WHEN 'classification' TH
 def loss_plan(spark, folder):
     labelled = documents(spark, folder).select("doc_id", "source").join(S.table(spark, folder, "labels"), "doc_id", "left")
     return K.loss_plan(as_sets(spark, labelled), "dataset", "quality")
+
+
+# Sources stand for the data sets of the configuration, some with a cap that bites; columns for the columns that it names.
+CONFIGS = [replace(c, max_rows=15 if c.max_rows else None, split="validation" if c.split == "dev" else c.split) for c in R.CONFIGURED]
+STANDING = {
+    "anchor": f"({GAPPY_TITLE})", "positive": "lang", "sentence1": "source", "sentence2": f"({GAPPY_TITLE})", "premise": "lang",
+    "hypothesis": "source", "text": f"({GAPPY_TEXT})", "label": "CAST(quality AS STRING)", "score": "CAST(toxic AS STRING)",
+}
+CONFIGURED_SQL = f"""c(source, dataset, task, split, a, b, l, cap) AS (VALUES {", ".join(
+        f"('src{i}', '{c.name}', '{c.task}', '{c.split}', '{c.columns[0]}', '{c.columns[1] if len(c.columns) > 1 else ''}', '{c.label or ''}', {c.max_rows or 'NULL'})"
+        for i, c in enumerate(CONFIGS))}),
+    d AS (SELECT documents.*, quality, toxic, {SPLIT} AS split FROM documents LEFT JOIN labels USING (doc_id)),
+    v AS (SELECT doc_id, dataset, task, cap, b, l, {", ".join(
+        f"CASE {column} {' '.join(f"WHEN '{n}' THEN {x}" for n, x in STANDING.items())} END AS {name}" for column, name in (("a", "first"), ("b", "second"), ("l", "label")))}
+        FROM d JOIN c USING (source, split)),
+    k AS (SELECT *, count(*) OVER (PARTITION BY dataset) AS n FROM v WHERE first IS NOT NULL AND (b = '' OR second IS NOT NULL) AND (l = '' OR label IS NOT NULL)),
+    r AS (SELECT *, CASE WHEN cap IS NOT NULL AND n > cap THEN row_number() OVER (PARTITION BY dataset ORDER BY md5('42:' || doc_id), doc_id)
+        ELSE row_number() OVER (PARTITION BY dataset ORDER BY doc_id) END AS position FROM k)"""
+
+
+def configured(spark, folder):
+    docs = with_splits(documents(spark, folder)).join(S.table(spark, folder, "labels"), "doc_id", "left")
+    names = spark.createDataFrame([(f"src{i}", c.name) for i, c in enumerate(CONFIGS)], "source string, dataset string")
+    rows = docs.join(F.broadcast(names), "source").select("doc_id", "dataset", "split", *[F.expr(x).alias(n) for n, x in STANDING.items()])
+    return R.configured_rows(rows, CONFIGS, "doc_id")
+
+
+@query(
+    "configured_sets",
+    f"""WITH {CONFIGURED_SQL} SELECT doc_id, dataset, task, position, label,
+        md5(CASE task WHEN 'nli' THEN 'Premise: ' || first || ' Hypothesis: ' || second ELSE first END) AS text_md5,
+        CASE task WHEN 'nli' THEN NULL ELSE second END AS other FROM r WHERE cap IS NULL OR position <= cap""",
+)
+def configured_sets(spark, folder):
+    rows = R.model_inputs(R.sampled_rows(configured(spark, folder), CONFIGS, "doc_id"))
+    return rows.select("doc_id", "dataset", "task", "position", "label", F.md5("text").alias("text_md5"), "other")
+
+
+@query(
+    "configured_labels",
+    f"WITH {CONFIGURED_SQL} SELECT dataset, task, count(*) AS n_rows, count(DISTINCT label) AS num_labels FROM k WHERE task IN ('cls', 'nli') GROUP BY ALL",
+)
+def configured_labels(spark, folder):
+    return R.label_counts(configured(spark, folder))
