@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import math
 
-from vecloom.llm.hosts import judge_urls, reputations
+from pyspark.sql import functions as F
+
+from vecloom.llm.hosts import judge_urls, registered_domain, reputations, site, suffix
 
 PAGES = [
     (1, "http://a.example.com/en/x?q#f", 1),
@@ -76,3 +78,28 @@ def test_shrinks_step_by_step(spark):
 
 def test_empty(spark):
     assert judge_urls(table(spark, [])).count() == 0
+
+
+def test_sites_domains_suffixes(spark):
+    expected = {
+        "bad1.co.uk": ("bad1.co.uk", "bad1.co.uk", "co.uk"),
+        "a.b.com.br.": ("a.b.com.br", "b.com.br", "com.br"),
+        "co.uk": ("co.uk", "co.uk", "co.uk"),
+        "t.co": ("t.co", "t.co", "co"),
+        "me:pw@x.org:8080": ("x.org", "x.org", "org"),
+        "10.0.0.1:80": ("10.0.0.1", "10.0.0.1", "ip"),
+        "[2001:db8::1]:443": ("[2001:db8::1]", "[2001:db8::1]", "ip"),
+        "a.1.2.3.4": ("a.1.2.3.4", "3.4", "4"),
+        "localhost": ("localhost", "localhost", "localhost"),
+        "": ("", "", ""),
+    }
+    hosts = spark.createDataFrame([(h,) for h in expected], "host string").withColumn("site", site(F.col("host")))
+    found = hosts.select("host", "site", registered_domain(F.col("site")).alias("domain"), suffix(F.col("site")).alias("suffix")).collect()
+    assert {r.host: tuple(r)[1:] for r in found} == expected
+
+
+def test_neighbours_under_a_country_suffix_and_addresses_do_not_share_blame(spark):
+    rows = [(i, f"http://bad{i % 4}.co.uk/p", 1) for i in range(80)] + [(100 + i, f"http://good{i % 4}.co.uk:{80 + i}/p", 0) for i in range(80)]
+    rows += [(200 + i, f"http://10.0.0.1:{i}/", 1) for i in range(40)] + [(300 + i, "http://10.9.0.1/", 0) for i in range(40)]
+    found = {r.page_id: r.verdict for r in judge_urls(table(spark, rows)).collect()}
+    assert found == {i: "block" if outcome else "allow" for i, _, outcome in rows}

@@ -33,12 +33,27 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, "://([^/?#]*)([^?#]*)", 2), F.lit(""))
 
 
-def registered_domain(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+# Labels that countries keep for a second level, under which names are registered.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gob", "gov", "gv", "mil", "ne", "net", "nom", "or", "org", "sch")
+WIDE = rf"(^|\.)({'|'.join(SECOND_LEVEL)})\.[a-z][a-z]$"
+ADDRESS = r"^([0-9]+\.[0-9]+\.[0-9]+\.[0-9]+|\[.*)$"
 
 
-def suffix(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def site(host: Column) -> Column:
+    """The host without user name, port and closing dot: what a reputation belongs to."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", ""), "\\.$", "")
+
+
+def suffix(site: Column) -> Column:
+    """The last label, or the last two where a country keeps the second level; `ip` for addresses."""
+    labels = F.when(site.rlike(WIDE), F.substring_index(site, ".", -2)).otherwise(F.substring_index(site, ".", -1))
+    return F.when(site.rlike(ADDRESS), F.lit("ip")).otherwise(labels)
+
+
+def registered_domain(site: Column) -> Column:
+    """The suffix and the label before it; an address is its own domain."""
+    labels = F.when(site.rlike(WIDE), F.substring_index(site, ".", -3)).otherwise(F.substring_index(site, ".", -2))
+    return F.when(site.rlike(ADDRESS), site).otherwise(labels)
 
 
 def rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] = RULES) -> tuple[Column, Column]:
@@ -69,7 +84,7 @@ def reputations(pages: DataFrame, limit: float = LIMIT, deviations: float = DEVI
     The share of bad outcomes of a suffix is drawn towards the overall share, that of a domain
     towards its suffix, that of a host towards its domain, each by a prior whose weight comes
     from the data. `bound` is the posterior mean less `deviations` posterior standard deviations.
-    A host without outcomes has its domain's share. Tables after the first are one row a host.
+    A host without outcomes has its domain's share. Hosts are those of `site`. Tables after the first are one row a host.
     """
     n = F.count("outcome").cast("double")
     counts = pages.groupBy("host").agg(n.alias("n"), F.coalesce(F.sum("outcome"), F.lit(0)).cast("double").alias("bad"))
@@ -99,15 +114,17 @@ def judge_urls(
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict) for each row of (page_id, url, outcome).
 
-    A rule's verdict stands; other pages are blocked if their host's bound is above the limit. A
+    A rule's verdict stands; other pages are blocked if their host's bound is above the limit, where hosts that
+    differ in a user name, a port or a closing dot are one. A
     url that is null or has no `://` has an empty host and path; the empty host is judged like any
     other. Rows are neither merged nor dropped. An empty table gives an empty table.
     """
     url = F.col("url").cast("string")
     rows = pages.select("page_id", host(url).alias("host"), path(url).alias("path"), F.col("outcome").cast("int").alias("outcome"))
     name, verdict = rule(F.col("host"), F.col("path"), rules)
-    known = reputations(rows, limit, deviations).select("host", "blocked")
-    return rows.join(known, "host", "left").select(
+    rows = rows.withColumn("site", site(F.col("host")))
+    known = reputations(rows.select(F.col("site").alias("host"), "outcome"), limit, deviations).select(F.col("host").alias("site"), "blocked")
+    return rows.join(known, "site", "left").select(
         "page_id",
         "host",
         "path",

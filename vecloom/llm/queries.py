@@ -82,9 +82,15 @@ p AS (SELECT page_id,
         CASE WHEN 10 * (length(t) - length(translate(t, '#*$%&|', ''))) > length(t) - length(replace(t, ' ', '')) THEN 1
              WHEN t IS NOT NULL THEN 0 END AS outcome
       FROM o),
-h AS (SELECT host, CAST(count(outcome) AS DOUBLE) AS n, CAST(coalesce(sum(outcome), 0) AS DOUBLE) AS bad,
-        array_to_string(list_slice(string_split(host, '.'), -2, NULL), '.') AS domain, string_split(host, '.')[-1] AS suffix
-      FROM p GROUP BY host),
+t AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '\.$', '') AS site FROM p),
+g AS (SELECT site, CAST(count(outcome) AS DOUBLE) AS n, CAST(coalesce(sum(outcome), 0) AS DOUBLE) AS bad,
+        regexp_matches(site, '^([0-9]+\.[0-9]+\.[0-9]+\.[0-9]+|\[.*)$') AS address,
+        CASE WHEN regexp_matches(site, '(^|\.)(ac|co|com|edu|gob|gov|gv|mil|ne|net|nom|or|org|sch)\.[a-z][a-z]$') THEN 2 ELSE 1 END AS wide
+      FROM t GROUP BY site),
+h AS (SELECT site, n, bad,
+        CASE WHEN address THEN site ELSE array_to_string(list_slice(string_split(site, '.'), -wide - 1, NULL), '.') END AS domain,
+        CASE WHEN address THEN 'ip' ELSE array_to_string(list_slice(string_split(site, '.'), -wide, NULL), '.') END AS suffix
+      FROM g),
 d AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
 s0 AS (SELECT s.*, (SELECT (coalesce(sum(bad), 0) + 0.5) / (coalesce(sum(n), 0) + 1) FROM s) AS p FROM s),
@@ -97,15 +103,15 @@ d1 AS (SELECT domain, (bad + w * p) / (n + w) AS p FROM d0,
         (SELECT greatest(1.0, least(1000.0, coalesce(CASE WHEN r > 0 THEN 1 / r - 1 END, 1000.0))) AS w FROM wd)),
 h0 AS (SELECT h.*, p FROM h JOIN d1 USING (domain)),
 wh AS (SELECT sum((bad / n - p) * (bad / n - p) * n - p * (1 - p)) / nullif(sum(p * (1 - p) * (n - 1)), 0) AS r FROM h0 WHERE n > 0),
-h1 AS (SELECT host, n, w, (bad + w * p) / (n + w) AS m FROM h0,
+h1 AS (SELECT site, n, w, (bad + w * p) / (n + w) AS m FROM h0,
         (SELECT greatest(1.0, least(1000.0, coalesce(CASE WHEN r > 0 THEN 1 / r - 1 END, 1000.0))) AS w FROM wh)),
-b AS (SELECT host, m - 1.645 * sqrt(m * (1 - m) / (n + w + 1)) > 0.5 AS blocked FROM h1),
+b AS (SELECT site, m - 1.645 * sqrt(m * (1 - m) / (n + w + 1)) > 0.5 AS blocked FROM h1),
 rules(rule, kind, rh, rp) AS (VALUES ('com/', 'allow', 'com', '/'), ('example.com/en/', 'block', 'example.com', '/en/'),
         ('www.example.com/en/', 'allow', 'www.example.com', '/en/'), ('net/es/', 'block', 'net', '/es/'), ('net/fr/', 'block', 'net', '/fr/')),
 fit AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(kind, length(rule)) AS kind
         FROM p JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
 SELECT p.page_id, p.host, p.path, fit.rule, coalesce(fit.kind, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
-FROM p LEFT JOIN fit USING (page_id) LEFT JOIN b USING (host)
+FROM t AS p LEFT JOIN fit USING (page_id) LEFT JOIN b USING (site)
 """
 
 
