@@ -220,6 +220,18 @@ def test_vocabulary_match_and_remap(spark):
     assert same[12] == [0.0, 0.0]
 
 
+def test_vocabulary_counts_look_at_every_token(spark, tmp_path):
+    """More distinct tokens than a vocabulary holds."""
+    from vecloom.plans import texts
+
+    n = V.TOP_TOKENS + 500
+    docs = [(i, "en" if i % 2 else "de", " ".join(f"w{j}x" for j in range(i, n, 50))) for i in range(50)]
+    spark.createDataFrame(docs, "doc_id long, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(10).selectExpr("id AS vec_id", "array(1f) AS embedding").write.parquet(str(tmp_path / "embeddings.parquet"))
+    counts = {r.kind: r.n_tokens for r in texts.vocab_match_counts(spark, str(tmp_path)).collect()}
+    assert counts == {"direct": 10, "unmapped": n - 10}
+
+
 def test_merged_vocabulary_has_each_token_once(spark):
     make = lambda text: spark.createDataFrame([(t,) for t in text], "token string")
     out = V.merge_vocabularies(make("ab"), make("bcc"), make("acde"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecloom.functions.text import tokens
-from vecloom.operators.ordered import first_n
+from vecloom.operators.ordered import first_n, numbered
 from vecloom.sources.staging import stage, with_group_figures
 
 TOP_TOKENS = 64_000
@@ -37,6 +37,11 @@ def top_tokens(frequency: DataFrame, k: int = TOP_TOKENS) -> DataFrame:
     return top_tokens_by(frequency, None, k)
 
 
+def ranked_tokens(frequency: DataFrame) -> DataFrame:
+    """All tokens of a frequency table, ranked by ranges of the order; ties go by token."""
+    return numbered(frequency, [-F.col("n"), F.col("token")], name="rank")
+
+
 # Up to this limit Spark cuts each task's share of a ranking to the limit before rows are shuffled.
 GROUP_LIMIT = 1_000
 

@@ -223,12 +223,17 @@ VOCABULARY_SQL = f"""{FREQUENCY_SQL},
         UNION ALL SELECT token_id, pos, id, 'tokenized' FROM parts JOIN source USING (token))"""
 
 
-def vocabularies(spark, folder):
+# The counts look at every token of the documents: no limit of a vocabulary cuts their target.
+EVERY_TOKEN_SQL = VOCABULARY_SQL.replace("WHERE token_id < 64000", "")
+
+
+def vocabularies(spark, folder, every_token=False):
     counts = V.frequency_table(V.token_frequency(documents(spark, folder), by=("lang",)))
     vectors = S.table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     last = vectors.agg(F.max("id")).first()[0]
     source = V.with_ids(V.top_tokens(counts.where("lang = 'en'").drop("lang"), (last or 0) + 1))
-    target = V.with_ids(V.top_tokens(V.frequency_table(counts.groupBy("token").agg(F.sum("n").alias("n")))))
+    totals = V.frequency_table(counts.groupBy("token").agg(F.sum("n").alias("n")))
+    target = V.with_ids(V.ranked_tokens(totals) if every_token else V.top_tokens(totals))
     return stage(target, "target"), stage(source.join(vectors.select("id"), "id", "left_semi"), "source"), vectors
 
 
@@ -246,11 +251,11 @@ def vocab_match(spark, folder):
 
 @query(
     "vocab_match_counts",
-    f"""WITH {VOCABULARY_SQL}, k AS (SELECT token_id, min(kind) AS kind FROM ids GROUP BY token_id)
+    f"""WITH {EVERY_TOKEN_SQL}, k AS (SELECT token_id, min(kind) AS kind FROM ids GROUP BY token_id)
     SELECT coalesce(kind, 'unmapped') AS kind, count(*) AS n_tokens FROM target LEFT JOIN k USING (token_id) GROUP BY 1""",
 )
 def vocab_match_counts(spark, folder):
-    target, source, _ = vocabularies(spark, folder)
+    target, source, _ = vocabularies(spark, folder, every_token=True)
     return V.match_vocabulary(target, source).groupBy("kind").agg(F.count(F.lit(1)).alias("n_tokens"))
 
 
