@@ -95,6 +95,14 @@ def test_parquet_groups_keep_file_order(spark, tmp_path):
         list(breaking_off(source, {"a": 1_200})("a"))
 
 
+def test_a_short_group_breaks_off_too():
+    got = []
+    with pytest.raises(ConnectionError, match="after 3 rows"):
+        got.extend(row for row in breaking_off(lambda group: [(i,) for i in range(3)], {"a": 57})("a"))
+    assert got == [(0,), (1,), (2,)]
+    assert list(breaking_off(lambda group: [(0,)], {"a": 57})("b")) == [(0,)]
+
+
 def test_default_quotas():
     assert len(C.DEFAULT_QUOTAS) == 40
     assert sum(q[1] for q in C.DEFAULT_QUOTAS) == 580_000
