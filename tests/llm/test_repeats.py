@@ -47,5 +47,26 @@ def test_long_texts_in_chunks(spark, monkeypatch):
     assert rows_of(repeats.remove_repeats(frame(spark, rows))) == sorted(brute(rows), key=repr)
 
 
+@pytest.mark.parametrize("size", [60, 130, 190, 230, 420])
+def test_a_common_passage_is_not_dealt_out_in_strings(spark, monkeypatch, size):
+    """Each text has the passage between words of its own, some of them twice: few rows a class, whatever their strings."""
+    from conftest import frame, prose
+
+    monkeypatch.setattr(repeats, "MEMBERS", 4)
+    passage = prose(1, 200)[:size]
+    rows = [(i, f"{prose(100 + i, 60)[:300]}{passage}{prose(300 + i % 35, 60)[:300]}") for i in range(40)]
+    rows += [(50, passage[:-3] * 3), (51, prose(400, 60)[:300] + passage)]
+    made = {}
+
+    def counted(df, name, stage=repeats.stage):
+        made.setdefault(name, []).append((out := stage(df, name)).count())
+        return out
+
+    monkeypatch.setattr(repeats, "stage", counted)
+    assert rows_of(repeats.remove_repeats(frame(spark, rows))) == sorted(brute(rows), key=repr)
+    dealt = sum(sum(n) for name, n in made.items() if name in ("strings", "halves"))
+    assert dealt <= 20 * sum(made["surroundings"])
+
+
 def test_empty(none):
     assert repeats.remove_repeats(none).count() == 0

@@ -11,6 +11,7 @@ with equal surroundings are one class, and only one member of each class is look
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -172,11 +173,63 @@ def strings_in(raw: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, n
     return found[first[row] + place], row, place
 
 
+def halves(rows: DataFrame, length: int) -> DataFrame:
+    """Runs of the same columns, each cut in two by how far its strings reach to the left of their sample.
+
+    rows: (name, class, raw, root, shift, at, low, high). A run's strings have low to high bytes before the sample, which
+    lies at `at` in raw (unknown yet: -1; then the name is the sample's hash). All of them hold `low` bytes before the
+    sample and what `high` leaves after it; those bytes are the new name, so that a name gets longer with each cut and
+    ends as one whole string. `shift` is the run's place in the surroundings of class `root`.
+    """
+    span = length - SEED
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 1_000):
+                part = batch.slice(begin, 1_000)
+                raw = part.column(2).to_pylist()
+                name, shift, at, low, high = (part.column(i).to_numpy().astype(np.int64) for i in (0, 4, 5, 6, 7))
+                data = np.frombuffer(b"".join(raw), np.uint8)
+                size = np.array([len(x) for x in raw])
+                first = np.cumsum(size) - size
+                with np.errstate(over="ignore"):
+                    hashes = Hashes(len(data))
+                    hashes.load(data)
+                    if (at < 0).any():  # the sample is the first of its kind in the run
+                        here = hashes.windows(SEED)[first[:, None] + np.arange(span + 1)] == name.view(np.uint64)[:, None]
+                        at = np.where(at < 0, here.argmax(axis=1), at)
+                    middle = (low + high + 1) // 2
+                    for least, most in ((low, middle - 1), (middle, high)):
+                        near, far = np.maximum(least, at - (size - length)), np.minimum(most, at)
+                        (some,) = np.nonzero(near <= far)
+                        if not len(some):
+                            continue
+                        l, r, f, n, o = least[some], most[some], far[some], near[some], (first + at)[some]
+                        named = hashes.of(o - l, o + length - r) ^ mix(l.astype(np.uint64) * ODD[2] + r.astype(np.uint64) * ODD[3])
+                        where = f.astype(np.uint64) * ODD[2] + (f - n + 1).astype(np.uint64) * ODD[3]
+                        kind = mix(hashes.of(o - f, o - n + length) ^ mix(where))
+                        of = at[some]
+                        raws = [raw[i][x:y] for i, x, y in zip(some.tolist(), (of - f).tolist(), (of - n + length).tolist())]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(mix(named).view(np.int64)),
+                                pa.array(kind.view(np.int64)),
+                                pa.array(raws, pa.binary()),
+                                part.column(3).take(pa.array(some)),
+                                *(pa.array(x.astype(np.int32)) for x in (shift[some] + of - f, f, l, r)),
+                            ],
+                            names=part.schema.names,
+                        )
+
+    return rows.mapInArrow(cut, "name long, class long, raw binary, root long, shift int, at int, low int, high int")
+
+
 def shared_strings(rows: DataFrame, length: int) -> DataFrame:
     """(class, ats): places in the surroundings of a class at which a string begins that another class holds too.
 
-    Equal strings have equal names. Names of up to MEMBERS classes are compared in the task that gets them;
-    for larger ones the strings themselves are dealt out and counted, whatever their number.
+    Equal strings have equal names. Names of up to MEMBERS classes are compared in the task that gets them. Runs of larger
+    ones are cut in halves with longer names, where runs of equal bytes become one and those alone with their
+    name end; this goes on, eight times at most, until no name is so large.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,23 +260,34 @@ def shared_strings(rows: DataFrame, length: int) -> DataFrame:
         if held:
             yield close()
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kinds, raw = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            for at in range(0, len(raw), 1_000):
-                with np.errstate(over="ignore"):
-                    found, row, place = strings_in(raw[at : at + 1_000], length)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.view(np.int64)), pa.array(kinds[at + row]), pa.array(place.astype(np.int32))], names=["string", "class", "at"]
-                )
-
-    few, many = rows.where(F.col("members") <= MEMBERS), rows.where(F.col("members") > MEMBERS)
-    dealt = few.select("name", "class", "raw").repartition(partitions(rows.sparkSession), "name").sortWithinPartitions("name", "class")
-    near = dealt.mapInArrow(compare, "class long, ats array<int>")
-    strings = stage(many.select("class", "raw").mapInArrow(deal, "string long, class long, at int"), "strings")
-    twice = strings.groupBy("string").agg((F.min("class") != F.max("class")).alias("twice")).where("twice")
-    far = strings.join(twice.select("string"), "string").groupBy("class").agg(F.collect_set("at").alias("ats"))
-    return near.unionByName(far)
+    def near(runs: DataFrame) -> DataFrame:
+        few = runs.where(F.col("members") <= MEMBERS).select("name", "class", "raw")
+        dealt = few.repartition(partitions(rows.sparkSession), "name").sortWithinPartitions("name", "class")
+        return dealt.mapInArrow(compare, "class long, ats array<int>")
+
+    many = rows.where(F.col("members") > MEMBERS)
+    found, parts = near(rows), []
+    whole = F.lit(0).alias("low"), F.lit(length - SEED).alias("high")
+    many = many.select("name", "class", "raw", F.col("class").alias("root"), F.lit(0).alias("shift"), F.lit(-1).alias("at"), *whole)
+    while not many.isEmpty():
+        cut = stage(halves(many, length), "halves")
+        # A run that several classes hold is repeated, and goes on once, with no class to tell of it.
+        several = F.count(F.lit(1)) > 1
+        same = [F.min(c).alias(c) for c in ("raw", "shift", "at", "low", "high")]
+        runs = cut.groupBy("name", "class").agg(several.alias("several"), F.when(~several, F.min("root")).alias("root"), *same)
+        runs = stage(runs, "runs")
+        again = cut.where("root IS NOT NULL").join(runs.where("several").select("class"), "class")
+        every = F.sequence("shift", F.col("shift") + F.octet_length("raw") - length)
+        parts.append(again.select(F.col("root").alias("class"), every.alias("ats")))
+        names = runs.groupBy("name").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+        runs = stage(runs.join(names, "name"), "named")
+        told = runs.where("root IS NOT NULL").select("class", "root", "shift").join(near(runs), "class")
+        parts.append(told.select(F.col("root").alias("class"), F.transform("ats", lambda x: x + F.col("shift")).alias("ats")))
+        many = runs.where(F.col("members") > MEMBERS).select(many.columns)
+    if not parts:
+        return found
+    far = reduce(DataFrame.unionByName, parts).groupBy("class").agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"))
+    return found.unionByName(far)
 
 
 def repeated_places(docs: DataFrame, length: int = LENGTH) -> DataFrame:
