@@ -5,6 +5,7 @@ import random
 import re
 
 from conftest import frame, prose
+from pyspark.sql import functions as F
 from vecloom.llm import pii
 
 PATTERNS = {
@@ -168,3 +169,23 @@ def test_what_surrounds_a_candidate(spark):
         text = texts[r.doc_id]
         assert (r.value, r.before, r.after or "") == (text[r.start : r.end], text[max(0, r.start - 24) : r.start], text[r.end : r.end + 1])
     assert len({(r.doc_id, r.start, r.order, r.end) for r in rows}) == len(rows)
+
+
+def test_trees_and_thresholds_see_every_labelled_candidate(spark, monkeypatch):
+    """More candidates of a kind and label than any sample would hold."""
+    rows = [(i, f"write to u{i}@ex{i}.org or pay {4000_0000_0000_0000 + 7 * i}") for i in range(3_000)]
+    docs = spark.createDataFrame([*rows, (3_000, "or to some (at) place (dot) org")], "doc_id long, text string")
+    spans = pii.with_features(pii.candidates(pii.text_pieces(docs)))
+    shape = F.xxhash64("kind", "value", "before", "after")
+    labelled = spans.where("label IS NOT NULL").select("label", shape.alias("shape")).distinct()
+    wanted = labelled.where("pmod(shape, 5) != 0").count()
+    seen = []
+
+    class Trees(pii.GBTClassifier):
+        def fit(self, rows):
+            seen.append(rows.agg(F.sum("weight")).first()[0] if "weight" in rows.columns else rows.count())
+            return super().fit(rows)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Trees)
+    pii.select_spans(spans)
+    assert wanted > 4_000 and seen == [wanted]

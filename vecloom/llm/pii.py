@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -33,8 +35,8 @@ GENERATORS = (
     ("phone", "(?<![0-9+])\\(?[0-9]{3}\\)?[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
     ("phone", "(?<![0-9A-Za-z])\\+?[0-9](?:[ ().-]{0,2}[0-9]){9,14}(?![0-9A-Za-z])"),
 )
-# Candidates that the trees are fitted on, at most, per kind and label: the smallest by hash.
-SAMPLE = 2_000
+# Distinct sets of features that a task of the fit holds.
+FIT_ROWS = 100_000
 TREES, DEPTH = 10, 4
 # A kind's threshold is the lowest of GRID at which this share of the held-out candidates above it is right.
 PRECISION = 0.98
@@ -210,34 +212,35 @@ def select_spans(spans: DataFrame) -> DataFrame:
 
     `spans` are candidates with their features.
 
-    Trees are fitted on at most SAMPLE labelled candidates per kind and label, the smallest by hash; a fifth of
-    those, held out, calibrates a threshold per kind. Without examples of both labels nothing is added. A
+    Trees are fitted on all labelled candidates but a fifth, which, held out, calibrates a threshold per kind. Candidates
+    equal in kind, text and context count once; those equal in features are one row with their number as its weight, so
+    the fit is exact and its table grows with the distinct features alone. Without examples of both labels nothing is added. A
     span that overlaps a base span gives way to it; of the others the set without overlaps that has the largest sum of
     likelihoods stays, so a span that bridges two gives way to both.
     """
     shape = F.xxhash64("kind", "value", "before", "after")
-    ranked = spans.where("label IS NOT NULL").withColumn("shape", shape).dropDuplicates(["shape", "label"])
-    parts = [
-        ranked.where((F.col("kind") == k) & (F.col("label") == y)).orderBy("shape").limit(SAMPLE) for k in KINDS for y in (0, 1)
-    ]
-    sample = parts[0]
-    for part in parts[1:]:
-        sample = sample.unionByName(part)
     columns = list(FEATURES)
+    distinct = spans.where("label IS NOT NULL").withColumn("shape", shape).dropDuplicates(["shape", "label"])
+    part = (F.pmod("shape", F.lit(5)) == 0).alias("held"), F.col("label").cast("double").alias("label")
+    weighed = distinct.groupBy("kind", *part, *columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
     assembler = VectorAssembler(inputCols=columns, outputCol="features")
-    sample = stage(assembler.transform(sample.select("kind", "shape", F.col("label").cast("double").alias("label"), *columns)).coalesce(1), "sample")
-    fitted, held = sample.where("pmod(shape, 5) != 0"), sample.where("pmod(shape, 5) = 0")
+    weighed = stage(assembler.transform(weighed), "weighed")
+    fitted, held = weighed.where("NOT held"), weighed.where("held")
     chosen = spans.where("label IS NULL")
     accepted = "doc_id", "digest", "start", "order", "end", "kind"
-    if fitted.select("label").distinct().count() < 2 or chosen.isEmpty():
+    n, labels = fitted.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
+    if labels < 2 or chosen.isEmpty():
         return chosen.limit(0).select(*accepted)
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, subsamplingRate=1.0).fit(fitted)
+    # Spark looks for cuts in max(bins squared, 10,000) rows; with so many bins, in all. The order keeps sums the same.
+    rows = fitted.repartitionByRange(-(-n // FIT_ROWS), *columns, "label").sortWithinPartitions(*columns, "label")
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, subsamplingRate=1.0, weightCol="weight", maxBins=max(32, math.isqrt(n) + 1))
+    model = trees.fit(rows)
 
     def score(rows: DataFrame) -> DataFrame:
         return model.transform(rows).withColumn("p", vector_to_array("probability")[1])
 
-    grid = score(held).select("kind", "label", "p", F.explode(F.array(*map(F.lit, GRID))).alias("limit")).where("p >= limit")
-    right = grid.groupBy("kind", "limit").agg(F.avg("label").alias("precision")).where(F.col("precision") >= PRECISION)
+    grid = score(held).select("kind", "label", "weight", "p", F.explode(F.array(*map(F.lit, GRID))).alias("limit")).where("p >= limit")
+    right = grid.groupBy("kind", "limit").agg((F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).alias("precision")).where(F.col("precision") >= PRECISION)
     limits = {r["kind"]: r["limit"] for r in right.groupBy("kind").agg(F.min("limit").alias("limit")).collect()}  # one row a kind
     limit = F.lit(None).cast("double")
     for kind, x in limits.items():
