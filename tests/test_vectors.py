@@ -252,3 +252,25 @@ def test_streams_go_on_from_their_state(spark, tmp_path):
     log.where("step >= 30 OR step = 25").where("step <> 25 OR run = 'x'").coalesce(1).write.mode("append").parquet(source)
     assert run() == want(60)
     assert run() == want(60)
+
+
+def test_queries_of_a_part_go_through_in_slices(spark, monkeypatch):
+    """What a task holds of queries and the cells they ask for has a bound, whatever the size of a part."""
+    import numpy as np
+    import pandas as pd
+    from vecloom.operators import retrieval
+
+    monkeypatch.setattr(retrieval, "ASKED_CELLS", 400, raising=False)
+    rng = np.random.default_rng(5)
+    vectors = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(300)], "id long, vector array<double>")
+    search = retrieval.Search(vectors)
+
+    def all_cells(cells, rows, batch, slack):
+        return np.ones((len(rows), len(cells.counts)), bool), np.zeros(len(rows), int)
+
+    def sizes(frame, look):
+        return pd.DataFrame({"rows": [len(frame)], "seen": [sum(len(some) * len(ids) for some, ids, _ in look())]})
+
+    found = search.meet(search.parts(vectors), all_cells, sizes, "rows long, seen long").collect()
+    assert sum(r.rows for r in found) == 300 * search.layout.blocks and sum(r.seen for r in found) == 300 * 300
+    assert max(r.rows for r in found) * len(search.cells.centres) <= 400
